@@ -69,15 +69,19 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     """Exact linear-interpolated quantiles of each column in ``cols``.
 
     Returns ``{col: [value per prob]}`` (None for a column with no non-null
-    value). A HyperLogLog estimate of each column's distinct count (one scan,
-    no shuffle) picks the plan: when every column has at most
+    value). The row count, or beyond it a HyperLogLog estimate of each
+    column's distinct count (one scan, no shuffle), picks the plan: when every
+    column has at most
     ``single_task_limit`` distinct values (x1.1 for the estimate's error) one
     task per column sorts its distinct (value, count) pairs; beyond that, the
     distributed range plan below runs, whose tasks hold 1/partitions of the
     distinct values each.
     """
-    est = df.agg(*[F.approx_count_distinct(c, 0.02).alias(f"d{i}") for i, c in enumerate(cols)]).first()
-    if max(est[f"d{i}"] for i in range(len(cols))) * 1.1 <= single_task_limit:
+    small = df.count() <= single_task_limit  # rows bound distinct values
+    if not small:
+        est = df.agg(*[F.approx_count_distinct(c, 0.02).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+        small = max(est[f"d{i}"] for i in range(len(cols))) * 1.1 <= single_task_limit
+    if small:
         counts = _stack(df, cols).groupBy("m", "v").agg(F.count(F.lit(1)).alias("c"))
         w = Window.partitionBy("m").orderBy("v")
         ranked = (counts.withColumn("cum", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)))

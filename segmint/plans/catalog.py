@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import categorize as cat
 from ..operators import report as rep
-from ..operators.binning import QuantileBinner, RFM_INPUTS, fit_edges
+from ..operators.binning import fit_edges
 from ..operators.cluster import SegmentModel, bin_cells, collect_cells, k_choice, k_sweep, fit_segments, \
     weighted_silhouette, assign_cells
 from ..operators.favorite import category_rank, category_samples, customer_lookup, favorite_category, preview
@@ -338,4 +338,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ROWS_ONLY = {"k_sweep", "k_choice", "segment_model", "segment_projection", "customer_sample",
              "category_vectors", "product_categories", "product_categories_nopca", "silver_orders"}
 
-_ = (QuantileBinner, RFM_INPUTS)
