@@ -40,7 +40,7 @@ TYPES = """types AS (
 def _lines(with_type: bool) -> str:
     sign = "(CASE WHEN l.l_returnflag = 'R' THEN -1 ELSE 1 END)"
     extra = ", t.ProductCategoryID, t.ProductCategoryName" if with_type else ""
-    tjoin = "JOIN types t ON p.p_type = t.ProductCategoryName" if with_type else ""
+    tjoin = "LEFT JOIN types t ON p.p_type = t.ProductCategoryName" if with_type else ""
     return f"""
   SELECT CAST(o.o_orderkey AS VARCHAR) AS InvoiceNo,
          CAST(l.l_partkey AS VARCHAR) AS StockCode,
@@ -53,10 +53,12 @@ def _lines(with_type: bool) -> str:
          CAST(l.l_extendedprice * {sign} AS DECIMAL(18,2)) AS SalesAmount{extra}
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN part p ON l.l_partkey = p.p_partkey
+  LEFT JOIN (SELECT p_partkey, max(p_name) AS p_name, max(p_type) AS p_type FROM part GROUP BY p_partkey) p
+    ON l.l_partkey = p.p_partkey
   {tjoin}
-  JOIN customer c ON o.o_custkey = c.c_custkey
-  JOIN nation n ON c.c_nationkey = n.n_nationkey"""
+  LEFT JOIN (SELECT c.c_custkey, max(n.n_name) AS n_name FROM customer c
+             LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY c.c_custkey) n
+    ON o.o_custkey = n.c_custkey"""
 
 
 KEYS = "CustomerID, ProductCategoryID, ProductCategoryName"

@@ -32,24 +32,36 @@ def product_types(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ProductCategoryName")
 
 
-def _lines(spark: SparkSession, sf_dir: str, product: DataFrame, product_cols: list[str]) -> DataFrame:
-    """lineitem ⋈ orders ⋈ product ⋈ (customer ⋈ nation), projected early.
+def unique_dim(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """A dimension reduced to one row per key (max of each attribute).
+
+    A left join of lines to it can never fan out, and because the key is
+    provably unique Catalyst removes the join outright from any plan that
+    uses none of its attributes (e.g. Country in the metrics)."""
+    return df.groupBy(key).agg(*[F.max(c).alias(c) for c in cols])
 
-    lineitem/orders/part/customer all grow with the data, so they are left to
-    sort-merge or AQE's runtime (size-checked) broadcast. ``nation`` is the
-    fixed 25-row TPC-H dimension, so it is joined to customer first with an
-    explicit broadcast.
+
+def _lines(spark: SparkSession, sf_dir: str, product: DataFrame, product_cols: list[str]) -> DataFrame:
+    """lineitem ⋈ orders, then left lookups of product and customer country.
+
+    lineitem/orders are the facts (inner join: a line needs its order's date
+    and customer). Product and customer attributes are lookups on unique keys:
+    a missing attribute leaves a null instead of dropping the sale, and an
+    unused lookup costs nothing. Sizes are left to the planner/AQE (runtime,
+    size-checked broadcast); ``nation`` is the fixed 25-row TPC-H dimension
+    and is broadcast into customer explicitly.
     """
     li = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag")
     od = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    cust = (_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-            .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
-            .select("c_custkey", "n_name"))
+    cust = unique_dim(
+        _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+        .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left"),
+        "c_custkey", ["n_name"])
     j = (li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
-         .join(product, F.col("l_partkey") == F.col("p_partkey"))
-         .join(cust, F.col("o_custkey") == F.col("c_custkey")))
+         .join(product, F.col("l_partkey") == F.col("p_partkey"), "left")
+         .join(cust, F.col("o_custkey") == F.col("c_custkey"), "left"))
     sign = F.when(F.col("l_returnflag") == "R", F.lit(-1)).otherwise(F.lit(1))
     return j.select(
         F.col("o_orderkey").cast("string").alias("InvoiceNo"),
@@ -67,7 +79,7 @@ def _lines(spark: SparkSession, sf_dir: str, product: DataFrame, product_cols: l
 
 def load_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze order lines from the test tables (SalesAmount = ±extendedprice)."""
-    part = _table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    part = unique_dim(_table(spark, sf_dir, "part"), "p_partkey", ["p_name"])
     return _lines(spark, sf_dir, part, [])
 
 
@@ -78,8 +90,8 @@ def load_typed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     the lines meet it, so the big side joins once, on ``l_partkey``.
     """
     labels = product_types(spark, sf_dir)
-    part = (_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
-            .join(labels, F.col("p_type") == F.col("ProductCategoryName"))
+    part = (unique_dim(_table(spark, sf_dir, "part"), "p_partkey", ["p_name", "p_type"])
+            .join(labels, F.col("p_type") == F.col("ProductCategoryName"), "left")
             .select("p_partkey", "p_name", "ProductCategoryID", "ProductCategoryName"))
     return _lines(spark, sf_dir, part, ["ProductCategoryID", "ProductCategoryName"])
 
