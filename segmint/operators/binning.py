@@ -118,7 +118,9 @@ class QuantileBinner:
     approx: bool = False
     accuracy: int = 10000
 
-    def fit(self, df: DataFrame) -> BinnerModel:
+    def fit(self, df: DataFrame, row_bound: int | None = None) -> BinnerModel:
+        """``row_bound``: an upper bound on df's row count if the caller knows
+        one (e.g. the row count of the table it was derived from)."""
         outs = list(self.inputs)
         proj = df.select([F.expr(e).alias(o) for o, e in self.inputs.items()])
         if self.strategy == "uniform":
@@ -126,7 +128,7 @@ class QuantileBinner:
         elif self.strategy == "quantile":
             probs = [j / self.n_bins for j in range(self.n_bins + 1)]
             q = (approx_quantiles(proj, outs, probs, self.accuracy) if self.approx
-                 else exact_quantiles(proj, outs, probs))
+                 else exact_quantiles(proj, outs, probs, row_bound=row_bound))
             edges = {o: (None if v[0] is None else v) for o, v in q.items()}
         else:
             raise ValueError(f"unknown strategy {self.strategy}")
@@ -134,8 +136,8 @@ class QuantileBinner:
 
 
 def fit_edges(df: DataFrame, inputs: dict[str, str] | None = None, n_bins: int = 5,
-              strategy: str = "quantile", approx: bool = False) -> BinnerModel:
-    return QuantileBinner(dict(inputs or RFM_INPUTS), n_bins, strategy, approx).fit(df)
+              strategy: str = "quantile", approx: bool = False, row_bound: int | None = None) -> BinnerModel:
+    return QuantileBinner(dict(inputs or RFM_INPUTS), n_bins, strategy, approx).fit(df, row_bound)
 
 
 def apply_edges(df: DataFrame, model: BinnerModel) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.ml.feature import IDF, PCA, HashingTF, StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import left_lookup
 from ..functions.text import WHITESPACE, stop_words
 
 
@@ -72,7 +73,10 @@ def tfidf_terms(docs: DataFrame, tok: DataFrame, id_col: str, min_doc_freq: int
     ``digits`` decimals."""
     n_docs = docs.select(id_col).count()
     tf = term_frequency(tok, id_col)
-    dfreq = tok.select(id_col, "token").distinct().groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    # one row per (doc, term) already: df is a count over tf (partial
+    # aggregation absorbs a hot term); the join back is an equi-join that AQE
+    # can broadcast (vocabulary) or split when one term is skewed.
+    dfreq = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     idf = F.when(F.col("df") >= min_doc_freq,
                  F.log(F.lit(float(n_docs + 1)) / (F.col("df") + F.lit(1.0)))).otherwise(F.lit(0.0))
     return (tf.join(dfreq, "token")
@@ -127,7 +131,7 @@ def attach_category(bronze: DataFrame, categorized: DataFrame, labels: DataFrame
     right side is one row per description, so no fan-out; a null description
     keeps a null category) + ProductCategoryName (left join on the label table,
     one row per category id -- a bound of k rows, broadcast)."""
-    with_id = bronze.join(categorized.select("Description", "ProductCategoryID"), "Description", "left")
+    with_id = left_lookup(bronze, categorized.select("Description", "ProductCategoryID"), "Description")
     return with_id.join(F.broadcast(labels), "ProductCategoryID", "left")
 
 

@@ -65,11 +65,13 @@ def _assemble(cols, probs, sizes, values) -> dict[str, list[float | None]]:
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                     partitions: int | None = None,
-                    single_task_limit: int = 2_000_000) -> dict[str, list[float | None]]:
+                    single_task_limit: int = 2_000_000,
+                    row_bound: int | None = None) -> dict[str, list[float | None]]:
     """Exact linear-interpolated quantiles of each column in ``cols``.
 
     Returns ``{col: [value per prob]}`` (None for a column with no non-null
-    value). The row count, or beyond it a HyperLogLog estimate of each
+    value). The row count (or a caller's ``row_bound``), or beyond it a
+    HyperLogLog estimate of each
     column's distinct count (one scan, no shuffle), picks the plan: when every
     column has at most
     ``single_task_limit`` distinct values (x1.1 for the estimate's error) one
@@ -77,7 +79,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     distributed range plan below runs, whose tasks hold 1/partitions of the
     distinct values each.
     """
-    small = df.count() <= single_task_limit  # rows bound distinct values
+    # rows bound distinct values; a caller that knows a bound skips the count
+    small = (row_bound if row_bound is not None else df.count()) <= single_task_limit
     if not small:
         est = df.agg(*[F.approx_count_distinct(c, 0.02).alias(f"d{i}") for i, c in enumerate(cols)]).first()
         small = max(est[f"d{i}"] for i in range(len(cols))) * 1.1 <= single_task_limit

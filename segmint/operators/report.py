@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import left_lookup
 from .cluster import BIN_COLS
 
 
@@ -98,11 +99,11 @@ def orders_with_segment(silver: DataFrame, assigned: DataFrame) -> DataFrame:
     """Order lines + the customer's segment and favourite-category metrics.
 
     ``assigned`` has one row per customer, so the left join cannot fan out; a
-    null CustomerID never matches (null-safe equality is not used on purpose).
-    Both keys are strings."""
+    null CustomerID never matches and its lines skip the shuffle
+    (``left_lookup``). Both keys are strings."""
     right = assigned.select(F.col("CustomerID").cast("string").alias("CustomerID"),
                             F.col("cluster").alias("Cluster"), "Recency", "Frequency", "MonetaryValue")
-    return silver.withColumn("CustomerID", F.col("CustomerID").cast("string")).join(right, "CustomerID", "left")
+    return left_lookup(silver.withColumn("CustomerID", F.col("CustomerID").cast("string")), right, "CustomerID")
 
 
 def audience_export(assigned: DataFrame, labels: DataFrame) -> DataFrame:

@@ -42,10 +42,17 @@ def capped(spark, sf):
     return cap_metrics(metrics(spark, sf), P.FREQ_CAP, P.MONETARY_CAP)
 
 
-def gold_and_binner(spark, sf, n_bins=P.N_BINS, strategy="quantile"):
+def capped_bounded(spark, sf):
+    """Capped metrics (read from the written per-group table) and their row
+    count: a footer-only count that bounds every table derived from them."""
     c = capped(spark, sf)
-    b = fit_edges(c, n_bins=n_bins, strategy=strategy)
-    return b.transform(c), b
+    return c, c.count()
+
+
+def gold_and_binner(spark, sf, n_bins=P.N_BINS, strategy="quantile"):
+    c, rows = capped_bounded(spark, sf)
+    b = fit_edges(c, n_bins=n_bins, strategy=strategy, row_bound=rows)
+    return b.transform(c), b, rows
 
 
 def gold(spark, sf):
@@ -56,14 +63,15 @@ def favorites(spark, sf):
     return favorite_category(gold(spark, sf))
 
 
-def fixed_model(fav: DataFrame) -> SegmentModel:
+def fixed_model(fav: DataFrame, row_bound: int | None = None) -> SegmentModel:
     """Model edges re-fitted on the favourites + the hand-set centroids."""
-    return SegmentModel(fit_edges(fav, n_bins=P.N_BINS), list(P.FIXED_CENTROIDS))
+    return SegmentModel(fit_edges(fav, n_bins=P.N_BINS, row_bound=row_bound), list(P.FIXED_CENTROIDS))
 
 
 def assigned(spark, sf):
-    fav = favorites(spark, sf)
-    return fixed_model(fav).assign(fav)
+    g, _, rows = gold_and_binner(spark, sf)
+    fav = favorite_category(g)
+    return fixed_model(fav, rows).assign(fav)
 
 
 def member_centroids(asg: DataFrame) -> DataFrame:
@@ -118,8 +126,8 @@ def q_metric_histogram(spark, sf):
 
 
 def q_bin_edges(spark, sf):
-    c = capped(spark, sf)
-    return fit_edges(c, n_bins=P.N_BINS).edges_frame(spark).drop("version")
+    c, rows = capped_bounded(spark, sf)
+    return fit_edges(c, n_bins=P.N_BINS, row_bound=rows).edges_frame(spark).drop("version")
 
 
 def q_rfmp_bins(spark, sf):
@@ -132,13 +140,11 @@ def q_rfmp_gold(spark, sf):
 
 
 def q_rfmp_bins_uniform(spark, sf):
-    g, _ = gold_and_binner(spark, sf, strategy="uniform")
-    return g
+    return gold_and_binner(spark, sf, strategy="uniform")[0]
 
 
 def q_rfmp_bins_10(spark, sf):
-    g, _ = gold_and_binner(spark, sf, n_bins=10)
-    return g
+    return gold_and_binner(spark, sf, n_bins=10)[0]
 
 
 def q_bin_histogram(spark, sf):
@@ -183,8 +189,8 @@ def q_segment_labels(spark, sf):
 
 
 def q_score_gold(spark, sf):
-    g = gold(spark, sf)
-    model = fixed_model(favorite_category(g))
+    g, _, rows = gold_and_binner(spark, sf)
+    model = fixed_model(favorite_category(g), rows)
     return model.score(g, "Cluster")
 
 
@@ -268,8 +274,9 @@ def q_stream_daily_sales(spark, sf):
 
 def q_stream_score(spark, sf):
     """Favourites written as files, read back as a stream, scored."""
-    fav = favorites(spark, sf)
-    model = fixed_model(fav)
+    g, _, rows = gold_and_binner(spark, sf)
+    fav = favorite_category(g)
+    model = fixed_model(fav, rows)
     src = os.path.join(checkpoint_dir(spark), "segmint-streams", "fav-src-" + os.urandom(6).hex())
     fav.drop("r_bin", "f_bin", "m_bin").write.parquet(src)
     stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
@@ -287,7 +294,8 @@ def q_k_choice(spark, sf):
 
 
 def q_segment_model(spark, sf):
-    m = fit_segments(favorites(spark, sf), P.SEGMENTS_K, P.RESTARTS, P.SEED, P.N_BINS)
+    g, _, rows = gold_and_binner(spark, sf)
+    m = fit_segments(favorite_category(g), P.SEGMENTS_K, P.RESTARTS, P.SEED, P.N_BINS, row_bound=rows)
     return m.centroids_frame(spark)
 
 
