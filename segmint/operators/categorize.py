@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.joins import left_lookup
 from ..functions.text import WHITESPACE, stop_words
+from ..session import materialize
 
 
 def distinct_descriptions(bronze: DataFrame, col: str = "Description") -> DataFrame:
@@ -72,7 +73,9 @@ def tfidf_terms(docs: DataFrame, tok: DataFrame, id_col: str, min_doc_freq: int
     document, including those left with no token. Values rounded to
     ``digits`` decimals."""
     n_docs = docs.select(id_col).count()
-    tf = term_frequency(tok, id_col)
+    # tokenizing whole texts is the expensive part: the tf table is written
+    # once (shared checkpoint folder) and both branches below read it.
+    tf = materialize(term_frequency(tok, id_col), "term_frequency")
     # one row per (doc, term) already: df is a count over tf (partial
     # aggregation absorbs a hot term); the join back is an equi-join that AQE
     # can broadcast (vocabulary) or split when one term is skewed.

@@ -284,6 +284,21 @@ def q_stream_score(spark, sf):
                              "score")
 
 
+def q_latest_model(spark, sf):
+    """Save the model (two versions), promote the second, load the production
+    version back and assign with it: must equal ``segment_assign``."""
+    from ..sources import model_store
+    g, _, rows = gold_and_binner(spark, sf)
+    fav = favorite_category(g)
+    model = fixed_model(fav, rows)
+    where = os.path.join(checkpoint_dir(spark), "segmint-models", os.urandom(6).hex())
+    model_store.save_model(spark, where, "segments", model)
+    v2 = model_store.save_model(spark, where, "segments", model)
+    model_store.promote(spark, where, "segments", v2)
+    loaded = model_store.load_model(spark, where, "segments")
+    return loaded.assign(fav).select("CustomerID", "r_bin", "f_bin", "m_bin", "cluster")
+
+
 # ---- rows-only (no SQL twin) ----------------------------------------------
 def q_k_sweep(spark, sf):
     return k_sweep(bin_cells(favorites(spark, sf)), P.N_BINS, list(range(2, P.MAX_K + 1)), P.RESTARTS, P.SEED)

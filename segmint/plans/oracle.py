@@ -338,4 +338,5 @@ def oracle() -> dict[str, str]:
       WHERE CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= wm.wm
       GROUP BY ALL"""
     q["stream_score"] = q["segment_assign"]
+    q["latest_model"] = q["segment_assign"]
     return q

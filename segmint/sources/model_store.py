@@ -26,34 +26,56 @@ MODELS_SCHEMA = T.StructType([
 ])
 
 
+def _is_path(where: str) -> bool:
+    return "/" in where or ":" in where
+
+
 def _table(schema: str) -> str:
     return f"{schema}.segment_models"
 
 
-def _exists(spark: SparkSession, schema: str) -> bool:
-    return spark.catalog.tableExists(_table(schema))
+def _exists(spark: SparkSession, where: str) -> bool:
+    if _is_path(where):
+        try:
+            spark.read.schema(MODELS_SCHEMA).parquet(where).limit(1).collect()
+            return True
+        except Exception:  # noqa: BLE001 - no store written yet
+            return False
+    return spark.catalog.tableExists(_table(where))
 
 
-def models(spark: SparkSession, schema: str) -> DataFrame:
-    if not _exists(spark, schema):
+def models(spark: SparkSession, where: str) -> DataFrame:
+    """The store: ``where`` is a catalog schema (table ``<schema>.segment_models``)
+    or a storage path (a Parquet folder, e.g. under the shared checkpoint dir)."""
+    if not _exists(spark, where):
         return spark.createDataFrame([], MODELS_SCHEMA)
-    return spark.table(_table(schema))
+    if _is_path(where):
+        return spark.read.schema(MODELS_SCHEMA).parquet(where)
+    return spark.table(_table(where))
+
+
+def _write(df: DataFrame, where: str, mode: str, fmt: str) -> None:
+    if _is_path(where):
+        df.write.mode(mode).parquet(where)
+    else:
+        df.write.format(fmt).mode(mode).saveAsTable(_table(where))
 
 
-def save_model(spark: SparkSession, schema: str, name: str, model: SegmentModel, fmt: str = "parquet") -> int:
+def save_model(spark: SparkSession, where: str, name: str, model: SegmentModel, fmt: str = "parquet") -> int:
     """Append a new version (stage 'none'); returns the version number."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    cur = models(spark, schema).where(F.col("name") == name).agg(F.max("version")).first()[0]
+    if not _is_path(where):
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {where}")
+    cur = models(spark, where).where(F.col("name") == name).agg(F.max("version")).first()[0]
     version = (cur or 0) + 1
     model.version = version
     row = [(name, version, "none", _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), model.to_json())]
-    spark.createDataFrame(row, MODELS_SCHEMA).write.format(fmt).mode("append").saveAsTable(_table(schema))
+    _write(spark.createDataFrame(row, MODELS_SCHEMA), where, "append", fmt)
     return version
 
 
-def promote(spark: SparkSession, schema: str, name: str, version: int, fmt: str = "parquet") -> None:
+def promote(spark: SparkSession, where: str, name: str, version: int, fmt: str = "parquet") -> None:
     """Make ``version`` the production model of ``name``; archive the rest."""
-    rows = models(spark, schema).collect()  # one row per saved version
+    rows = models(spark, where).collect()  # one row per saved version
     new = []
     for r in rows:
         stage = r["stage"]
@@ -63,7 +85,7 @@ def promote(spark: SparkSession, schema: str, name: str, version: int, fmt: str
             elif stage == "production":
                 stage = "archived"
         new.append((r["name"], r["version"], stage, r["created_at"], r["model"]))
-    spark.createDataFrame(new, MODELS_SCHEMA).write.format(fmt).mode("overwrite").saveAsTable(_table(schema))
+    _write(spark.createDataFrame(new, MODELS_SCHEMA), where, "overwrite", fmt)
 
 
 def latest_model(spark: SparkSession, schema: str, name: str, stage: str | None = None) -> DataFrame:
