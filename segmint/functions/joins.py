@@ -7,14 +7,21 @@ from pyspark.sql import functions as F
 
 
 def left_lookup(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """``left LEFT JOIN right USING (key)`` where rows with a null key skip
-    the shuffle: a null never matches, so those rows only get null right-side
-    columns. A null key held by a large share of the rows (anonymous
-    customers, missing descriptions) would otherwise hash to one reducer.
-    Remaining skew on real keys is left to AQE's skew-join split."""
+    """``left LEFT JOIN right USING (key)`` in one pass, safe for a hot null key.
+
+    A null key never matches, but in a plain shuffle join every null-key row
+    hashes to the same reducer -- and the null key (anonymous customers,
+    missing descriptions) may hold a large share of all rows. Here the join
+    is on ``(key IS NULL, coalesce(key, row hash))``: null-key rows get a
+    distinct salt (a hash of the row), so they spread over all partitions,
+    and their ``true`` flag can never meet the right side's ``false``. Skew
+    on real keys is left to AQE's skew-join split.
+    """
     rcols = [c for c in right.columns if c != key]
-    matched = left.where(F.col(key).isNotNull()).join(right, key, "left")
-    nulls = left.where(F.col(key).isNull()).select(
-        key, *[c for c in left.columns if c != key],
-        *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in rcols])
-    return matched.unionByName(nulls)
+    salt = F.xxhash64(*[F.col(c) for c in left.columns]).cast("string")
+    lk = left.withColumns({
+        "_lk_null": F.col(key).isNull(),
+        "_lk": F.when(F.col(key).isNull(), salt).otherwise(F.col(key).cast("string")),
+    })
+    rk = right.select(F.lit(False).alias("_lk_null"), F.col(key).cast("string").alias("_lk"), *rcols)
+    return lk.join(rk, ["_lk_null", "_lk"], "left").select(*left.columns, *rcols)

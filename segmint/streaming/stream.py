@@ -15,13 +15,23 @@ from ..schemas import MONEY
 from ..session import checkpoint_dir
 
 
+def utc_instant(df: DataFrame, col: str):
+    """Event time as a TIMESTAMP (watermarks need one) without depending on
+    the session time zone: a wall-clock TIMESTAMP_NTZ is read as UTC."""
+    if isinstance(df.schema[col].dataType, T.TimestampType):
+        return F.col(col)
+    c = F.col(col)
+    return F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                            F.date_part(F.lit("SECOND"), c), F.lit("UTC"))
+
+
 def stream_daily_sales(events: DataFrame, watermark: str = "2 days", customer: str = "user_id",
                        category: str = "event_type", ts: str = "ts", amount: str = "value") -> DataFrame:
     """Streaming version of the daily consolidation: positive amounts summed
     per customer x category x 1-day tumbling window. Rows older than the
     watermark are dropped; in append mode a day is emitted once the
     watermark passes its end, and its state is then evicted."""
-    t = F.col(ts).cast("timestamp")
+    t = utc_instant(events, ts)
     return (events.where(F.col(amount) > 0)
             .withColumn("_t", t)
             .withWatermark("_t", watermark)
@@ -29,7 +39,8 @@ def stream_daily_sales(events: DataFrame, watermark: str = "2 days", customer: s
             .agg(F.sum(F.col(amount).cast(MONEY)).cast(MONEY).alias("DailySales"))
             .select(F.col(customer).cast("string").alias("CustomerID"),
                     F.col(category).alias("ProductCategoryName"),
-                    F.to_date(F.col("day.start")).alias("InvoiceDate"),
+                    F.date_from_unix_date((F.unix_seconds(F.col("day.start")) / 86400).cast("int"))
+                    .alias("InvoiceDate"),
                     "DailySales"))
 
 
