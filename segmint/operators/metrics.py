@@ -95,3 +95,12 @@ def cap_metrics(metrics: DataFrame, freq_cap: int | None = 30,
                                                      F.lit(float(monetary_cap)))
                              .otherwise(F.col("MonetaryValue")))
     return out
+
+
+def with_recency_sign(df: DataFrame, recency_sign: int = 1) -> DataFrame:
+    """Presentation of Recency in an output table: days >= 0 (``1``, default)
+    or negated (``-1``) so that larger is better, as some consumers expect.
+    Binning always scores ``-Recency`` on the unsigned days."""
+    if recency_sign not in (1, -1):
+        raise ValueError("recency_sign must be 1 or -1")
+    return df if recency_sign == 1 else df.withColumn("Recency", -F.col("Recency"))

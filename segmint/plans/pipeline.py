@@ -14,7 +14,7 @@ from ..operators import report as rep
 from ..operators.binning import fit_edges
 from ..operators.cluster import SegmentModel, bin_cells, choose_k, fit_segments, k_sweep
 from ..operators.favorite import favorite_category
-from ..operators.metrics import cap_metrics, daily_sales, rfmp_metrics, snapshot_date
+from ..operators.metrics import cap_metrics, daily_sales, rfmp_metrics, snapshot_date, with_recency_sign
 from ..sources import model_store
 
 
@@ -34,6 +34,7 @@ class PipelineConfig:
     max_k: int = 20
     restarts: int = 50
     model_name: str = "rfm_segments"
+    recency_sign: int = 1      # -1 stores Recency negated in the gold table
 
 
 def _save(df: DataFrame, table: str, fmt: str) -> DataFrame:
@@ -68,8 +69,10 @@ def run_pipeline(spark: SparkSession, bronze: DataFrame, cfg: PipelineConfig = P
     as_of = snapshot_date(silver).first()[0]
     metrics = cap_metrics(rfmp_metrics(daily_sales(silver, cfg.anonymous), as_of), cfg.freq_cap, cfg.monetary_cap)
     metrics = _save(metrics, f"{s}.metrics", cfg.fmt)
-    gold_binner = fit_edges(metrics, n_bins=cfg.n_bins)
-    out["gold"] = gold = _save(gold_binner.transform(metrics), f"{s}.gold", cfg.fmt)
+    gold_binner = fit_edges(metrics, n_bins=cfg.n_bins, row_bound=metrics.count())
+    gold = gold_binner.transform(metrics)
+    out["gold"] = _save(with_recency_sign(gold, cfg.recency_sign), f"{s}.gold", cfg.fmt)
+    gold = with_recency_sign(out["gold"], cfg.recency_sign)  # back to days for the model
 
     # segments
     fav = _save(favorite_category(gold), f"{s}.favorites", cfg.fmt)

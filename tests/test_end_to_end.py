@@ -23,8 +23,10 @@ def test_entry_and_contract(spark):
 
 
 def test_pipeline_end_to_end_and_model_store(spark):
-    cfg = PipelineConfig(schema="e2e", freq_cap=8, monetary_cap=120000.0, restarts=5, num_features=256, pca_k=10)
+    cfg = PipelineConfig(schema="e2e", freq_cap=8, monetary_cap=120000.0, restarts=5, num_features=256, pca_k=10,
+                         recency_sign=-1)
     out = run_pipeline(spark, load_transactions(spark, SF), cfg)
+    assert out["gold"].where("Recency > 0").count() == 0
     og = out["orders_gold"]
     assert og.count() == out["orders_silver"].count()
     assert og.where("CustomerID IS NOT NULL AND Cluster IS NULL").count() == 0

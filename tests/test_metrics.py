@@ -62,3 +62,25 @@ def test_caps_keep_nulls(spark):
     df = spark.createDataFrame([("a", 1, "x", 1, 40, 3000.0), ("b", 1, "x", 1, None, None)], METRICS_SCHEMA)
     got = {r.CustomerID: (r.Frequency, r.MonetaryValue) for r in cap_metrics(df, 30, 2500).collect()}
     assert got == {"a": (30, 2500.0), "b": (None, None)}
+
+
+def test_recency_sign_presentation(spark):
+    from segmint.operators.metrics import with_recency_sign
+    from segmint.schemas import METRICS_SCHEMA
+    df = spark.createDataFrame([("a", 1, "x", 5, 1, 1.0)], METRICS_SCHEMA)
+    assert with_recency_sign(df, -1).first().Recency == -5
+    assert with_recency_sign(df, 1).first().Recency == 5
+
+
+def test_check_schema_and_parquet_reader(spark, tmp_path):
+    import pytest
+    from segmint.schemas import BRONZE, SchemaMismatch, check_schema
+    from segmint.sources.transactions import load_transactions, read_orders
+    bronze = load_transactions(spark, "/root/testdata/sf0.001")
+    check_schema(bronze, BRONZE)
+    with pytest.raises(SchemaMismatch):
+        check_schema(bronze.drop("Country"), BRONZE)
+    p = str(tmp_path / "orders")
+    bronze.drop("SalesAmount").write.parquet(p)
+    again = read_orders(spark, p, fmt="parquet")
+    assert again.count() == bronze.count()
