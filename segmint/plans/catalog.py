@@ -21,7 +21,7 @@ from ..operators.cluster import SegmentModel, bin_cells, collect_cells, k_choice
 from ..operators.favorite import category_rank, category_samples, customer_lookup, favorite_category, preview
 from ..operators.metrics import cap_metrics, daily_sales, rfmp_metrics, snapshot_date
 from ..schemas import EVENTS, GROUP_KEYS
-from ..session import checkpoint_dir, materialize
+from ..session import checkpoint_dir, ensure_parallelism, materialize
 from ..sources.transactions import load_transactions, load_typed_silver, product_types
 from ..streaming.stream import file_stream, run_to_completion, stream_daily_sales, stream_score
 from . import params as P
@@ -244,7 +244,8 @@ def q_k_candidates(spark, sf):
 
 
 def _documents(spark, sf):
-    return spark.read.parquet(os.path.join(sf, "documents.parquet")).select("doc_id", "text")
+    return ensure_parallelism(spark.read.parquet(os.path.join(sf, "documents.parquet")).select("doc_id", "text"),
+                              "doc_id")
 
 
 def q_tokens(spark, sf):

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import BRONZE, MONEY, ORDERS_CSV
+from ..session import ensure_parallelism
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,8 +52,8 @@ def _lines(spark: SparkSession, sf_dir: str, product: DataFrame, product_cols: l
     size-checked broadcast); ``nation`` is the fixed 25-row TPC-H dimension
     and is broadcast into customer explicitly.
     """
-    li = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag")
+    li = ensure_parallelism(_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"), "l_orderkey")
     od = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     cust = unique_dim(
