@@ -155,9 +155,15 @@ def segment_projection(assigned: DataFrame, id_col: str = "CustomerID") -> DataF
     return model.transform(vec).select(id_col, arr[0].alias("x"), arr[1].alias("y"))
 
 
-def customer_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """Bernoulli sample of rows (for plots / training on very large inputs)."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def customer_sample(df: DataFrame, fraction: float, seed: int = 42, key: str = "CustomerID") -> DataFrame:
+    """Sample of customers (for plots / training on very large inputs): a
+    customer is in when a seeded hash of its id falls below ``fraction``.
+    Unlike ``DataFrame.sample`` the choice does not depend on row order, so a
+    recomputed partition (lost executor, retry) selects the same rows, and all
+    rows of a customer are kept or dropped together."""
+    scale = 1 << 20
+    h = F.pmod(F.xxhash64(F.col(key), F.lit(int(seed))), F.lit(scale))
+    return df.where(h < F.lit(int(round(fraction * scale))))
 
 
 def k_candidates(spark: SparkSession, max_k: int, n_cells: int, partitions: int | None = None) -> DataFrame:

@@ -131,3 +131,10 @@ def test_collect_cells_bound(spark):
     except ValueError:
         return
     raise AssertionError("expected the cell bound to be enforced")
+
+
+def test_customer_sample_is_order_independent(spark):
+    df = spark.createDataFrame([(f"c{i}", i) for i in range(2000)], "CustomerID string, v int")
+    a = {r.CustomerID for r in rep.customer_sample(df, 0.1, 7).collect()}
+    b = {r.CustomerID for r in rep.customer_sample(df.repartition(5).orderBy("v", ascending=False), 0.1, 7).collect()}
+    assert a == b and 120 < len(a) < 280
