@@ -131,7 +131,7 @@ def segment_top_categories(orders: DataFrame, n: int = 3) -> DataFrame:
     """Top ``n`` categories per segment by positive sales (ties: lower id)."""
     g = (orders.where((F.col("SalesAmount") > 0) & F.col("Cluster").isNotNull())
          .groupBy("Cluster", "ProductCategoryID", "ProductCategoryName")
-         .agg(F.sum("SalesAmount").alias("Sales")))
+         .agg(F.sum("SalesAmount").cast("decimal(38,2)").alias("Sales")))
     w = Window.partitionBy("Cluster").orderBy(F.col("Sales").desc(), F.col("ProductCategoryID").asc_nulls_last(),
                                               F.col("ProductCategoryName").asc_nulls_last())
     return g.withColumn("category_rank", F.row_number().over(w)).where(F.col("category_rank") <= n)
