@@ -113,19 +113,35 @@ def category_pipeline(num_features: int = 1024, pca_k: int | None = 50, k: int =
     return Pipeline(stages=stages)
 
 
+def description_table(bronze: DataFrame, text_col: str = "Description") -> DataFrame:
+    """Distinct descriptions written once to the shared checkpoint folder.
+
+    Every estimator in the pipeline makes its own pass over its input (IDF,
+    PCA's mean and Gramian, k-means init) and transform makes another; with the
+    product catalogue written once, those passes scan a small table instead of
+    re-running the order-line joins."""
+    return materialize(distinct_descriptions(bronze, text_col), "descriptions")
+
+
 def fit_categories(bronze: DataFrame, num_features: int = 1024, pca_k: int | None = 50, k: int = 10,
-                   seed: int = 42, dedupe: bool = True, text_col: str = "Description") -> PipelineModel:
+                   seed: int = 42, dedupe: bool = True, text_col: str = "Description",
+                   descriptions: DataFrame | None = None) -> PipelineModel:
     """Fit the description pipeline on distinct descriptions (``dedupe``) or
     on every line. PCA runs distributed (Gramian via treeAggregate); its
     eigen-decomposition is num_features^2 on the driver, independent of
     the data size."""
-    src = distinct_descriptions(bronze, text_col) if dedupe else bronze.where(F.col(text_col).isNotNull())
+    if dedupe:
+        src = descriptions if descriptions is not None else description_table(bronze, text_col)
+    else:
+        src = bronze.where(F.col(text_col).isNotNull())
     return category_pipeline(num_features, pca_k, k, seed, text_col).fit(src)
 
 
-def categorize(model: PipelineModel, bronze: DataFrame, text_col: str = "Description") -> DataFrame:
+def categorize(model: PipelineModel, bronze: DataFrame, text_col: str = "Description",
+               descriptions: DataFrame | None = None) -> DataFrame:
     """(Description, ProductCategoryID) for every distinct description."""
-    return (model.transform(distinct_descriptions(bronze, text_col))
+    src = descriptions if descriptions is not None else distinct_descriptions(bronze, text_col)
+    return (model.transform(src)
             .select(text_col, F.col("ProductCategoryID").cast("int").alias("ProductCategoryID")))
 
 

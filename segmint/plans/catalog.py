@@ -325,32 +325,32 @@ def q_customer_sample(spark, sf):
 
 def _product_model(spark, sf, pca_k=P.PCA_K):
     bronze = load_transactions(spark, sf)
-    return bronze, cat.fit_categories(bronze, P.NUM_FEATURES, pca_k, P.PRODUCT_K, P.SEED)
+    descs = cat.description_table(bronze)
+    return bronze, descs, cat.fit_categories(bronze, P.NUM_FEATURES, pca_k, P.PRODUCT_K, P.SEED,
+                                             descriptions=descs)
 
 
 def q_category_vectors(spark, sf):
-    bronze, model = _product_model(spark, sf)
+    _, descs, model = _product_model(spark, sf)
     from pyspark.ml.functions import vector_to_array
-    return model.transform(cat.distinct_descriptions(bronze)).select(
-        "Description", vector_to_array("pca_features").alias("pca_features"))
+    return model.transform(descs).select("Description", vector_to_array("pca_features").alias("pca_features"))
 
 
 def q_product_categories(spark, sf):
-    bronze, model = _product_model(spark, sf)
-    return cat.categorize(model, bronze)
+    bronze, descs, model = _product_model(spark, sf)
+    return cat.categorize(model, bronze, descriptions=descs)
 
 
 def q_product_categories_nopca(spark, sf):
-    bronze, model = _product_model(spark, sf, pca_k=None)
-    return cat.categorize(model, bronze)
+    bronze, descs, model = _product_model(spark, sf, pca_k=None)
+    return cat.categorize(model, bronze, descriptions=descs)
 
 
 def q_silver_orders(spark, sf):
     """Silver from learned categories with generated default labels."""
-    bronze, model = _product_model(spark, sf)
-    categorized = cat.categorize(model, bronze)
-    docs = cat.distinct_descriptions(bronze)
-    tf = cat.tfidf_terms(docs, cat.token_rows(docs, "Description", "Description"), "Description")
+    bronze, descs, model = _product_model(spark, sf)
+    categorized = cat.categorize(model, bronze, descriptions=descs)
+    tf = cat.tfidf_terms(descs, cat.token_rows(descs, "Description", "Description"), "Description")
     labels = cat.default_labels(categorized, tf)
     return cat.attach_category(bronze, categorized, labels)
 

@@ -55,11 +55,12 @@ def run_pipeline(spark: SparkSession, bronze: DataFrame, cfg: PipelineConfig = P
     out["orders_bronze"] = bronze = _save(bronze, f"{s}.orders_bronze", cfg.fmt)
 
     # silver: learned product categories
+    docs = cat.description_table(bronze)
     if categorized is None:
-        model = cat.fit_categories(bronze, cfg.num_features, cfg.pca_k, cfg.product_k, cfg.seed)
-        categorized = cat.categorize(model, bronze)
+        model = cat.fit_categories(bronze, cfg.num_features, cfg.pca_k, cfg.product_k, cfg.seed,
+                                   descriptions=docs)
+        categorized = cat.categorize(model, bronze, descriptions=docs)
     if labels is None:
-        docs = cat.distinct_descriptions(bronze)
         tf = cat.tfidf_terms(docs, cat.token_rows(docs, "Description", "Description"), "Description")
         labels = cat.default_labels(categorized, tf)
     out["orders_silver"] = silver = _save(cat.attach_category(bronze, categorized, labels),
