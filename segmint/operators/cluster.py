@@ -138,6 +138,8 @@ _RESTART_SCHEMA = T.StructType([
 def _restarts(spark: SparkSession, X, w, ks: list[int], restarts: int, seed: int,
               partitions: int | None = None) -> DataFrame:
     """One row per (k, restart): a Spark task runs a batch of restarts."""
+    from ..session import ship_package
+    ship_package(spark)
     nks = len(ks)
     total = nks * restarts
     parts = partitions or max(1, min(total, spark.sparkContext.defaultParallelism * 4))

@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,3 +83,27 @@ def ensure_parallelism(df: DataFrame, key: str, min_partitions: int | None = Non
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, key)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (what ``--py-files``
+    does): zip its sources once per application and ``addPyFile`` the zip.
+    Needed by the operators that run Python in tasks (k-means restarts); a
+    deployment that installs the package on every node can skip it."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="segmint-pyfiles-"), "segmint.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.join("segmint", os.path.relpath(full, root)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
