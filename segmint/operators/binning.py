@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .quantiles import approx_quantiles, exact_quantiles
+from .quantiles import approx_quantiles, exact_quantiles, exact_quantiles_many
 
 EDGE_TOL = 1e-8
 
@@ -142,3 +142,16 @@ def fit_edges(df: DataFrame, inputs: dict[str, str] | None = None, n_bins: int =
 
 def apply_edges(df: DataFrame, model: BinnerModel) -> DataFrame:
     return model.transform(df)
+
+
+def fit_edges_many(frames: list[DataFrame], inputs: dict[str, str] | None = None, n_bins: int = 5,
+                   row_bound: int | None = None) -> list[BinnerModel]:
+    """Exact quantile binners for several frames in one job (e.g. the gold
+    edges on all rows and the model edges on the favourites)."""
+    inputs = dict(inputs or RFM_INPUTS)
+    outs = list(inputs)
+    probs = [j / n_bins for j in range(n_bins + 1)]
+    projs = [(df.select([F.expr(e).alias(o) for o, e in inputs.items()]), outs) for df in frames]
+    res = exact_quantiles_many(projs, probs, row_bound=row_bound)
+    return [BinnerModel(dict(inputs), {o: (None if v[0] is None else v) for o, v in r.items()}, n_bins)
+            for r in res]

@@ -31,11 +31,20 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 
-def _stack(df: DataFrame, cols: list[str]) -> DataFrame:
-    pairs = ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
+def _stack(df: DataFrame, cols: list[str], offset: int = 0) -> DataFrame:
+    pairs = ", ".join(f"{offset + i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
     return df.selectExpr(f"stack({len(cols)}, {pairs}) AS (m, v)").where(F.col("v").isNotNull())
 
 
+def _stack_many(sources: list[tuple[DataFrame, list[str]]]) -> DataFrame:
+    out, offset = None, 0
+    for df, cols in sources:
+        part = _stack(df, cols, offset)
+        out = part if out is None else out.unionByName(part)
+        offset += len(cols)
+    return out
+
+
 def _interp(lo: float, hi: float, d: float) -> float:
     # lo*(1-d) + hi*d with one fused rounding: bit-identical to the SQL
     # oracle's quantile_cont (within an ulp of numpy's "linear").
@@ -71,26 +80,40 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
 
     Returns ``{col: [value per prob]}`` (None for a column with no non-null
     value). The row count (or a caller's ``row_bound``), or beyond it a
-    HyperLogLog estimate of each
-    column's distinct count (one scan, no shuffle), picks the plan: when every
-    column has at most
+    HyperLogLog estimate of each column's distinct count (one scan, no
+    shuffle), picks the plan: when every column has at most
     ``single_task_limit`` distinct values (x1.1 for the estimate's error) one
     task per column sorts its distinct (value, count) pairs; beyond that, the
     distributed range plan below runs, whose tasks hold 1/partitions of the
     distinct values each.
     """
-    # rows bound distinct values; a caller that knows a bound skips the count
-    small = (row_bound if row_bound is not None else df.count()) <= single_task_limit
+    return exact_quantiles_many([(df, cols)], probs, partitions, single_task_limit, row_bound)[0]
+
+
+def exact_quantiles_many(sources: list[tuple[DataFrame, list[str]]], probs: list[float],
+                         partitions: int | None = None, single_task_limit: int = 2_000_000,
+                         row_bound: int | None = None) -> list[dict[str, list[float | None]]]:
+    """``exact_quantiles`` for several (frame, columns) sources in one job:
+    the sources are stacked into one (metric, value) frame, so e.g. two
+    binners fitted on related tables share a single shuffle and sort.
+    ``row_bound`` bounds the rows of every source."""
+    flat = [f"{i}:{c}" for i, (_, cols) in enumerate(sources) for c in cols]
+    bound = row_bound if row_bound is not None else max(df.count() for df, _ in sources)
+    small = bound <= single_task_limit  # rows bound distinct values
     if not small:
-        est = df.agg(*[F.approx_count_distinct(c, 0.02).alias(f"d{i}") for i, c in enumerate(cols)]).first()
-        small = max(est[f"d{i}"] for i in range(len(cols))) * 1.1 <= single_task_limit
+        est = [r for df, cols in sources for r in
+               df.agg(*[F.approx_count_distinct(c, 0.02) for c in cols]).first()]
+        small = max(est) * 1.1 <= single_task_limit
+    stacked = _stack_many(sources)
     if small:
-        counts = _stack(df, cols).groupBy("m", "v").agg(F.count(F.lit(1)).alias("c"))
+        counts = stacked.groupBy("m", "v").agg(F.count(F.lit(1)).alias("c"))
         w = Window.partitionBy("m").orderBy("v")
         ranked = (counts.withColumn("cum", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
                   .withColumn("n", F.sum("c").over(Window.partitionBy("m"))))
-        return _exact_small(ranked, cols, probs)
-    return _exact_ranged(df, cols, probs, partitions)
+        res = _exact_small(ranked, flat, probs)
+    else:
+        res = _exact_ranged(stacked, flat, probs, partitions)
+    return [{c: res[f"{i}:{c}"] for c in cols} for i, (_, cols) in enumerate(sources)]
 
 
 def _exact_small(ranked: DataFrame, cols: list[str], probs: list[float]):
@@ -115,11 +138,11 @@ def _exact_small(ranked: DataFrame, cols: list[str], probs: list[float]):
     return _assemble(cols, probs, sizes, values)
 
 
-def _exact_ranged(df: DataFrame, cols: list[str], probs: list[float],
+def _exact_ranged(stacked: DataFrame, cols: list[str], probs: list[float],
                   partitions: int | None = None) -> dict[str, list[float | None]]:
-    spark = df.sparkSession
+    spark = stacked.sparkSession
     nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = _stack(df, cols).groupBy("m", "v").agg(F.count(F.lit(1)).alias("c"))
+    counts = stacked.groupBy("m", "v").agg(F.count(F.lit(1)).alias("c"))
     ranged = materialize(
         counts.repartitionByRange(nparts, "m", "v").withColumn("p", F.spark_partition_id()),
         "quantile_ranges")

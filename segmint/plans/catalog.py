@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import categorize as cat
 from ..operators import report as rep
-from ..operators.binning import fit_edges
+from ..operators.binning import fit_edges, fit_edges_many
 from ..operators.cluster import SegmentModel, bin_cells, collect_cells, k_choice, k_sweep, fit_segments, \
     weighted_silhouette, assign_cells
 from ..operators.favorite import category_rank, category_samples, customer_lookup, favorite_category, preview
@@ -63,15 +63,19 @@ def favorites(spark, sf):
     return favorite_category(gold(spark, sf))
 
 
-def fixed_model(fav: DataFrame, row_bound: int | None = None) -> SegmentModel:
-    """Model edges re-fitted on the favourites + the hand-set centroids."""
-    return SegmentModel(fit_edges(fav, n_bins=P.N_BINS, row_bound=row_bound), list(P.FIXED_CENTROIDS))
+def gold_fav_model(spark, sf):
+    """Gold (bins from edges on all rows), favourites, and the hand-set model
+    whose edges are re-fitted on the favourites. Favourites are picked by
+    R/F/M alone, so both edge sets are fitted in one job."""
+    c, rows = capped_bounded(spark, sf)
+    gold_b, model_b = fit_edges_many([c, favorite_category(c)], n_bins=P.N_BINS, row_bound=rows)
+    g = gold_b.transform(c)
+    return g, favorite_category(g), SegmentModel(model_b, list(P.FIXED_CENTROIDS))
 
 
 def assigned(spark, sf):
-    g, _, rows = gold_and_binner(spark, sf)
-    fav = favorite_category(g)
-    return fixed_model(fav, rows).assign(fav)
+    _, fav, model = gold_fav_model(spark, sf)
+    return model.assign(fav)
 
 
 def member_centroids(asg: DataFrame) -> DataFrame:
@@ -189,8 +193,7 @@ def q_segment_labels(spark, sf):
 
 
 def q_score_gold(spark, sf):
-    g, _, rows = gold_and_binner(spark, sf)
-    model = fixed_model(favorite_category(g), rows)
+    g, _, model = gold_fav_model(spark, sf)
     return model.score(g, "Cluster")
 
 
@@ -275,9 +278,7 @@ def q_stream_daily_sales(spark, sf):
 
 def q_stream_score(spark, sf):
     """Favourites written as files, read back as a stream, scored."""
-    g, _, rows = gold_and_binner(spark, sf)
-    fav = favorite_category(g)
-    model = fixed_model(fav, rows)
+    _, fav, model = gold_fav_model(spark, sf)
     src = os.path.join(checkpoint_dir(spark), "segmint-streams", "fav-src-" + os.urandom(6).hex())
     fav.drop("r_bin", "f_bin", "m_bin").write.parquet(src)
     stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
@@ -289,9 +290,7 @@ def q_latest_model(spark, sf):
     """Save the model (two versions), promote the second, load the production
     version back and assign with it: must equal ``segment_assign``."""
     from ..sources import model_store
-    g, _, rows = gold_and_binner(spark, sf)
-    fav = favorite_category(g)
-    model = fixed_model(fav, rows)
+    _, fav, model = gold_fav_model(spark, sf)
     where = os.path.join(checkpoint_dir(spark), "segmint-models", os.urandom(6).hex())
     model_store.save_model(spark, where, "segments", model)
     v2 = model_store.save_model(spark, where, "segments", model)

@@ -4,7 +4,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from segmint.operators.binning import QuantileBinner, bin_column, inner_edges, kept_edges
-from segmint.operators.quantiles import _exact_ranged, exact_quantiles
+from segmint.operators.quantiles import _exact_ranged, _stack, exact_quantiles, exact_quantiles_many
 
 PROBS = [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]
 
@@ -66,7 +66,7 @@ def test_ranged_plan_equals_single_task_plan(spark):
     ys = list(rng.integers(0, 30, 4000))
     df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(xs, ys)], "x double, y double")
     small = exact_quantiles(df, ["x", "y"], PROBS)
-    ranged = _exact_ranged(df, ["x", "y"], PROBS, partitions=7)
+    ranged = _exact_ranged(_stack(df, ["x", "y"]), ["x", "y"], PROBS, partitions=7)
     assert small == ranged
     for col, vals in (("x", xs), ("y", ys)):
         ref = np.percentile(np.asarray(vals, float), [p * 100 for p in PROBS])
@@ -88,3 +88,13 @@ def test_approx_path_runs(spark):
 @pytest.mark.parametrize("edges,inner", [([1, 2, 3], [2]), ([1, 1, 1], []), ([1, 2, 2], [])])
 def test_inner_edges(edges, inner):
     assert inner_edges(edges) == inner
+
+
+def test_many_sources_equal_separate_fits(spark):
+    a = spark.createDataFrame([(float(i % 17), float(i % 5)) for i in range(200)], "x double, y double")
+    b = a.where("x > 3")
+    both = exact_quantiles_many([(a, ["x", "y"]), (b, ["x"])], PROBS)
+    assert both[0] == exact_quantiles(a, ["x", "y"], PROBS)
+    assert both[1] == exact_quantiles(b, ["x"], PROBS)
+    big = exact_quantiles_many([(a, ["x"]), (b, ["x"])], PROBS, single_task_limit=0, partitions=3)
+    assert big == [exact_quantiles(a, ["x"], PROBS), exact_quantiles(b, ["x"], PROBS)]
