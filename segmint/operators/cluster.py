@@ -288,6 +288,8 @@ def fit_segments(favorites: DataFrame, k: int = 8, restarts: int = 50, seed: int
     cells = bin_cells(binner.transform(favorites))
     spark = favorites.sparkSession
     X, w = collect_cells(cells, n_bins)
+    if k > len(X):
+        raise ValueError(f"k={k} exceeds the {len(X)} distinct (r_bin, f_bin, m_bin) cells")
     best = best_per_k(_restarts(spark, X, w, [k], restarts, seed)).first()
     C = np.asarray(best["centers"], dtype=float).reshape(k, -1)
     order = canonical_order(C)

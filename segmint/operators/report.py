@@ -44,6 +44,8 @@ def metric_histogram(df: DataFrame, cols: list[str], bins: int = 10) -> DataFram
                         .otherwise(F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("hi"),
                         "n"))
         parts.append(part)
+    if not parts:  # no non-null value in any column
+        return df.sparkSession.createDataFrame([], "metric string, bin int, lo double, hi double, n bigint")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -138,3 +138,13 @@ def test_customer_sample_is_order_independent(spark):
     a = {r.CustomerID for r in rep.customer_sample(df, 0.1, 7).collect()}
     b = {r.CustomerID for r in rep.customer_sample(df.repartition(5).orderBy("v", ascending=False), 0.1, 7).collect()}
     assert a == b and 120 < len(a) < 280
+
+
+def test_empty_histogram_and_too_large_k(spark):
+    import pytest
+    e = spark.createDataFrame([(None,)], "x double")
+    assert rep.metric_histogram(e, ["x"], 10).count() == 0
+    fav = spark.createDataFrame([("a", 1, 1, 1.0), ("b", 2, 1, 1.0)],
+                                "CustomerID string, Recency int, Frequency long, MonetaryValue double")
+    with pytest.raises(ValueError):
+        fit_segments(fav, k=8, restarts=2)
