@@ -296,3 +296,15 @@ def fit_segments(favorites: DataFrame, k: int = 8, restarts: int = 50, seed: int
     cents = [(i, *map(float, C[j])) for i, j in enumerate(order)]
     return SegmentModel(binner, cents, meta={"k": k, "restarts": restarts, "seed": seed,
                                              "inertia": float(best["inertia"])})
+
+
+def assign_segment(df: DataFrame, model: SegmentModel) -> DataFrame:
+    """Bins (model edges) and ``cluster`` for every row of ``df``."""
+    return model.assign(df)
+
+
+def silhouette(cells: DataFrame, model: SegmentModel, n_bins: int | None = None) -> float:
+    """Mean silhouette over the rows summarised by ``cells`` (r_bin, f_bin,
+    m_bin, w) for ``model``'s assignment, computed on the weighted cells."""
+    X, w = collect_cells(cells, n_bins or model.n_bins)
+    return weighted_silhouette(X, w, assign_cells(X, model.centers()))

@@ -148,3 +148,14 @@ def test_empty_histogram_and_too_large_k(spark):
                                 "CustomerID string, Recency int, Frequency long, MonetaryValue double")
     with pytest.raises(ValueError):
         fit_segments(fav, k=8, restarts=2)
+
+
+def test_silhouette_api_matches_numpy(spark):
+    from segmint import silhouette
+    b = BinnerModel({"r_bin": "-Recency", "f_bin": "Frequency", "m_bin": "MonetaryValue"},
+                    {"r_bin": None, "f_bin": None, "m_bin": None}, 5)
+    m = SegmentModel(b, [(0, 4.0, 4.0, 4.0), (1, 0.0, 0.0, 0.0)])
+    cells = spark.createDataFrame([(0, 0, 0, 3), (4, 4, 4, 2), (4, 3, 4, 1)], "r_bin int, f_bin int, m_bin int, w long")
+    X = np.array([[0, 0, 0], [4, 4, 4], [4, 3, 4]], float)
+    w = np.array([3.0, 2.0, 1.0])
+    assert silhouette(cells, m) == weighted_silhouette(X, w, assign_cells(X, m.centers()))
