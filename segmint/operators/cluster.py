@@ -280,11 +280,14 @@ class SegmentModel:
 
 def fit_segments(favorites: DataFrame, k: int = 8, restarts: int = 50, seed: int = 42,
                  n_bins: int = 5, inputs: dict[str, str] | None = None,
-                 row_bound: int | None = None) -> SegmentModel:
-    """Re-bin ``favorites`` (the model's own edges), then the best of
+                 row_bound: int | None = None, binner: BinnerModel | None = None) -> SegmentModel:
+    """Re-bin ``favorites`` (the model's own edges -- fitted here unless a
+    ``binner`` fitted on the same favourites is given), then the best of
     ``restarts`` weighted k-means runs on the cells, with canonical ids."""
     from .binning import QuantileBinner, RFM_INPUTS
-    binner = QuantileBinner(dict(inputs or RFM_INPUTS), n_bins).fit(favorites, row_bound)
+    if binner is None:
+        binner = QuantileBinner(dict(inputs or RFM_INPUTS), n_bins).fit(favorites, row_bound)
+    n_bins = binner.n_bins
     cells = bin_cells(binner.transform(favorites))
     spark = favorites.sparkSession
     X, w = collect_cells(cells, n_bins)

@@ -309,8 +309,8 @@ def q_k_choice(spark, sf):
 
 
 def q_segment_model(spark, sf):
-    g, _, rows = gold_and_binner(spark, sf)
-    m = fit_segments(favorite_category(g), P.SEGMENTS_K, P.RESTARTS, P.SEED, P.N_BINS, row_bound=rows)
+    _, fav, fixed = gold_fav_model(spark, sf)
+    m = fit_segments(fav, P.SEGMENTS_K, P.RESTARTS, P.SEED, P.N_BINS, binner=fixed.binner)
     return m.centroids_frame(spark)
 
 
