@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Order-line columns that identify a line well enough to spread null keys.
+LINE_SALT = ["InvoiceNo", "StockCode", "Quantity", "SalesAmount"]
 
-def left_lookup(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+
+def left_lookup(left: DataFrame, right: DataFrame, key: str, salt_cols: list[str] | None = None) -> DataFrame:
     """``left LEFT JOIN right USING (key)`` in one pass, safe for a hot null key.
 
     A null key never matches, but in a plain shuffle join every null-key row
@@ -16,9 +19,14 @@ def left_lookup(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     distinct salt (a hash of the row), so they spread over all partitions,
     and their ``true`` flag can never meet the right side's ``false``. Skew
     on real keys is left to AQE's skew-join split.
+
+    The salt must be a deterministic function of the row (a recomputed map
+    task must send each row to the same reducer); ``salt_cols`` names a few
+    cheap columns that vary between rows, so the salt does not keep every
+    left column alive (all columns by default).
     """
     rcols = [c for c in right.columns if c != key]
-    salt = F.xxhash64(*[F.col(c) for c in left.columns]).cast("string")
+    salt = F.xxhash64(*[F.col(c) for c in (salt_cols or left.columns)]).cast("string")
     lk = left.withColumns({
         "_lk_null": F.col(key).isNull(),
         "_lk": F.when(F.col(key).isNull(), salt).otherwise(F.col(key).cast("string")),

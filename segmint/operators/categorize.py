@@ -18,7 +18,7 @@ from pyspark.ml.feature import IDF, PCA, HashingTF, StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.joins import left_lookup
+from ..functions.joins import LINE_SALT, left_lookup
 from ..functions.text import WHITESPACE, stop_words
 from ..session import materialize
 
@@ -150,7 +150,8 @@ def attach_category(bronze: DataFrame, categorized: DataFrame, labels: DataFrame
     right side is one row per description, so no fan-out; a null description
     keeps a null category) + ProductCategoryName (left join on the label table,
     one row per category id -- a bound of k rows, broadcast)."""
-    with_id = left_lookup(bronze, categorized.select("Description", "ProductCategoryID"), "Description")
+    with_id = left_lookup(bronze, categorized.select("Description", "ProductCategoryID"), "Description",
+                          salt_cols=[c for c in LINE_SALT if c in bronze.columns] or None)
     return with_id.join(F.broadcast(labels), "ProductCategoryID", "left")
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.joins import left_lookup
+from ..functions.joins import LINE_SALT, left_lookup
 from .cluster import BIN_COLS
 
 
@@ -105,7 +105,8 @@ def orders_with_segment(silver: DataFrame, assigned: DataFrame) -> DataFrame:
     (``left_lookup``). Both keys are strings."""
     right = assigned.select(F.col("CustomerID").cast("string").alias("CustomerID"),
                             F.col("cluster").alias("Cluster"), "Recency", "Frequency", "MonetaryValue")
-    return left_lookup(silver.withColumn("CustomerID", F.col("CustomerID").cast("string")), right, "CustomerID")
+    return left_lookup(silver.withColumn("CustomerID", F.col("CustomerID").cast("string")), right, "CustomerID",
+                       salt_cols=LINE_SALT)
 
 
 def audience_export(assigned: DataFrame, labels: DataFrame) -> DataFrame:
