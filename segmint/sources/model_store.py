@@ -36,11 +36,10 @@ def _table(schema: str) -> str:
 
 def _exists(spark: SparkSession, where: str) -> bool:
     if _is_path(where):
-        try:
-            spark.read.schema(MODELS_SCHEMA).parquet(where).limit(1).collect()
-            return True
-        except Exception:  # noqa: BLE001 - no store written yet
-            return False
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(where)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(path))
     return spark.catalog.tableExists(_table(where))
 
 
