@@ -117,6 +117,7 @@ class QuantileBinner:
     strategy: str = "quantile"
     approx: bool = False
     accuracy: int = 10000
+    single_task_limit: int = 2_000_000  # distinct values per metric sorted in one task
 
     def fit(self, df: DataFrame, row_bound: int | None = None) -> BinnerModel:
         """``row_bound``: an upper bound on df's row count if the caller knows
@@ -128,7 +129,8 @@ class QuantileBinner:
         elif self.strategy == "quantile":
             probs = [j / self.n_bins for j in range(self.n_bins + 1)]
             q = (approx_quantiles(proj, outs, probs, self.accuracy) if self.approx
-                 else exact_quantiles(proj, outs, probs, row_bound=row_bound))
+                 else exact_quantiles(proj, outs, probs, row_bound=row_bound,
+                                      single_task_limit=self.single_task_limit))
             edges = {o: (None if v[0] is None else v) for o, v in q.items()}
         else:
             raise ValueError(f"unknown strategy {self.strategy}")

@@ -98,3 +98,16 @@ def test_many_sources_equal_separate_fits(spark):
     assert both[1] == exact_quantiles(b, ["x"], PROBS)
     big = exact_quantiles_many([(a, ["x"]), (b, ["x"])], PROBS, single_task_limit=0, partitions=3)
     assert big == [exact_quantiles(a, ["x"], PROBS), exact_quantiles(b, ["x"], PROBS)]
+
+
+def test_fit_through_range_plan_gives_same_bins(spark):
+    rng = np.random.default_rng(11)
+    rows = [(int(rng.integers(0, 400)), int(rng.integers(1, 9)), float(np.round(rng.gamma(2, 60), 2)))
+            for _ in range(1500)]
+    df = spark.createDataFrame(rows, "Recency int, Frequency long, MonetaryValue double")
+    small = QuantileBinner().fit(df)
+    ranged = QuantileBinner(single_task_limit=0).fit(df)
+    assert small.edges == ranged.edges
+    a = sorted(small.transform(df).select("r_bin", "f_bin", "m_bin").collect())
+    b = sorted(ranged.transform(df).select("r_bin", "f_bin", "m_bin").collect())
+    assert a == b
