@@ -118,16 +118,27 @@ def audience_export(assigned: DataFrame, labels: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------------------
 # segment reports
 # ----------------------------------------------------------------------------
-def segment_profile(assigned: DataFrame, digits: int = 6) -> DataFrame:
+def segment_profile(assigned: DataFrame, orders: DataFrame | None = None, digits: int = 6) -> DataFrame:
     """Per segment: customers, share of customers, mean R/F/M (rounded to
-    ``digits`` so the figures do not depend on summation order)."""
+    ``digits`` so the figures do not depend on summation order) and, given
+    the order lines with their segment, revenue (positive sales, exact
+    decimal) and revenue share. Both inputs are reduced to one row per
+    segment before they meet."""
     w = Window.partitionBy()  # over the per-segment rows only (one per segment)
     g = assigned.groupBy("cluster").agg(
         F.count(F.lit(1)).alias("customers"),
         F.round(F.avg(F.col("Recency").cast("double")), digits).alias("avg_recency"),
         F.round(F.avg(F.col("Frequency").cast("double")), digits).alias("avg_frequency"),
         F.round(F.avg("MonetaryValue"), digits).alias("avg_monetary"))
-    return g.withColumn("customer_share", F.round(F.col("customers") / F.sum("customers").over(w), digits))
+    g = g.withColumn("customer_share", F.round(F.col("customers") / F.sum("customers").over(w), digits))
+    if orders is None:
+        return g
+    rev = (orders.where((F.col("SalesAmount") > 0) & F.col("Cluster").isNotNull())
+           .groupBy(F.col("Cluster").alias("cluster"))
+           .agg(F.sum("SalesAmount").cast("decimal(38,2)").alias("revenue")))
+    g = g.join(rev, "cluster", "left")
+    total = F.sum("revenue").over(w).cast("double")
+    return g.withColumn("revenue_share", F.round(F.col("revenue").cast("double") / total, digits))
 
 
 def segment_top_categories(orders: DataFrame, n: int = 3) -> DataFrame:

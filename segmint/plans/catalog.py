@@ -223,7 +223,8 @@ def fixed_model_centers():
 
 
 def q_segment_profile(spark, sf):
-    return rep.segment_profile(assigned(spark, sf))
+    asg = assigned(spark, sf)
+    return rep.segment_profile(asg, rep.orders_with_segment(silver(spark, sf), asg))
 
 
 def q_segment_top_categories(spark, sf):

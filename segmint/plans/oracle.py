@@ -275,13 +275,20 @@ def oracle() -> dict[str, str]:
                              ELSE (b - sown / (Wown - 1)) / greatest(sown / (Wown - 1), b) END AS s FROM ab)""",
                                   """SELECT round(SUM(w * coalesce(s, 0.0)) / SUM(w), 9) AS silhouette,
               CAST(SUM(w) AS BIGINT) AS customers, CAST(COUNT(*) AS INTEGER) AS cells FROM sil""")
-    q["segment_profile"] = _q(ASSIGNED, """
-      SELECT cluster, COUNT(*) AS customers,
-             round(AVG(CAST(Recency AS DOUBLE)), 6) AS avg_recency,
-             round(AVG(CAST(Frequency AS DOUBLE)), 6) AS avg_frequency,
-             round(AVG(MonetaryValue), 6) AS avg_monetary,
-             round(COUNT(*) / SUM(COUNT(*)) OVER (), 6) AS customer_share
-      FROM assigned GROUP BY cluster""")
+    q["segment_profile"] = _q(f"""{ASSIGNED},
+      prof AS (
+        SELECT cluster, COUNT(*) AS customers,
+               round(AVG(CAST(Recency AS DOUBLE)), 6) AS avg_recency,
+               round(AVG(CAST(Frequency AS DOUBLE)), 6) AS avg_frequency,
+               round(AVG(MonetaryValue), 6) AS avg_monetary,
+               round(COUNT(*) / SUM(COUNT(*)) OVER (), 6) AS customer_share
+        FROM assigned GROUP BY cluster),
+      rev AS (
+        SELECT Cluster AS cluster, CAST(SUM(SalesAmount) AS DECIMAL(38,2)) AS revenue
+        FROM orders_seg WHERE SalesAmount > 0 AND Cluster IS NOT NULL GROUP BY Cluster)""", """
+      SELECT p.*, r.revenue,
+             round(CAST(r.revenue AS DOUBLE) / CAST(SUM(r.revenue) OVER () AS DOUBLE), 6) AS revenue_share
+      FROM prof p LEFT JOIN rev r USING (cluster)""")
     q["segment_top_categories"] = _q(ASSIGNED, f"""
       SELECT * FROM (
         SELECT Cluster, ProductCategoryID, ProductCategoryName, Sales,
