@@ -95,6 +95,6 @@ def run_pipeline(spark: SparkSession, bronze: DataFrame, cfg: PipelineConfig = P
     names = {int(r["cluster"]): r["label"] for r in out["rfmp_clusters"].collect()}  # k rows
     out["orders_gold"] = _save(rep.map_labels(orders, names), f"{s}.orders_gold", cfg.fmt)
     out["audience"] = _save(rep.audience_export(assigned, out["rfmp_clusters"]), f"{s}.audience", cfg.fmt)
-    out["segment_profile"] = rep.segment_profile(assigned)
+    out["segment_profile"] = rep.segment_profile(assigned, out["orders_gold"])
     out["segment_top_categories"] = rep.segment_top_categories(out["orders_gold"])
     return out

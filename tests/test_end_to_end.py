@@ -38,6 +38,8 @@ def test_pipeline_end_to_end_and_model_store(spark):
     stages = {r.version: r.stage for r in model_store.models(spark, "e2e").collect()}
     assert stages == {1: "archived", 2: "production"}
     assert model_store.latest_model(spark, "e2e", cfg.model_name).first().version == 2
+    shares = [r.revenue_share for r in out["segment_profile"].collect()]
+    assert abs(sum(s for s in shares if s is not None) - 1.0) < 1e-5
 
 
 def test_read_orders_csv(spark):
