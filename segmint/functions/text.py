@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
+from .stopwords import ENGLISH
 
 # The characters Java's regex ``\s`` matches (what the ML
 # Tokenizer splits on), written out so every engine splits identically:
@@ -13,18 +10,12 @@ import zipfile
 WHITESPACE = "[ \\t\\n\\x0B\\f\\r]"
 
 
-@functools.lru_cache(maxsize=None)
 def stop_words(language: str = "english") -> tuple[str, ...]:
-    """Spark ML's default stop-word list for ``language``.
-
-    Read from the resource bundled in the installed Spark ML jar (the list
-    ``StopWordsRemover.loadDefaultStopWords`` returns), without starting a JVM,
-    so SQL twins can inline the same words."""
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if not jars:
-        from pyspark.ml.feature import StopWordsRemover
-        return tuple(StopWordsRemover.loadDefaultStopWords(language))
-    with zipfile.ZipFile(jars[0]) as z:
-        text = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    return tuple(w for w in text.split("\n") if w.strip())
+    """Spark ML's default stop-word list for ``language``. English, the only
+    language the registered queries use, is a literal list (``stopwords.py``)
+    and needs neither a session nor a JVM; any other language is asked of
+    ``StopWordsRemover``, which needs a running session."""
+    if language == "english":
+        return ENGLISH
+    from pyspark.ml.feature import StopWordsRemover
+    return tuple(StopWordsRemover.loadDefaultStopWords(language))

@@ -3,7 +3,9 @@ folder used to cut lineage (``spark.checkpoint.dir``)."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -41,33 +43,62 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared lineage-cut folder.
 
     On a cluster this is whatever the cluster put in ``spark.checkpoint.dir``
-    (or already set on the context). Only when nothing is configured -- local
-    tests -- do we create one of our own.
+    (or already set on the context). Only a local master (tests), where driver
+    and executors are one process, gets a folder of its own when nothing is
+    configured; elsewhere a machine-local folder would lose files, so this
+    raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf = sc.getConf().get("spark.checkpoint.dir", None)
+    conf = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
-        try:
-            conf = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - key absent
-            conf = None
-    if not conf:
-        conf = tempfile.mkdtemp(prefix="segmint-ckpt-", dir="/tmp")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf = tempfile.mkdtemp(prefix="segmint-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
 
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared folder, removed by ``release`` or when the
+    driver's process ends."""
+    path = os.path.join(checkpoint_dir(spark), "segmint", f"{name}-{uuid.uuid4().hex}")
+    app = spark.sparkContext.applicationId
+    if app not in _WRITTEN:
+        _WRITTEN[app] = []
+        atexit.register(release, spark)
+    _WRITTEN[app].append(path)
+    return path
+
+
+def release(spark: SparkSession, *paths: str) -> None:
+    """Delete the given written tables (all of this application's when none is
+    given) through the Hadoop FileSystem API. Safe to call after the session
+    has stopped: what a dead JVM cannot delete stays for the folder's owner."""
+    sc = spark.sparkContext
+    if sc._jsc is None or sc._jsc.sc().isStopped():
+        return
+    left = _WRITTEN.get(sc.applicationId, [])
+    for path in list(paths or left):
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+        if path in left:
+            left.remove(path)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back. Cuts lineage (a lost executor does not force recomputation of the
     upstream joins) and, unlike an RDD checkpoint, keeps column pruning and
-    filter pushdown for every later reader."""
+    filter pushdown for every later reader. The files live until ``release``
+    or the end of the driver's process."""
     spark = df.sparkSession
-    base = checkpoint_dir(spark)
-    path = os.path.join(base, "segmint", f"{name}-{uuid.uuid4().hex}")
+    path = shared_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
