@@ -43,7 +43,7 @@ def processor(model: bytes):
 class Chunks(dict):
     """Chunk -> number in a flat store of ids."""
 
-    def __init__(self, model: bytes, limit: int = 300_000):
+    def __init__(self, model: bytes, limit: int = 150_000):
         super().__init__()
         from sentencepiece import sentencepiece_model_pb2 as pb
         spec = pb.ModelProto()
@@ -110,62 +110,74 @@ def chunks_of(text: str) -> list[str]:
     return out
 
 
+def _encoded(table: Chunks, texts: list) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and ids of a block of texts, joined back by position."""
+    if len(table) > table.limit:
+        table.empty()
+    index, counts = [np.zeros(0, np.int64)], []
+    for t in texts:
+        c = chunks_of(t or "")
+        index.append(np.fromiter(map(table.__getitem__, c), np.int64, len(c)))
+        counts.append(len(c))
+    table.segment()
+    at = np.concatenate(index)
+    size = table.size[at]
+    ends = np.cumsum(size)
+    flat = table.flat[np.repeat(table.start[at] - (ends - size), size) + np.arange(int(size.sum()))]
+    per = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
+    return per, flat
+
+
+def _blocks(batches: Iterator[pa.Array], n: int = 128) -> Iterator[pa.Array]:
+    for batch in batches:
+        for lo in range(0, len(batch), n):
+            yield batch.slice(lo, n)
+
+
 def encode_column(text: Column, model: bytes) -> Column:
     """``array<int>`` of the whole text's ids, as the library's encode()."""
 
-    @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = Chunks(model)
-        for batch in batches:
-            parts = []
-            for lo in range(0, len(batch), 512):  # numpy arrays of a bounded number of texts
-                rows = batch.slice(lo, 512)
-                if len(table) > table.limit:
-                    table.empty()
-                index, counts = [], []
-                for t in rows:
-                    c = chunks_of(t.as_py() or "")
-                    index.append(np.fromiter(map(table.__getitem__, c), np.int64, len(c)))
-                    counts.append(len(c))
-                table.segment()
-                at = np.concatenate(index)
-                size = table.size[at]
-                ends = np.cumsum(size)
-                total = int(ends[-1]) if len(ends) else 0
-                flat = table.flat[np.repeat(table.start[at] - (ends - size), size) + np.arange(total)]
-                per = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-                parts.append(pa.ListArray.from_arrays(pa.array(per, pa.int32()), pa.array(flat, pa.int32())))
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
-
-    return encode(text)
+        for block in _blocks(batches):
+            per, flat = _encoded(table, block.to_pylist())
+            yield pa.ListArray.from_arrays(pa.array(per, pa.int32()), pa.array(flat, pa.int32()))
+
+    return F.arrow_udf(encode, "array<int>")(text)
 
 
 def decode_column(ids: Column, model: bytes) -> Column:
     """Text of a list of ids, as the library's decode()."""
 
-    @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         sp = processor(model)
-        for batch in batches:
-            parts = []
-            for lo in range(0, len(batch), 256):
-                rows = [x if x is not None else [] for x in batch.slice(lo, 256).to_pylist()]
-                parts.append(pa.array([sp.decode(x) if x else "" for x in rows], pa.string()))
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+        for block in _blocks(batches):
+            yield pa.array([sp.decode(x) if x else "" for x in block.to_pylist()], pa.string())
+
+    return F.arrow_udf(decode, "string")(ids)
+
+
+def round_trip_column(text: Column, model: bytes) -> Column:
+    """Struct of ids and the text they decode to, in one pass."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = Chunks(model)
+        for block in _blocks(batches):
+            per, flat = _encoded(table, block.to_pylist())
+            back = [table.sp.decode(flat[a:b].tolist()) if b > a else "" for a, b in zip(per[:-1], per[1:], strict=True)]
+            ids = pa.ListArray.from_arrays(pa.array(per, pa.int32()), pa.array(flat, pa.int32()))
+            yield pa.StructArray.from_arrays([ids, pa.array(back, pa.string())], names=["ids", "decoded"])
 
-    return decode(ids)
+    return F.arrow_udf(run, "ids array<int>, decoded string")(text)
 
 
-def encode_decode(docs: DataFrame, model_path: str, text: str = "text", ids_col: str = "ids",
-                  decoded_col: str = "decoded") -> DataFrame:
-    """Adds the ids and the text they decode to; other columns stay. The two
-    names must be free in ``docs``."""
-    model = read_model(model_path)
-    return docs.withColumn(ids_col, encode_column(F.col(text), model)).withColumn(
-        decoded_col, decode_column(F.col(ids_col), model))
+def encode_decode(docs: DataFrame, model_path: str, text: str = "text", out: str = "pieces") -> DataFrame:
+    """Adds struct ``out`` (its name must be free) of the ids and the text they
+    decode to; other columns stay."""
+    return docs.withColumn(out, round_trip_column(F.col(text), read_model(model_path)))
 
 
-def digests(df: DataFrame, ids: str, decoded: str) -> list[Column]:
+def digests(ids: str, decoded: str) -> list[Column]:
     """The digest columns of the contract."""
     return [
         F.size(ids).cast("long").alias("n_tokens"),
@@ -182,7 +194,7 @@ def production_model() -> str:
 def tokenized(docs: DataFrame) -> DataFrame:
     """doc_id and the digest columns of every whole text."""
     d = encode_decode(docs.select("doc_id", "text"), production_model())
-    return d.select("doc_id", *digests(d, "ids", "decoded"))
+    return d.select("doc_id", *digests("pieces.ids", "pieces.decoded"))
 
 
 def q_op8(spark, sf):
