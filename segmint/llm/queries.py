@@ -8,6 +8,7 @@ from . import op10_simhash as op10
 from . import op3_language_id as op3
 from . import op4_quality_rules as op4
 from . import op5_pii as op5
+from . import op6_line_dedup as op6
 from . import op7_warc as op7
 from . import op8_sentencepiece as op8
 from . import op9_quality_classifier as op9
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_language_id": op3.q_op3,
     "op4_quality_rules": op4.q_op4,
     "op5_pii": op5.q_op5,
+    "op6_line_dedup": op6.q_op6,
     "op7_warc": op7.q_op7,
     "op8_sentencepiece": op8.q_op8,
     "op9_quality_classifier": op9.q_op9,
