@@ -200,3 +200,9 @@ def tokenized(docs: DataFrame) -> DataFrame:
 def q_op8(spark, sf):
     """Every row of ``documents``, with the public 32k model."""
     return tokenized(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
+def tokenize_stage(spark, docs, sf_dir):
+    """Last pipeline stage: doc_id and the digests of every text's ids and of
+    what they decode to."""
+    return tokenized(docs)

@@ -3,8 +3,8 @@ express on whole tables."""
 
 from __future__ import annotations
 
+from . import op1_decontamination as op1
 from . import op2_toxicity as op2
-from . import op10_simhash as op10
 from . import op3_language_id as op3
 from . import op4_quality_rules as op4
 from . import op5_pii as op5
@@ -12,8 +12,10 @@ from . import op6_line_dedup as op6
 from . import op7_warc as op7
 from . import op8_sentencepiece as op8
 from . import op9_quality_classifier as op9
+from . import op10_simhash as op10
 
 QUERIES = {
+    "op1_decontamination": op1.q_op1,
     "op2_toxicity": op2.q_op2,
     "op3_language_id": op3.q_op3,
     "op4_quality_rules": op4.q_op4,
