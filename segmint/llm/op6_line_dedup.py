@@ -63,18 +63,21 @@ def probes(edits: int = EDITS) -> list[tuple[int, int, int]]:
     return out
 
 
-def segment_keys(line: Column, n: Column, edits: int = EDITS) -> Column:
-    """array<bigint> of all keys of a line of n characters."""
+def segment_keys(rows: DataFrame, edits: int = EDITS, line: str = "line") -> DataFrame:
+    """``rows`` once for each key of its line, in ``k``. The places to cut are
+    a constant table that is exploded, so the expression for one key is all
+    that is compiled (twelve of them in one array make a method that the JIT
+    refuses)."""
     parts = edits + 1
-    keys = []
-    for less, i, shift in probes(edits):
-        m = n - F.lit(less)
-        small = F.floor(m / parts).cast("int")  # the last m mod parts segments are longer by one
-        longer = (m % parts).cast("int")
-        size = small + F.when(F.lit(i) > F.lit(parts) - longer, 1).otherwise(0)
-        start = F.lit(1 + shift) + small * (i - 1) + F.greatest(F.lit(0), F.lit(i - 1) - (F.lit(parts) - longer))
-        keys.append(F.xxhash64(m.cast("int"), F.lit(i), F.substring(line, start, size)))
-    return F.array(*keys)
+    table = F.array(*[F.struct(F.lit(less).alias("less"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
+                      for less, i, shift in probes(edits)])
+    p = rows.withColumn("_p", F.explode(table)).withColumn("_m", F.char_length(line) - F.col("_p.less"))
+    i, m = F.col("_p.i"), F.col("_m")
+    longer = m % parts  # the last m mod parts segments are longer by one
+    small = F.expr(f"_m div {parts}").cast("int")
+    size = small + (i > parts - longer).cast("int")
+    start = 1 + F.col("_p.shift") + small * (i - 1) + F.greatest(F.lit(0), i - 1 - (parts - longer))
+    return p.withColumn("k", F.xxhash64(m, i, F.substring(F.col(line), start, size))).drop("_p", "_m")
 
 
 def common_prefix(a: Column, b: Column, n: Column) -> Column:
@@ -165,9 +168,8 @@ def line_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
 def line_links(docs: DataFrame, text: str = "text") -> DataFrame:
     """Distinct links (x, y), x < y, between hashes of lines within ``EDITS``
     edits of each other and not equal."""
-    n = F.char_length("line")
-    line = docs.select(F.explode(F.split(text, "\n")).alias("line")).where(n >= MIN_CHARS)
-    keyed = line.select(F.xxhash64("line").alias("id"), "line", F.explode(segment_keys(F.col("line"), n)).alias("k"))
+    line = docs.select(F.explode(F.split(text, "\n")).alias("line")).where(F.char_length("line") >= MIN_CHARS)
+    keyed = segment_keys(line.select(F.xxhash64("line").alias("id"), "line"))
     shared = keyed.groupBy("k").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select(F.col("k").alias("sk"))
     shared = materialize(shared, "line-keys")
     if shared.count() <= BROADCAST_KEYS:
