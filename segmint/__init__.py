@@ -15,7 +15,7 @@ from .operators.report import (audience_export, centroid_levels, customer_sample
                                level_counts, map_labels, metric_histogram, orders_with_segment,
                                segment_bin_counts, segment_labels, segment_profile, segment_projection,
                                segment_top_categories)
-from .session import checkpoint_dir, ensure_parallelism, get_spark, materialize
+from .session import checkpoint_dir, get_spark, materialize
 from .sources.model_store import latest_model, load_model, promote, save_model
 from .sources.transactions import load_transactions, load_typed_silver, read_orders
 from .streaming.stream import run_to_completion, stream_daily_sales, stream_score

@@ -117,11 +117,8 @@ class QuantileBinner:
     strategy: str = "quantile"
     approx: bool = False
     accuracy: int = 10000
-    single_task_limit: int = 2_000_000  # distinct values per metric sorted in one task
 
-    def fit(self, df: DataFrame, row_bound: int | None = None) -> BinnerModel:
-        """``row_bound``: an upper bound on df's row count if the caller knows
-        one (e.g. the row count of the table it was derived from)."""
+    def fit(self, df: DataFrame) -> BinnerModel:
         outs = list(self.inputs)
         proj = df.select([F.expr(e).alias(o) for o, e in self.inputs.items()])
         if self.strategy == "uniform":
@@ -129,8 +126,7 @@ class QuantileBinner:
         elif self.strategy == "quantile":
             probs = [j / self.n_bins for j in range(self.n_bins + 1)]
             q = (approx_quantiles(proj, outs, probs, self.accuracy) if self.approx
-                 else exact_quantiles(proj, outs, probs, row_bound=row_bound,
-                                      single_task_limit=self.single_task_limit))
+                 else exact_quantiles(proj, outs, probs))
             edges = {o: (None if v[0] is None else v) for o, v in q.items()}
         else:
             raise ValueError(f"unknown strategy {self.strategy}")
@@ -138,22 +134,21 @@ class QuantileBinner:
 
 
 def fit_edges(df: DataFrame, inputs: dict[str, str] | None = None, n_bins: int = 5,
-              strategy: str = "quantile", approx: bool = False, row_bound: int | None = None) -> BinnerModel:
-    return QuantileBinner(dict(inputs or RFM_INPUTS), n_bins, strategy, approx).fit(df, row_bound)
+              strategy: str = "quantile", approx: bool = False) -> BinnerModel:
+    return QuantileBinner(dict(inputs or RFM_INPUTS), n_bins, strategy, approx).fit(df)
 
 
 def apply_edges(df: DataFrame, model: BinnerModel) -> DataFrame:
     return model.transform(df)
 
 
-def fit_edges_many(frames: list[DataFrame], inputs: dict[str, str] | None = None, n_bins: int = 5,
-                   row_bound: int | None = None) -> list[BinnerModel]:
+def fit_edges_many(frames: list[DataFrame], inputs: dict[str, str] | None = None, n_bins: int = 5) -> list[BinnerModel]:
     """Exact quantile binners for several frames in one job (e.g. the gold
     edges on all rows and the model edges on the favourites)."""
     inputs = dict(inputs or RFM_INPUTS)
     outs = list(inputs)
     probs = [j / n_bins for j in range(n_bins + 1)]
     projs = [(df.select([F.expr(e).alias(o) for o, e in inputs.items()]), outs) for df in frames]
-    res = exact_quantiles_many(projs, probs, row_bound=row_bound)
+    res = exact_quantiles_many(projs, probs)
     return [BinnerModel(dict(inputs), {o: (None if v[0] is None else v) for o, v in r.items()}, n_bins)
             for r in res]

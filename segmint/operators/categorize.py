@@ -6,21 +6,27 @@ Two faces of the same work:
   per-term, written as explode + groupBy + equi-joins, so they run at any scale
   with codegen and are checkable against SQL;
 * the ML pipeline (``fit_categories``): Tokenizer-equivalent split, stop-word
-  removal, HashingTF, IDF, PCA, KMeans as one ``pyspark.ml.Pipeline`` fitted
-  on distinct descriptions and saved/loaded as a ``PipelineModel``.
+  removal, HashingTF and IDF as a ``pyspark.ml.Pipeline``, principal components
+  by distributed products (``lowrank``), KMeans; fitted on distinct
+  descriptions and saved/loaded as a ``CategoryModel``.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, PCA, HashingTF, StopWordsRemover
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.joins import LINE_SALT, left_lookup
+from ..functions.joins import LINE_SALT, left_lookup, split_join
 from ..functions.text import WHITESPACE, stop_words
 from ..session import materialize
+from .lowrank import principal_components, project
 
 
 def distinct_descriptions(bronze: DataFrame, col: str = "Description") -> DataFrame:
@@ -50,14 +56,14 @@ def token_rows(df: DataFrame, id_col: str, text_col: str, remove_stop: bool = Tr
 
 
 def tokens(df: DataFrame, id_col: str, text_col: str, keep_empty: bool = False,
-           remove_stop: bool = True) -> DataFrame:
+           remove_stop: bool = True, language: str = "english") -> DataFrame:
     """Token arrays per row (order and repeats kept), as the ML Tokenizer +
     StopWordsRemover produce them (empty tokens dropped unless asked)."""
-    arr = token_array(text_col, keep_empty)
+    out = df.select(id_col, token_array(text_col, keep_empty).alias("words"))
     if remove_stop:
-        sw = F.array(*[F.lit(w) for w in stop_words()])
-        arr = F.filter(arr, lambda t: ~F.array_contains(sw, t))
-    return df.select(id_col, arr.alias("words"))
+        remover = StopWordsRemover(inputCol="words", outputCol="_kept", stopWords=list(stop_words(language)))
+        out = remover.transform(out).select(id_col, F.col("_kept").alias("words"))
+    return out
 
 
 def term_frequency(tok: DataFrame, id_col: str) -> DataFrame:
@@ -77,12 +83,13 @@ def tfidf_terms(docs: DataFrame, tok: DataFrame, id_col: str, min_doc_freq: int
     # once (shared checkpoint folder) and both branches below read it.
     tf = materialize(term_frequency(tok, id_col), "term_frequency")
     # one row per (doc, term) already: df is a count over tf (partial
-    # aggregation absorbs a hot term); the join back is an equi-join that AQE
-    # can broadcast (vocabulary) or split when one term is skewed.
+    # aggregation absorbs a hot term); the join back is one that AQE can
+    # broadcast (vocabulary) or split when one term is skewed.
     dfreq = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     idf = F.when(F.col("df") >= min_doc_freq,
                  F.log(F.lit(float(n_docs + 1)) / (F.col("df") + F.lit(1.0)))).otherwise(F.lit(0.0))
-    return (tf.join(dfreq, "token")
+    dfreq = dfreq.withColumnRenamed("token", "_term")
+    return (split_join(tf, dfreq, F.col("token"), F.col("_term"), "inner")
             .withColumn("idf_raw", idf)
             .select(id_col, "token", "tf", "df",
                     F.round(F.col("idf_raw"), digits).alias("idf"),
@@ -92,8 +99,8 @@ def tfidf_terms(docs: DataFrame, tok: DataFrame, id_col: str, min_doc_freq: int
 # ----------------------------------------------------------------------------
 # ML pipeline
 # ----------------------------------------------------------------------------
-def category_pipeline(num_features: int = 1024, pca_k: int | None = 50, k: int = 10, seed: int = 42,
-                      text_col: str = "Description", keep_empty: bool = False) -> Pipeline:
+def feature_pipeline(num_features: int = 4096, text_col: str = "Description", keep_empty: bool = False) -> Pipeline:
+    """Description -> tf-idf vector: split, stop words, hashed counts, IDF."""
     from pyspark.ml.feature import SQLTransformer, Tokenizer
     if keep_empty:
         tok = Tokenizer(inputCol=text_col, outputCol="words_raw")
@@ -101,16 +108,42 @@ def category_pipeline(num_features: int = 1024, pca_k: int | None = 50, k: int =
         tok = SQLTransformer(statement=(
             f"SELECT *, filter(split(lower(`{text_col}`), '{WHITESPACE}'), t -> t != '') AS words_raw "
             "FROM __THIS__"))
-    stages = [tok,
-              StopWordsRemover(inputCol="words_raw", outputCol="words"),
-              HashingTF(inputCol="words", outputCol="tf_features", numFeatures=num_features),
-              IDF(inputCol="tf_features", outputCol="tfidf_features", minDocFreq=2)]
-    feat = "tfidf_features"
-    if pca_k:
-        stages.append(PCA(k=min(pca_k, num_features), inputCol=feat, outputCol="pca_features"))
-        feat = "pca_features"
-    stages.append(KMeans(k=k, seed=seed, featuresCol=feat, predictionCol="ProductCategoryID"))
-    return Pipeline(stages=stages)
+    return Pipeline(stages=[
+        tok, StopWordsRemover(inputCol="words_raw", outputCol="words"),
+        HashingTF(inputCol="words", outputCol="tf_features", numFeatures=num_features),
+        IDF(inputCol="tf_features", outputCol="tfidf_features", minDocFreq=2)])
+
+
+@dataclass
+class CategoryModel:
+    """Fitted features, principal components (num_features x k, or None) and
+    clusters."""
+    features: PipelineModel
+    components: np.ndarray | None
+    clusters: KMeansModel
+
+    def reduced(self, df: DataFrame) -> DataFrame:
+        out = self.features.transform(df)
+        if self.components is None:
+            return out
+        return out.withColumn("pca_features", array_to_vector(project(F.col("tfidf_features"), self.components)))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.clusters.transform(self.reduced(df))
+
+    def save(self, path: str) -> None:
+        self.features.write().overwrite().save(f"{path}/features")
+        self.clusters.write().overwrite().save(f"{path}/clusters")
+        spark = SparkSession.getActiveSession()
+        rows = [] if self.components is None else [(i, r.tolist()) for i, r in enumerate(self.components)]
+        spark.createDataFrame(rows, "i int, row array<double>").write.mode("overwrite").parquet(f"{path}/components")
+
+    @staticmethod
+    def load(path: str) -> "CategoryModel":
+        spark = SparkSession.getActiveSession()
+        rows = sorted(spark.read.parquet(f"{path}/components").collect(), key=lambda r: r["i"])  # num_features rows
+        return CategoryModel(PipelineModel.load(f"{path}/features"),
+                             np.array([r["row"] for r in rows]) if rows else None, KMeansModel.load(f"{path}/clusters"))
 
 
 def description_table(bronze: DataFrame, text_col: str = "Description") -> DataFrame:
@@ -123,21 +156,30 @@ def description_table(bronze: DataFrame, text_col: str = "Description") -> DataF
     return materialize(distinct_descriptions(bronze, text_col), "descriptions")
 
 
-def fit_categories(bronze: DataFrame, num_features: int = 1024, pca_k: int | None = 50, k: int = 10,
+def fit_categories(bronze: DataFrame, num_features: int = 4096, pca_k: int | None = 50, k: int = 10,
                    seed: int = 42, dedupe: bool = True, text_col: str = "Description",
-                   descriptions: DataFrame | None = None) -> PipelineModel:
-    """Fit the description pipeline on distinct descriptions (``dedupe``) or
-    on every line. PCA runs distributed (Gramian via treeAggregate); its
-    eigen-decomposition is num_features^2 on the driver, independent of
-    the data size."""
+                   descriptions: DataFrame | None = None, keep_empty: bool = False) -> CategoryModel:
+    """Fit the description model on distinct descriptions (``dedupe``) or on
+    every line. Components come from distributed products with a thin matrix
+    (``lowrank``), so the width of the features costs the driver no dense
+    covariance. A ``pca_k`` beyond ``num_features`` raises."""
+    if pca_k and pca_k > num_features:
+        raise ValueError(f"pca_k={pca_k} exceeds num_features={num_features}")
     if dedupe:
         src = descriptions if descriptions is not None else description_table(bronze, text_col)
     else:
         src = bronze.where(F.col(text_col).isNotNull())
-    return category_pipeline(num_features, pca_k, k, seed, text_col).fit(src)
+    features = feature_pipeline(num_features, text_col, keep_empty).fit(src)
+    vectors = materialize(features.transform(src).select(text_col, "tfidf_features"), "category-vectors")
+    comp = principal_components(vectors, "tfidf_features", num_features, pca_k, seed) if pca_k else None
+    col = "tfidf_features"
+    if comp is not None:
+        vectors, col = vectors.withColumn("pca_features", array_to_vector(project(F.col(col), comp))), "pca_features"
+    clusters = KMeans(k=k, seed=seed, featuresCol=col, predictionCol="ProductCategoryID").fit(vectors)
+    return CategoryModel(features, comp, clusters)
 
 
-def categorize(model: PipelineModel, bronze: DataFrame, text_col: str = "Description",
+def categorize(model: CategoryModel, bronze: DataFrame, text_col: str = "Description",
                descriptions: DataFrame | None = None) -> DataFrame:
     """(Description, ProductCategoryID) for every distinct description."""
     src = descriptions if descriptions is not None else distinct_descriptions(bronze, text_col)
@@ -149,10 +191,10 @@ def attach_category(bronze: DataFrame, categorized: DataFrame, labels: DataFrame
     """Silver: order lines + ProductCategoryID (left join on Description; the
     right side is one row per description, so no fan-out; a null description
     keeps a null category) + ProductCategoryName (left join on the label table,
-    one row per category id -- a bound of k rows, broadcast)."""
+    reduced to one row per category id; its size is left to the planner)."""
     with_id = left_lookup(bronze, categorized.select("Description", "ProductCategoryID"), "Description",
                           salt_cols=[c for c in LINE_SALT if c in bronze.columns] or None)
-    return with_id.join(F.broadcast(labels), "ProductCategoryID", "left")
+    return with_id.join(labels.dropDuplicates(["ProductCategoryID"]), "ProductCategoryID", "left")
 
 
 def default_labels(categorized: DataFrame, tok_tfidf: DataFrame, n_terms: int = 3,

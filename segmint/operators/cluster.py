@@ -28,9 +28,35 @@ BIN_COLS = ["r_bin", "f_bin", "m_bin"]
 # ----------------------------------------------------------------------------
 # cells
 # ----------------------------------------------------------------------------
-def bin_cells(df: DataFrame, cols: list[str] = BIN_COLS) -> DataFrame:
-    """(r_bin, f_bin, m_bin, w): distinct cells with their row counts."""
-    return df.where(F.col(cols[0]).isNotNull()).groupBy(*cols).agg(F.count(F.lit(1)).alias("w"))
+def bin_cells(df: DataFrame, cols: list[str] = BIN_COLS, extra: list[str] | None = None) -> DataFrame:
+    """(r_bin, f_bin, m_bin, w): distinct cells with their row counts, and the
+    columns in ``extra``, which must depend on the cell alone. Rows with a null
+    in any bin belong to no cell."""
+    whole = F.lit(True)
+    for c in cols:
+        whole = whole & F.col(c).isNotNull()
+    return df.where(whole).groupBy(*cols, *(extra or [])).agg(F.count(F.lit(1)).alias("w"))
+
+
+def silhouette_of_cells(cells: DataFrame, digits: int = 9) -> DataFrame:
+    """One row (silhouette, customers, cells) for cells with their ``cluster``
+    and weight ``w``: the mean Euclidean silhouette over the rows they stand
+    for. The cells are gathered in one row (at most n_bins**3, whatever the
+    data) and exploded against themselves, so no join is needed."""
+    one = cells.agg(F.collect_list(F.struct(*BIN_COLS, "cluster", "w")).alias("all"))
+    pair = one.select(F.explode("all").alias("i"), "all").select("i", F.explode("all").alias("j"))
+    gap = F.sqrt(sum(((F.col(f"i.{c}") - F.col(f"j.{c}")).cast("double") ** 2 for c in BIN_COLS), F.lit(0.0)))
+    to = pair.groupBy("i", F.col("j.cluster").alias("cj")).agg(
+        F.sum(F.col("j.w") * gap).alias("s"), F.sum("j.w").alias("size"))
+    own = F.col("cj") == F.col("i.cluster")
+    ab = to.groupBy("i").agg(
+        F.max(F.when(own, F.col("s") / F.nullif(F.col("size") - 1, F.lit(0)))).alias("a"),
+        F.max(F.when(own, F.col("size"))).alias("n"), F.min(F.when(~own, F.col("s") / F.col("size"))).alias("b"))
+    score = F.when(F.col("n") <= 1, 0.0).otherwise(
+        F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
+    w = F.col("i.w")
+    return ab.agg(F.round(F.sum(w * score) / F.sum(w), digits).alias("silhouette"), F.sum(w).alias("customers"),
+                  F.count(F.lit(1)).cast("int").alias("cells"))
 
 
 def collect_cells(cells: DataFrame, n_bins: int, cols: list[str] = BIN_COLS):
@@ -89,6 +115,46 @@ def weighted_kmeans(X: np.ndarray, w: np.ndarray, k: int, rng: np.random.Generat
     return inertia, C
 
 
+def weighted_kmeans_batch(X: np.ndarray, w: np.ndarray, k: int, restarts: int, rng: np.random.Generator,
+                          max_iter: int = 300, tol: float = 1e-4):
+    """``restarts`` runs of ``weighted_kmeans`` at once, as one tensor: the
+    best inertia, its number and centres. Runs that have settled drop out of
+    the tensor; the same rules hold for ties and emptied centres."""
+    n, d = X.shape
+    if k > n:
+        raise ValueError(f"k={k} exceeds the {n} distinct cells")
+    var = np.average((X - np.average(X, axis=0, weights=w)) ** 2, axis=0, weights=w).mean()
+    # k distinct cells, each drawn in proportion to the weights left: the k
+    # largest of log w plus Gumbel noise.
+    draw = np.argsort(-(np.log(w) + rng.gumbel(size=(restarts, n))), axis=1)[:, :k]
+    C = X[draw]
+    x2 = (X ** 2).sum(1)
+
+    def distances(c):
+        return np.maximum(0.0, x2[None, :, None] - 2 * (c @ X.T).transpose(0, 2, 1) + (c ** 2).sum(2)[:, None, :])
+
+    live, last = np.arange(restarts), np.full((restarts, n), -1)
+    for _ in range(max_iter):
+        c = C[live]
+        d2 = distances(c)
+        lab = d2.argmin(2)
+        hot = (lab[:, :, None] == np.arange(k)) * w[None, :, None]
+        size = hot.sum(1)
+        new = hot.transpose(0, 2, 1) @ X / np.where(size > 0, size, 1)[:, :, None]
+        for r, e in zip(*np.nonzero(size == 0)):  # the farthest cells take the place of emptied centres
+            far = np.argsort(-d2[r, np.arange(n), lab[r]], kind="stable")
+            new[r, e] = X[far[int((size[r, :e] == 0).sum())]]
+        shift = ((new - c) ** 2).sum((1, 2))
+        done = (lab == last[live]).all(1) | (shift <= tol * var)
+        C[live], last[live] = new, lab
+        live = live[~done]
+        if not len(live):
+            break
+    inertia = (distances(C).min(2) * w).sum(1)
+    best = int(np.argmin(np.round(inertia, 9)))
+    return float((w * _sqdist(X, C[best]).min(1)).sum()), best, C[best]
+
+
 def assign_cells(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     """Nearest centre per cell; ties go to the lowest cluster id."""
     return _sqdist(X, C).argmin(axis=1)
@@ -135,27 +201,30 @@ _RESTART_SCHEMA = T.StructType([
 ])
 
 
-def _restarts(spark: SparkSession, X, w, ks: list[int], restarts: int, seed: int,
-              partitions: int | None = None) -> DataFrame:
-    """One row per (k, restart): a Spark task runs a batch of restarts."""
+BATCH = 250  # restarts that a task runs as one tensor
+
+
+def _restarts(spark: SparkSession, X, w, ks: list[int], restarts: int, seed: int) -> DataFrame:
+    """The best of every batch of restarts: one row per (k, batch)."""
     from ..session import ship_package
     ship_package(spark)
-    nks = len(ks)
-    total = nks * restarts
-    parts = partitions or max(1, min(total, spark.sparkContext.defaultParallelism * 4))
-    ks_lit = F.array(*[F.lit(int(k)) for k in ks])
+    batches_per_k = -(-restarts // BATCH)
+    total = len(ks) * batches_per_k
+    parts = max(1, min(total, spark.sparkContext.defaultParallelism * 2))
+    # Neighbouring ids are different k, so the costly ones are spread out.
     tasks = spark.range(0, total, numPartitions=parts).select(
-        F.element_at(ks_lit, (F.col("id") / restarts).cast("int") + 1).alias("k"),
-        (F.col("id") % restarts).alias("restart"))
+        F.element_at(F.array(*[F.lit(int(k)) for k in ks]), (F.col("id") % len(ks)).cast("int") + 1).alias("k"),
+        F.floor(F.col("id") / len(ks)).alias("batch"))
     Xc, wc = X.copy(), w.copy()
 
     def run(batches):
         for pdf in batches:
             out = []
-            for k, r in zip(pdf["k"].to_numpy(), pdf["restart"].to_numpy()):
-                rng = np.random.default_rng([int(seed), int(k), int(r)])
-                inertia, C = weighted_kmeans(Xc, wc, int(k), rng)
-                out.append((int(k), int(r), inertia, C.reshape(-1).tolist()))
+            for k, b in zip(pdf["k"].to_numpy(), pdf["batch"].to_numpy()):
+                n = min(BATCH, restarts - int(b) * BATCH)
+                rng = np.random.default_rng([int(seed), int(k), int(b)])
+                inertia, at, C = weighted_kmeans_batch(Xc, wc, int(k), n, rng)
+                out.append((int(k), int(b) * BATCH + at, inertia, C.reshape(-1).tolist()))
             yield pd.DataFrame(out, columns=["k", "restart", "inertia", "centers"])
 
     return tasks.mapInPandas(run, _RESTART_SCHEMA)
@@ -169,17 +238,22 @@ def best_per_k(restart_rows: DataFrame) -> DataFrame:
         "k", "b.inertia", "b.restart", "b.centers")
 
 
-def k_sweep(cells: DataFrame, n_bins: int, ks: list[int] | None = None, restarts: int = 50,
+def k_sweep(cells: DataFrame, n_bins: int, ks: list[int] | None = None, restarts: int = 10_000,
             seed: int = 42) -> DataFrame:
-    """(k, inertia, silhouette) for each k: best of ``restarts`` random-init
-    runs, silhouette of that best model. Restarts are spread over tasks."""
+    """(k, inertia, silhouette) for every k asked for: best of ``restarts``
+    random-init runs, silhouette of that best model. Restarts are spread over
+    tasks. A k beyond the number of distinct cells has no model: its row has
+    nulls."""
     spark = cells.sparkSession
     X, w = collect_cells(cells, n_bins)
-    ks = [k for k in (ks or list(range(2, 21))) if k <= len(X)]
-    best = best_per_k(_restarts(spark, X, w, ks, restarts, seed))
+    ks = list(ks or range(2, 21))
+    able = [k for k in ks if k <= len(X)]
+    if not able:
+        raise ValueError(f"every k exceeds the {len(X)} distinct (r_bin, f_bin, m_bin) cells")
+    best = best_per_k(_restarts(spark, X, w, able, restarts, seed))
     Xc, wc, d = X.copy(), w.copy(), X.shape[1]
     schema = T.StructType([T.StructField("k", T.LongType(), False),
-                           T.StructField("inertia", T.DoubleType(), False),
+                           T.StructField("inertia", T.DoubleType(), True),
                            T.StructField("silhouette", T.DoubleType(), True)])
 
     def score(batches):
@@ -190,7 +264,9 @@ def k_sweep(cells: DataFrame, n_bins: int, ks: list[int] | None = None, restarts
                 rows.append((int(k), float(inertia), weighted_silhouette(Xc, wc, assign_cells(Xc, C))))
             yield pd.DataFrame(rows, columns=["k", "inertia", "silhouette"])
 
-    return best.mapInPandas(score, schema)
+    scored = best.mapInPandas(score, schema)
+    rest = [(int(k), None, None) for k in ks if k > len(X)]
+    return scored.union(spark.createDataFrame(rest, schema)) if rest else scored
 
 
 def choose_k(sweep: DataFrame, override: int | None = None, min_gain: float = 0.01) -> int:
@@ -278,15 +354,15 @@ class SegmentModel:
                             [tuple(c) for c in d["centroids"]], d.get("version"), d.get("meta", {}))
 
 
-def fit_segments(favorites: DataFrame, k: int = 8, restarts: int = 50, seed: int = 42,
+def fit_segments(favorites: DataFrame, k: int = 8, restarts: int = 10_000, seed: int = 42,
                  n_bins: int = 5, inputs: dict[str, str] | None = None,
-                 row_bound: int | None = None, binner: BinnerModel | None = None) -> SegmentModel:
+                 binner: BinnerModel | None = None) -> SegmentModel:
     """Re-bin ``favorites`` (the model's own edges -- fitted here unless a
     ``binner`` fitted on the same favourites is given), then the best of
     ``restarts`` weighted k-means runs on the cells, with canonical ids."""
     from .binning import QuantileBinner, RFM_INPUTS
     if binner is None:
-        binner = QuantileBinner(dict(inputs or RFM_INPUTS), n_bins).fit(favorites, row_bound)
+        binner = QuantileBinner(dict(inputs or RFM_INPUTS), n_bins).fit(favorites)
     n_bins = binner.n_bins
     cells = bin_cells(binner.transform(favorites))
     spark = favorites.sparkSession

@@ -49,6 +49,28 @@ def _date_literal(as_of) -> Column:
     return F.lit(as_of).cast("date")
 
 
+def group_totals(daily: DataFrame) -> DataFrame:
+    """Per (customer, category): last purchase day, purchase days, sales. Lazy."""
+    return daily.groupBy(*GROUP_KEYS).agg(
+        F.max("InvoiceDate").alias("_last"),
+        F.count("InvoiceDate").alias("Frequency"),
+        F.sum("DailySales").alias("_total"),
+    )
+
+
+def rfmp_from_totals(per: DataFrame, as_of=None) -> DataFrame:
+    """Recency, Frequency and MonetaryValue from ``group_totals``. With
+    ``as_of`` = None one small job reads the last day of ``per`` (pass a written
+    table); it enters the plan as a literal, so there is no cross join."""
+    snap = _date_literal(per.agg(F.max("_last")).first()[0] if as_of is None else as_of)
+    return per.select(
+        *GROUP_KEYS,
+        F.datediff(snap, F.col("_last")).alias("Recency"),
+        F.col("Frequency"),
+        (F.col("_total").cast("double") / F.col("Frequency")).alias("MonetaryValue"),
+    )
+
+
 def rfmp_metrics(daily: DataFrame, as_of=None) -> DataFrame:
     """Recency, Frequency and MonetaryValue per (customer, category).
 
@@ -59,27 +81,12 @@ def rfmp_metrics(daily: DataFrame, as_of=None) -> DataFrame:
     * MonetaryValue = mean of the daily sums, computed as
       ``cast(sum as double) / days`` so it does not depend on summation order.
 
-    ``as_of`` = None uses the global last day of ``daily``. To avoid running the
-    whole upstream plan twice (once for the global max, once for the groups)
-    the per-group partial result is written once to the shared checkpoint
-    folder; the global max is then a scan of that small table and enters the
-    plan as a literal (no cross join).
+    Lazy when ``as_of`` is given. With ``as_of`` = None this is an eager step,
+    like a fit: the per-group table is written once to the shared checkpoint
+    folder and its last day read, so the upstream plan does not run twice.
     """
-    per = daily.groupBy(*GROUP_KEYS).agg(
-        F.max("InvoiceDate").alias("_last"),
-        F.count("InvoiceDate").alias("Frequency"),
-        F.sum("DailySales").alias("_total"),
-    )
-    if as_of is None:
-        per = materialize(per, "rfm_partial")
-        as_of = per.agg(F.max("_last")).first()[0]
-    snap = _date_literal(as_of)
-    return per.select(
-        *GROUP_KEYS,
-        F.datediff(snap, F.col("_last")).alias("Recency"),
-        F.col("Frequency"),
-        (F.col("_total").cast("double") / F.col("Frequency")).alias("MonetaryValue"),
-    )
+    per = group_totals(daily)
+    return rfmp_from_totals(materialize(per, "rfm_partial") if as_of is None else per, as_of)
 
 
 def cap_metrics(metrics: DataFrame, freq_cap: int | None = 30,

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,98 +47,28 @@ def _stack_many(sources: list[tuple[DataFrame, list[str]]]) -> DataFrame:
 
 
 def _interp(lo: float, hi: float, d: float) -> float:
-    # lo*(1-d) + hi*d with one fused rounding: bit-identical to the SQL
-    # oracle's quantile_cont (within an ulp of numpy's "linear").
-    return math.fma(lo, 1.0 - d, hi * d)
-
-
-def _targets(n: int, probs: list[float]) -> list[tuple[int, int, float]]:
-    rows = []
-    for q in probs:
-        rn = (n - 1) * q
-        lo, hi = math.floor(rn), math.ceil(rn)
-        rows.append((lo, hi, rn - lo))
-    return rows
-
-
-def _assemble(cols, probs, sizes, values) -> dict[str, list[float | None]]:
-    out: dict[str, list[float | None]] = {}
-    for m, c in enumerate(cols):
-        n = sizes.get(m, 0)
-        if not n:
-            out[c] = [None] * len(probs)
-            continue
-        out[c] = [values[(m, lo)] if lo == hi else _interp(values[(m, lo)], values[(m, hi)], d)
-                  for lo, hi, d in _targets(n, probs)]
-    return out
+    """``lo*(1-d) + hi*d`` with one rounding of the sum; another engine's last
+    bit may differ, a tolerance of one unit in the last place."""
+    return float(Fraction(lo) * Fraction(1.0 - d) + Fraction(hi * d))
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    partitions: int | None = None,
-                    single_task_limit: int = 2_000_000,
-                    row_bound: int | None = None) -> dict[str, list[float | None]]:
-    """Exact linear-interpolated quantiles of each column in ``cols``.
-
-    Returns ``{col: [value per prob]}`` (None for a column with no non-null
-    value). The row count (or a caller's ``row_bound``), or beyond it a
-    HyperLogLog estimate of each column's distinct count (one scan, no
-    shuffle), picks the plan: when every column has at most
-    ``single_task_limit`` distinct values (x1.1 for the estimate's error) one
-    task per column sorts its distinct (value, count) pairs; beyond that, the
-    distributed range plan below runs, whose tasks hold 1/partitions of the
-    distinct values each.
-    """
-    return exact_quantiles_many([(df, cols)], probs, partitions, single_task_limit, row_bound)[0]
+                    partitions: int | None = None) -> dict[str, list[float | None]]:
+    """Exact linear-interpolated quantiles of each column in ``cols``:
+    ``{col: [value per prob]}`` (None for a column with no non-null value)."""
+    return exact_quantiles_many([(df, cols)], probs, partitions)[0]
 
 
 def exact_quantiles_many(sources: list[tuple[DataFrame, list[str]]], probs: list[float],
-                         partitions: int | None = None, single_task_limit: int = 2_000_000,
-                         row_bound: int | None = None) -> list[dict[str, list[float | None]]]:
+                         partitions: int | None = None) -> list[dict[str, list[float | None]]]:
     """``exact_quantiles`` for several (frame, columns) sources in one job:
     the sources are stacked into one (metric, value) frame, so e.g. two
-    binners fitted on related tables share a single shuffle and sort.
-    ``row_bound`` bounds the rows of every source."""
+    binners fitted on related tables share a single shuffle and sort."""
     flat = [f"{i}:{c}" for i, (_, cols) in enumerate(sources) for c in cols]
-    bound = row_bound if row_bound is not None else max(df.count() for df, _ in sources)
-    small = bound <= single_task_limit  # rows bound distinct values
-    if not small:
-        est = [r for df, cols in sources for r in
-               df.agg(*[F.approx_count_distinct(c, 0.02) for c in cols]).first()]
-        small = max(est) * 1.1 <= single_task_limit
-    stacked = _stack_many(sources)
-    if small:
-        counts = stacked.groupBy("m", "v").agg(F.count(F.lit(1)).alias("c"))
-        w = Window.partitionBy("m").orderBy("v")
-        ranked = (counts.withColumn("cum", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                  .withColumn("n", F.sum("c").over(Window.partitionBy("m"))))
-        res = _exact_small(ranked, flat, probs)
-    else:
-        res = _exact_ranged(stacked, flat, probs, partitions)
+    res = _exact_ranged(_stack_many(sources), flat, probs, partitions)
     return [{c: res[f"{i}:{c}"] for c in cols} for i, (_, cols) in enumerate(sources)]
 
 
-def _exact_small(ranked: DataFrame, cols: list[str], probs: list[float]):
-    # One job: keep, per metric, every row whose count interval covers any
-    # possible target rank for that metric's n (n arrives with the row).
-    conds = []
-    for q in probs:
-        rn = (F.col("n") - 1).cast("double") * F.lit(q)
-        for r in (F.floor(rn), F.ceil(rn)):
-            conds.append((F.col("cum") - F.col("c") <= r) & (F.col("cum") > r))
-    hit = conds[0]
-    for c in conds[1:]:
-        hit = hit | c
-    rows = ranked.where(hit).select("m", "v", "c", "cum", "n").collect()
-    sizes = {r["m"]: r["n"] for r in rows}
-    values = {}
-    for r in rows:
-        for lo, hi, _ in _targets(r["n"], probs):
-            for t in (lo, hi):
-                if r["cum"] - r["c"] <= t < r["cum"]:
-                    values[(r["m"], t)] = r["v"]
-    return _assemble(cols, probs, sizes, values)
-
-
 def _exact_ranged(stacked: DataFrame, cols: list[str], probs: list[float],
                   partitions: int | None = None) -> dict[str, list[float | None]]:
     spark = stacked.sparkSession

@@ -7,7 +7,7 @@ segment), both bounded by the number of segments.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import LINE_SALT, left_lookup
@@ -21,43 +21,44 @@ def metric_histogram(df: DataFrame, cols: list[str], bins: int = 10) -> DataFram
     """Equal-width histogram per column, edges from min to max, last bin
     closed: (metric, bin, lo, hi, n). A constant column is one bin 0.
 
-    Two scans: a partial min/max per task (two numbers per column reach the
-    driver), then a codegen'd bucket expression + groupBy count."""
-    mm = df.agg(*[e for i, c in enumerate(cols)
+    Two scans whatever the number of columns: a partial min/max per task (two
+    numbers per column reach the driver), then one groupBy of the stacked
+    (metric, value) rows, which is map-side combined to bins per task."""
+    names = list(cols)
+    mm = df.agg(*[e for i, c in enumerate(names)
                   for e in (F.min(F.col(c).cast("double")).alias(f"lo{i}"),
                             F.max(F.col(c).cast("double")).alias(f"hi{i}"))]).first()
-    parts = []
-    for i, c in enumerate(cols):
-        lo, hi = mm[f"lo{i}"], mm[f"hi{i}"]
-        if lo is None:
-            continue
-        x = F.col(c).cast("double")
-        if hi > lo:
-            b = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(bins)), F.lit(bins - 1)).cast("int")
-        else:
-            b = F.lit(0)
-        width = (hi - lo) / bins if hi > lo else 0.0
-        part = (df.where(x.isNotNull()).select(b.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-                .select(F.lit(c).alias("metric"), "bin",
-                        (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lo"),
-                        F.when(F.col("bin") == bins - 1, F.lit(hi))
-                        .otherwise(F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("hi"),
-                        "n"))
-        parts.append(part)
-    if not parts:  # no non-null value in any column
+    edges = {c: (mm[f"lo{i}"], mm[f"hi{i}"]) for i, c in enumerate(names) if mm[f"lo{i}"] is not None}
+    if not edges:  # no non-null value in any column
         return df.sparkSession.createDataFrame([], "metric string, bin int, lo double, hi double, n bigint")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in edges)
+    rows = df.selectExpr(f"stack({len(edges)}, {stack}) AS (metric, x)").where(F.col("x").isNotNull())
+
+    def of(value) -> Column:
+        out = F.lit(None).cast("double")
+        for c, (lo, hi) in edges.items():
+            out = F.when(F.col("metric") == c, F.lit(float(value(lo, hi)))).otherwise(out)
+        return out
+
+    lo, hi, span = of(lambda a, b: a), of(lambda a, b: b), of(lambda a, b: b - a)
+    width = of(lambda a, b: (b - a) / bins if b > a else 0.0)
+    spot = F.when(span > 0, F.least(F.floor((F.col("x") - lo) / span * F.lit(bins)), F.lit(bins - 1))).otherwise(0).cast("int")
+    g = rows.groupBy("metric", spot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return g.select("metric", "bin", (lo + F.col("bin") * width).alias("lo"),
+                    F.when(F.col("bin") == bins - 1, hi).otherwise(lo + (F.col("bin") + 1) * width).alias("hi"), "n")
 
 
 def level_counts(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Row count and number of distinct levels per column: (metric, levels, rows)."""
-    row = [F.count(F.lit(1)).alias("rows")] + [F.count_distinct(c).alias(f"l{i}") for i, c in enumerate(cols)]
-    agg = df.agg(*row)
+    """Row count and number of distinct levels per column: (metric, levels,
+    rows). Rows are first counted per distinct combination of levels (one
+    shuffle of few rows for ordinal columns); levels are counted on those."""
+    cells = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    sets = [F.size(F.collect_set(F.struct(F.col(c).alias("v")))).cast("bigint") for c in cols]
+    nulls = [F.max(F.col(c).isNull().cast("int")) for c in cols]
+    agg = cells.agg(F.sum("_n").alias("rows"), *[(s - F.coalesce(z, F.lit(0))).alias(f"l{i}")
+                                                 for i, (s, z) in enumerate(zip(sets, nulls))])
     stack = ", ".join(f"'{c}', l{i}" for i, c in enumerate(cols))
-    return agg.selectExpr(f"stack({len(cols)}, {stack}) AS (metric, levels)", "rows")
+    return agg.selectExpr(f"stack({len(cols)}, {stack}) AS (metric, levels)", "coalesce(rows, 0) AS rows")
 
 
 # ----------------------------------------------------------------------------
@@ -83,7 +84,7 @@ def segment_labels(assigned: DataFrame, centroids: DataFrame, names: DataFrame |
     present = assigned.where(F.col("cluster").isNotNull()).select("cluster").distinct()
     out = label_text(centroid_levels(centroids)).join(present, "cluster")
     if names is not None:
-        out = out.join(F.broadcast(names), "cluster", "left")
+        out = out.join(names.dropDuplicates(["cluster"]), "cluster", "left")
     return out
 
 
@@ -112,18 +113,23 @@ def orders_with_segment(silver: DataFrame, assigned: DataFrame) -> DataFrame:
 def audience_export(assigned: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per customer: id, segment, label, favourite category."""
     return (assigned.select("CustomerID", "cluster", "FavoriteCategoryID", "FavoriteCategoryName")
-            .join(F.broadcast(labels.select("cluster", "label")), "cluster", "left"))
+            .join(labels.select("cluster", "label").dropDuplicates(["cluster"]), "cluster", "left"))
 
 
 # ----------------------------------------------------------------------------
 # segment reports
 # ----------------------------------------------------------------------------
-def segment_profile(assigned: DataFrame, orders: DataFrame | None = None, digits: int = 6) -> DataFrame:
+def _customer_segments(assigned: DataFrame) -> DataFrame:
+    return assigned.where(F.col("CustomerID").isNotNull() & F.col("cluster").isNotNull()).select(
+        F.col("CustomerID").cast("string").alias("_customer"), F.col("cluster").alias("Cluster"))
+
+
+def segment_profile(assigned: DataFrame, sales: DataFrame | None = None, digits: int = 6) -> DataFrame:
     """Per segment: customers, share of customers, mean R/F/M (rounded to
     ``digits`` so the figures do not depend on summation order) and, given
-    the order lines with their segment, revenue (positive sales, exact
-    decimal) and revenue share. Both inputs are reduced to one row per
-    segment before they meet."""
+    ``sales`` (``group_totals``: one row per customer and category), revenue
+    (positive sales, exact decimal) and revenue share. Sales meet the segments
+    at customer grain: no order line is read or shuffled again."""
     w = Window.partitionBy()  # over the per-segment rows only (one per segment)
     g = assigned.groupBy("cluster").agg(
         F.count(F.lit(1)).alias("customers"),
@@ -131,21 +137,23 @@ def segment_profile(assigned: DataFrame, orders: DataFrame | None = None, digits
         F.round(F.avg(F.col("Frequency").cast("double")), digits).alias("avg_frequency"),
         F.round(F.avg("MonetaryValue"), digits).alias("avg_monetary"))
     g = g.withColumn("customer_share", F.round(F.col("customers") / F.sum("customers").over(w), digits))
-    if orders is None:
+    if sales is None:
         return g
-    rev = (orders.where((F.col("SalesAmount") > 0) & F.col("Cluster").isNotNull())
-           .groupBy(F.col("Cluster").alias("cluster"))
-           .agg(F.sum("SalesAmount").cast("decimal(38,2)").alias("revenue")))
+    per = sales.where(F.col("CustomerID").isNotNull()).groupBy("CustomerID").agg(F.sum("_total").alias("total"))
+    rev = (per.join(_customer_segments(assigned), F.col("CustomerID").cast("string") == F.col("_customer"))
+           .groupBy(F.col("Cluster").alias("cluster")).agg(F.sum("total").cast("decimal(38,2)").alias("revenue")))
     g = g.join(rev, "cluster", "left")
     total = F.sum("revenue").over(w).cast("double")
     return g.withColumn("revenue_share", F.round(F.col("revenue").cast("double") / total, digits))
 
 
-def segment_top_categories(orders: DataFrame, n: int = 3) -> DataFrame:
-    """Top ``n`` categories per segment by positive sales (ties: lower id)."""
-    g = (orders.where((F.col("SalesAmount") > 0) & F.col("Cluster").isNotNull())
+def segment_top_categories(assigned: DataFrame, sales: DataFrame, n: int = 3) -> DataFrame:
+    """Top ``n`` categories per segment by positive sales (ties: lower id),
+    from ``sales`` (``group_totals``) at customer grain."""
+    g = (sales.where(F.col("CustomerID").isNotNull())
+         .join(_customer_segments(assigned), F.col("CustomerID").cast("string") == F.col("_customer"))
          .groupBy("Cluster", "ProductCategoryID", "ProductCategoryName")
-         .agg(F.sum("SalesAmount").cast("decimal(38,2)").alias("Sales")))
+         .agg(F.sum("_total").cast("decimal(38,2)").alias("Sales")))
     w = Window.partitionBy("Cluster").orderBy(F.col("Sales").desc(), F.col("ProductCategoryID").asc_nulls_last(),
                                               F.col("ProductCategoryName").asc_nulls_last())
     return g.withColumn("category_rank", F.row_number().over(w)).where(F.col("category_rank") <= n)
@@ -159,14 +167,17 @@ def segment_bin_counts(assigned: DataFrame) -> DataFrame:
 
 def segment_projection(assigned: DataFrame, id_col: str = "CustomerID") -> DataFrame:
     """2-D projection of the bin vectors for plotting: Spark ML PCA(k=2),
-    fit distributed (3x3 covariance), applied per row. (CustomerID, x, y)."""
+    fit distributed (3x3 covariance), applied per row. (CustomerID, x, y); a
+    row with a null bin keeps its place, with null x and y."""
     from pyspark.ml.feature import PCA, VectorAssembler
     from pyspark.ml.functions import vector_to_array
-    va = VectorAssembler(inputCols=BIN_COLS, outputCol="_bins", handleInvalid="skip")
-    vec = va.transform(assigned.select(id_col, *BIN_COLS))
-    model = PCA(k=2, inputCol="_bins", outputCol="_xy").fit(vec)
+    whole = F.col(BIN_COLS[0]).isNotNull() & F.col(BIN_COLS[1]).isNotNull() & F.col(BIN_COLS[2]).isNotNull()
+    filled = assigned.select(id_col, whole.alias("_whole"), *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in BIN_COLS])
+    vec = VectorAssembler(inputCols=BIN_COLS, outputCol="_bins").transform(filled)
+    model = PCA(k=2, inputCol="_bins", outputCol="_xy").fit(vec.where("_whole"))
     arr = vector_to_array(F.col("_xy"))
-    return model.transform(vec).select(id_col, arr[0].alias("x"), arr[1].alias("y"))
+    return model.transform(vec).select(id_col, F.when(F.col("_whole"), arr[0]).alias("x"),
+                                       F.when(F.col("_whole"), arr[1]).alias("y"))
 
 
 def customer_sample(df: DataFrame, fraction: float, seed: int = 42, key: str = "CustomerID") -> DataFrame:
@@ -175,14 +186,13 @@ def customer_sample(df: DataFrame, fraction: float, seed: int = 42, key: str = "
     Unlike ``DataFrame.sample`` the choice does not depend on row order, so a
     recomputed partition (lost executor, retry) selects the same rows, and all
     rows of a customer are kept or dropped together."""
-    scale = 1 << 20
-    h = F.pmod(F.xxhash64(F.col(key), F.lit(int(seed))), F.lit(scale))
-    return df.where(h < F.lit(int(round(fraction * scale))))
-
+    part = F.conv(F.substring(F.md5(F.concat(F.lit(f"{int(seed)}:"), F.col(key).cast("string")).cast("binary")), 1, 6), 16, 10)
+    return df.where(part.cast("long") % 10_000 < F.lit(int(round(fraction * 10_000))))
 
-def k_candidates(spark: SparkSession, max_k: int, n_cells: int, partitions: int | None = None) -> DataFrame:
-    """Candidate k values 2..min(max_k, cells) as a Spark range (column ``k``)."""
-    top = min(max_k, n_cells)
-    parts = partitions or spark.sparkContext.defaultParallelism
-    return spark.range(2, top + 1, 1, numPartitions=parts).withColumnRenamed("id", "k")
 
+def k_candidates(cells: DataFrame, max_k: int) -> DataFrame:
+    """Candidate k values 2..max_k (column ``k``) and whether the cells allow
+    them (``possible``): k must not exceed the number of distinct cells."""
+    count = cells.agg(F.count(F.lit(1)).alias("cells"))
+    return count.select(F.explode(F.sequence(F.lit(2).cast("long"), F.lit(max_k).cast("long"))).alias("k"), "cells").select(
+        "k", (F.col("k") <= F.col("cells")).alias("possible"))

@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 from ..operators import categorize as cat
 from ..operators import report as rep
 from ..operators.binning import fit_edges, fit_edges_many
-from ..operators.cluster import SegmentModel, bin_cells, collect_cells, k_choice, k_sweep, fit_segments, \
-    weighted_silhouette, assign_cells
+from ..operators.cluster import SegmentModel, bin_cells, k_choice, k_sweep, fit_segments, \
+    silhouette_of_cells
 from ..operators.favorite import category_rank, category_samples, customer_lookup, favorite_category, preview
-from ..operators.metrics import cap_metrics, daily_sales, rfmp_metrics, snapshot_date
+from ..operators.metrics import cap_metrics, daily_sales, group_totals, rfmp_from_totals, rfmp_metrics, snapshot_date
 from ..schemas import EVENTS, GROUP_KEYS
-from ..session import checkpoint_dir, ensure_parallelism, materialize
+from ..session import materialize, shared_path
 from ..sources.transactions import load_transactions, load_typed_silver, product_types
-from ..streaming.stream import file_stream, run_to_completion, stream_daily_sales, stream_score
+from ..streaming.stream import file_stream, run_to_completion, stream_daily_sales, stream_score, stream_to_end
 from . import params as P
 
 
@@ -42,17 +42,10 @@ def capped(spark, sf):
     return cap_metrics(metrics(spark, sf), P.FREQ_CAP, P.MONETARY_CAP)
 
 
-def capped_bounded(spark, sf):
-    """Capped metrics (read from the written per-group table) and their row
-    count: a footer-only count that bounds every table derived from them."""
-    c = capped(spark, sf)
-    return c, c.count()
-
-
 def gold_and_binner(spark, sf, n_bins=P.N_BINS, strategy="quantile"):
-    c, rows = capped_bounded(spark, sf)
-    b = fit_edges(c, n_bins=n_bins, strategy=strategy, row_bound=rows)
-    return b.transform(c), b, rows
+    c = capped(spark, sf)
+    b = fit_edges(c, n_bins=n_bins, strategy=strategy)
+    return b.transform(c), b
 
 
 def gold(spark, sf):
@@ -63,14 +56,22 @@ def favorites(spark, sf):
     return favorite_category(gold(spark, sf))
 
 
-def gold_fav_model(spark, sf):
-    """Gold (bins from edges on all rows), favourites, and the hand-set model
+def gold_fav_model(spark, sf, with_sales=False):
+    """Gold (bins from edges on all rows), favourites, and the fixed model
     whose edges are re-fitted on the favourites. Favourites are picked by
-    R/F/M alone, so both edge sets are fitted in one job."""
-    c, rows = capped_bounded(spark, sf)
-    gold_b, model_b = fit_edges_many([c, favorite_category(c)], n_bins=P.N_BINS, row_bound=rows)
+    R/F/M alone, so both edge sets are fitted in one job. ``with_sales`` adds
+    the sales per (customer, category), from the table written for the metrics:
+    the order lines are read once."""
+    daily = daily_sales(silver(spark, sf))
+    if with_sales:
+        per = materialize(group_totals(daily), "rfm_partial")
+        c = cap_metrics(rfmp_from_totals(per), P.FREQ_CAP, P.MONETARY_CAP)
+    else:
+        c = capped(spark, sf)
+    gold_b, model_b = fit_edges_many([c, favorite_category(c)], n_bins=P.N_BINS)
     g = gold_b.transform(c)
-    return g, favorite_category(g), SegmentModel(model_b, list(P.FIXED_CENTROIDS))
+    out = g, favorite_category(g), SegmentModel(model_b, list(P.FIXED_CENTROIDS))
+    return (*out, per) if with_sales else out
 
 
 def assigned(spark, sf):
@@ -130,8 +131,7 @@ def q_metric_histogram(spark, sf):
 
 
 def q_bin_edges(spark, sf):
-    c, rows = capped_bounded(spark, sf)
-    return fit_edges(c, n_bins=P.N_BINS, row_bound=rows).edges_frame(spark).drop("version")
+    return fit_edges(capped(spark, sf), n_bins=P.N_BINS).edges_frame(spark).drop("version")
 
 
 def q_rfmp_bins(spark, sf):
@@ -207,29 +207,19 @@ def q_map_labels(spark, sf):
 
 
 def q_silhouette_fixed(spark, sf):
-    """Mean silhouette of the hand-set model's assignment over all customers,
+    """Mean silhouette of the fixed model's assignment over all customers,
     computed on the weighted cells (rounded to 9 decimals)."""
-    asg = assigned(spark, sf)
-    X, w = collect_cells(bin_cells(asg), P.N_BINS)
-    model = fixed_model_centers()
-    s = weighted_silhouette(X, w, assign_cells(X, model))
-    return spark.createDataFrame([(round(s, 9), int(w.sum()), len(X))],
-                                 "silhouette double, customers long, cells int")
-
-
-def fixed_model_centers():
-    import numpy as np
-    return np.array([c[1:] for c in P.FIXED_CENTROIDS], dtype=float)
+    return silhouette_of_cells(bin_cells(assigned(spark, sf), extra=["cluster"]))
 
 
 def q_segment_profile(spark, sf):
-    asg = assigned(spark, sf)
-    return rep.segment_profile(asg, rep.orders_with_segment(silver(spark, sf), asg))
+    _, fav, model, sales = gold_fav_model(spark, sf, with_sales=True)
+    return rep.segment_profile(model.assign(fav), sales)
 
 
 def q_segment_top_categories(spark, sf):
-    return rep.segment_top_categories(rep.orders_with_segment(silver(spark, sf), assigned(spark, sf)),
-                                      P.TOP_CATEGORIES)
+    _, fav, model, sales = gold_fav_model(spark, sf, with_sales=True)
+    return rep.segment_top_categories(model.assign(fav), sales, P.TOP_CATEGORIES)
 
 
 def q_segment_bin_counts(spark, sf):
@@ -243,13 +233,11 @@ def q_audience_export(spark, sf):
 
 
 def q_k_candidates(spark, sf):
-    cells = bin_cells(favorites(spark, sf))
-    return rep.k_candidates(spark, P.MAX_K, cells.count())
+    return rep.k_candidates(bin_cells(favorites(spark, sf)), P.MAX_K)
 
 
 def _documents(spark, sf):
-    return ensure_parallelism(spark.read.parquet(os.path.join(sf, "documents.parquet")).select("doc_id", "text"),
-                              "doc_id")
+    return spark.read.parquet(os.path.join(sf, "documents.parquet")).select("doc_id", "text")
 
 
 def q_tokens(spark, sf):
@@ -280,7 +268,7 @@ def q_stream_daily_sales(spark, sf):
 def q_stream_score(spark, sf):
     """Favourites written as files, read back as a stream, scored."""
     _, fav, model = gold_fav_model(spark, sf)
-    src = os.path.join(checkpoint_dir(spark), "segmint-streams", "fav-src-" + os.urandom(6).hex())
+    src = shared_path(spark, "fav-src")
     fav.drop("r_bin", "f_bin", "m_bin").write.parquet(src)
     stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
     return run_to_completion(stream_score(stream, model).select("CustomerID", "r_bin", "f_bin", "m_bin", "cluster"),
@@ -292,7 +280,7 @@ def q_latest_model(spark, sf):
     version back and assign with it: must equal ``segment_assign``."""
     from ..sources import model_store
     _, fav, model = gold_fav_model(spark, sf)
-    where = os.path.join(checkpoint_dir(spark), "segmint-models", os.urandom(6).hex())
+    where = shared_path(spark, "models")
     model_store.save_model(spark, where, "segments", model)
     v2 = model_store.save_model(spark, where, "segments", model)
     model_store.promote(spark, where, "segments", v2)
@@ -309,6 +297,22 @@ def q_k_choice(spark, sf):
     return k_choice(q_k_sweep(spark, sf))
 
 
+def q_k_choice_levels(spark, sf):
+    """The elbow rule on a sweep that SQL can make too: customers grouped by
+    the sum of their bins into k equal ranges, explained variance for score."""
+    cells = bin_cells(favorites(spark, sf)).groupBy((F.col("r_bin") + F.col("f_bin") + F.col("m_bin")).alias("total")).agg(
+        F.sum("w").alias("w"))
+    at = cells.select("total", "w", F.explode(F.sequence(F.lit(2).cast("long"), F.lit(12).cast("long"))).alias("k"))
+    g = F.least(F.floor(F.col("total") * F.col("k") / F.lit(13.0)), F.col("k") - 1)
+    grp = at.groupBy("k", g.alias("g")).agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("total")).alias("t"),
+                                            F.sum(F.col("w") * F.col("total") * F.col("total")).alias("t2"))
+    within = F.sum(F.col("t2") - F.col("t") * F.col("t") / F.col("w").cast("double"))
+    whole = F.sum("t2") - F.sum("t") * F.sum("t") / F.sum("w").cast("double")
+    sweep = grp.groupBy("k").agg(F.round(within, 6).alias("inertia"), whole.alias("all"))
+    sweep = sweep.select("k", "inertia", F.round(1 - F.col("inertia") / F.col("all"), 6).alias("silhouette"))
+    return k_choice(sweep).withColumn("gain", F.round("gain", 6))
+
+
 def q_segment_model(spark, sf):
     _, fav, fixed = gold_fav_model(spark, sf)
     m = fit_segments(fav, P.SEGMENTS_K, P.RESTARTS, P.SEED, P.N_BINS, binner=fixed.binner)
@@ -333,7 +337,7 @@ def _product_model(spark, sf, pca_k=P.PCA_K):
 def q_category_vectors(spark, sf):
     _, descs, model = _product_model(spark, sf)
     from pyspark.ml.functions import vector_to_array
-    return model.transform(descs).select("Description", vector_to_array("pca_features").alias("pca_features"))
+    return model.reduced(descs).select("Description", vector_to_array("pca_features").alias("pca_features"))
 
 
 def q_product_categories(spark, sf):
@@ -355,10 +359,39 @@ def q_silver_orders(spark, sf):
     return cat.attach_category(bronze, categorized, labels)
 
 
+def q_silver_structured(spark, sf):
+    """Silver through the path of learned categories (both left joins), with a
+    category table taken from the structured product type."""
+    types = product_types(spark, sf)
+    part = spark.read.parquet(os.path.join(sf, "part.parquet"))
+    cats = part.join(types, F.col("p_type") == F.col("ProductCategoryName")).groupBy(
+        F.col("p_name").alias("Description")).agg(F.min("ProductCategoryID").alias("ProductCategoryID"))
+    return cat.attach_category(load_transactions(spark, sf), cats, types)
+
+
+def q_silver_catalog(spark, sf):
+    """Silver written as a table of the catalog and read back from it."""
+    spark.sql("CREATE SCHEMA IF NOT EXISTS segmint_layers")
+    table = "segmint_layers.silver_" + os.urandom(6).hex()
+    silver(spark, sf).write.mode("overwrite").saveAsTable(table)
+    return spark.table(table)
+
+
+def q_tokens_raw(spark, sf):
+    """Reference token mode: every piece of the white-space split, empty ones
+    kept."""
+    return cat.tokens(_documents(spark, sf), "doc_id", "text", keep_empty=True, remove_stop=False)
+
+
+def q_stream_daily_all(spark, sf):
+    """The stream consolidated to the end: days still open come out as well."""
+    return stream_to_end(_events_stream(spark, sf), "daily-all")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
 
-ROWS_ONLY = {"k_sweep", "k_choice", "segment_model", "segment_projection", "customer_sample",
+ROWS_ONLY = {"k_sweep", "k_choice", "segment_model", "segment_projection",
              "category_vectors", "product_categories", "product_categories_nopca", "silver_orders"}
 

@@ -4,7 +4,7 @@ semantics, so agreement is evidence of both."""
 
 from __future__ import annotations
 
-from ..functions.text import stop_words
+from ..functions.stopwords import ENGLISH
 from . import params as P
 
 SQL_WS = "[ \\t\\n\\x0B\\f\\r]"
@@ -158,7 +158,7 @@ orders_seg AS (
   SELECT s.*, a.cluster AS Cluster, a.Recency, a.Frequency, a.MonetaryValue
   FROM silver s LEFT JOIN assigned a ON s.CustomerID = a.CustomerID)"""
 
-_STOP = ", ".join("('" + w.replace("'", "''") + "')" for w in stop_words())
+_STOP = ", ".join("('" + w.replace("'", "''") + "')" for w in ENGLISH)
 
 TOKENS = f"""stop(token) AS (VALUES {_STOP}),
 split_docs AS (SELECT doc_id, string_split_regex(lower(text), '{SQL_WS}') AS toks FROM documents),
@@ -308,7 +308,35 @@ def oracle() -> dict[str, str]:
       SELECT a.cluster, a.CustomerID, a.FavoriteCategoryID, a.FavoriteCategoryName, l.label
       FROM assigned a LEFT JOIN labels l ON a.cluster = l.cluster""")
     q["k_candidates"] = _q(f"{FAV}, cells AS (SELECT DISTINCT r_bin, f_bin, m_bin FROM fav WHERE r_bin IS NOT NULL)",
-                           f"SELECT range AS k FROM range(2, least({P.MAX_K}, (SELECT COUNT(*) FROM cells)) + 1)")
+                           f"SELECT range AS k, range <= (SELECT COUNT(*) FROM cells) AS possible FROM range(2, {P.MAX_K} + 1)")
+    q["customer_sample"] = _q(FAV, f"""SELECT * FROM fav
+      WHERE CAST('0x' || substr(md5(concat('{P.SEED}:', CustomerID)), 1, 6) AS BIGINT) % 10000 < {round(P.SAMPLE_FRACTION * 10000)}
+        AND CustomerID IS NOT NULL""")
+    # The elbow rule on the within-cell sums of squares of one-dimensional
+    # groupings: a sweep that SQL can make (see the catalog's k_choice_levels).
+    q["k_choice_levels"] = _q(f"""{FAV},
+      cells AS (SELECT r_bin + f_bin + m_bin AS total, COUNT(*) AS w FROM fav WHERE r_bin IS NOT NULL GROUP BY 1),
+      ks AS (SELECT range AS k FROM range(2, 13)),
+      grp AS (SELECT k, least(CAST(floor(total * k / 13.0) AS BIGINT), k - 1) AS g, SUM(w) AS w, SUM(w * total) AS t,
+                     SUM(w * total * total) AS t2 FROM cells, ks GROUP BY 1, 2),
+      sweep AS (SELECT k, round(SUM(t2 - t * t * 1.0 / w), 6) AS inertia FROM grp GROUP BY k),
+      tot AS (SELECT SUM(w * total * total) - SUM(w * total) * SUM(w * total) * 1.0 / SUM(w) AS all_ss FROM cells),
+      s AS (SELECT k, inertia, round(1 - inertia / all_ss, 6) AS silhouette FROM sweep, tot),
+      g AS (SELECT *, round(lead(silhouette) OVER (ORDER BY k) - silhouette, 6) AS gain FROM s)""", """
+      SELECT k, inertia, silhouette, gain,
+             coalesce(gain < 0.01 AND k = (SELECT MIN(k) FROM g WHERE gain < 0.01), FALSE) AS chosen FROM g""")
+    q["silver_structured"] = _q(f"""{TYPES}, bronze AS ({_lines(False)}),
+      cats AS (SELECT max(p_name) AS d, min(t.ProductCategoryID) AS id FROM part p JOIN types t ON p.p_type = t.ProductCategoryName
+               GROUP BY p_name)""", """
+      SELECT c.id AS ProductCategoryID, b.*, t.ProductCategoryName
+      FROM bronze b LEFT JOIN cats c ON b.Description = c.d LEFT JOIN types t ON c.id = t.ProductCategoryID""")
+    q["silver_catalog"] = q["silver_typed"]
+    q["tokens_raw"] = f"""SELECT doc_id, list_transform(string_split_regex(lower(text), '{SQL_WS}'), lambda t: t) AS words
+      FROM documents"""
+    q["stream_daily_all"] = """
+      SELECT CAST(user_id AS VARCHAR) AS CustomerID, event_type AS ProductCategoryName,
+             CAST(ts AS DATE) AS InvoiceDate, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DailySales
+      FROM events WHERE value > 0 GROUP BY ALL"""
     q["tokens"] = _q(TOKENS, "SELECT * FROM tokens")
     q["term_frequency"] = _q(TOKENS, "SELECT doc_id, token, COUNT(*) AS tf FROM tokens GROUP BY doc_id, token")
     q["tfidf_terms"] = _q(f"""{TOKENS},

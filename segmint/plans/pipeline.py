@@ -14,7 +14,7 @@ from ..operators import report as rep
 from ..operators.binning import fit_edges
 from ..operators.cluster import SegmentModel, bin_cells, choose_k, fit_segments, k_sweep
 from ..operators.favorite import favorite_category
-from ..operators.metrics import cap_metrics, daily_sales, rfmp_metrics, snapshot_date, with_recency_sign
+from ..operators.metrics import cap_metrics, daily_sales, group_totals, rfmp_metrics, snapshot_date, with_recency_sign
 from ..sources import model_store
 
 
@@ -22,7 +22,7 @@ from ..sources import model_store
 class PipelineConfig:
     schema: str = "rfm"
     fmt: str = "parquet"
-    num_features: int = 1024
+    num_features: int = 4096
     pca_k: int | None = 50
     product_k: int = 10
     seed: int = 42
@@ -32,7 +32,7 @@ class PipelineConfig:
     n_bins: int = 5
     k: int | None = 8          # None: choose by the silhouette sweep
     max_k: int = 20
-    restarts: int = 50
+    restarts: int = 10_000
     model_name: str = "rfm_segments"
     recency_sign: int = 1      # -1 stores Recency negated in the gold table
 
@@ -70,7 +70,7 @@ def run_pipeline(spark: SparkSession, bronze: DataFrame, cfg: PipelineConfig = P
     as_of = snapshot_date(silver).first()[0]
     metrics = cap_metrics(rfmp_metrics(daily_sales(silver, cfg.anonymous), as_of), cfg.freq_cap, cfg.monetary_cap)
     metrics = _save(metrics, f"{s}.metrics", cfg.fmt)
-    gold_binner = fit_edges(metrics, n_bins=cfg.n_bins, row_bound=metrics.count())
+    gold_binner = fit_edges(metrics, n_bins=cfg.n_bins)
     gold = gold_binner.transform(metrics)
     out["gold"] = _save(with_recency_sign(gold, cfg.recency_sign), f"{s}.gold", cfg.fmt)
     gold = with_recency_sign(out["gold"], cfg.recency_sign)  # back to days for the model
@@ -95,6 +95,7 @@ def run_pipeline(spark: SparkSession, bronze: DataFrame, cfg: PipelineConfig = P
     names = {int(r["cluster"]): r["label"] for r in out["rfmp_clusters"].collect()}  # k rows
     out["orders_gold"] = _save(rep.map_labels(orders, names), f"{s}.orders_gold", cfg.fmt)
     out["audience"] = _save(rep.audience_export(assigned, out["rfmp_clusters"]), f"{s}.audience", cfg.fmt)
-    out["segment_profile"] = rep.segment_profile(assigned, out["orders_gold"])
-    out["segment_top_categories"] = rep.segment_top_categories(out["orders_gold"])
+    sales = _save(group_totals(daily_sales(silver, cfg.anonymous)), f"{s}.sales", cfg.fmt)
+    out["segment_profile"] = rep.segment_profile(assigned, sales)
+    out["segment_top_categories"] = rep.segment_top_categories(assigned, sales)
     return out

@@ -103,19 +103,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ensure_parallelism(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-partition ``df`` by ``key`` when its scan yields fewer partitions
-    than the cluster can run at once (e.g. one large file written as a single
-    row group, which Spark cannot split). A no-op for inputs already split
-    into enough tasks, so it never adds a shuffle at scale. Hash partitioning
-    on a key (not round-robin) is deterministic on task retry and lets later
-    joins/aggregations on that key reuse the partitioning."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, key)
-
-
 _SHIPPED: set[str] = set()
 
 

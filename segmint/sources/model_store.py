@@ -1,15 +1,17 @@
 """Segment-model persistence in catalog tables (versioned, with stages).
 
-``<schema>.segment_models``: name, version, stage, created_at, model (JSON of
-edges + centroids). Exactly one ``production`` version per name after
-``promote``; older production versions become ``archived``. The table holds
-one row per saved version, so reading it whole is bounded by the number of
-versions, not by data.
+``<schema>.segment_models`` is append-only: a row for every save (with the
+model: JSON of edges and centroids) and for every later change of a version's
+stage (without). Nothing is ever rewritten, so a failed write loses nothing.
+On read a version's stage is that of its last row; at most one version of a
+name is ``production`` after ``promote``. The table holds a few rows per
+version, so reading it whole is bounded by the number of versions.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,15 @@ MODELS_SCHEMA = T.StructType([
     T.StructField("model", T.StringType(), False),
 ])
 
+ROWS_SCHEMA = T.StructType([
+    T.StructField("name", T.StringType(), False),
+    T.StructField("version", T.IntegerType(), False),
+    T.StructField("stage", T.StringType(), False),
+    T.StructField("at", T.TimestampType(), False),
+    T.StructField("save_id", T.StringType(), True),
+    T.StructField("model", T.StringType(), True),
+])
+
 
 def _is_path(where: str) -> bool:
     return "/" in where or ":" in where
@@ -43,48 +54,62 @@ def _exists(spark: SparkSession, where: str) -> bool:
     return spark.catalog.tableExists(_table(where))
 
 
-def models(spark: SparkSession, where: str) -> DataFrame:
-    """The store: ``where`` is a catalog schema (table ``<schema>.segment_models``)
-    or a storage path (a Parquet folder, e.g. under the shared checkpoint dir)."""
+def _rows(spark: SparkSession, where: str) -> DataFrame:
     if not _exists(spark, where):
-        return spark.createDataFrame([], MODELS_SCHEMA)
+        return spark.createDataFrame([], ROWS_SCHEMA)
     if _is_path(where):
-        return spark.read.schema(MODELS_SCHEMA).parquet(where)
+        return spark.read.schema(ROWS_SCHEMA).parquet(where)
     return spark.table(_table(where))
 
 
-def _write(df: DataFrame, where: str, mode: str, fmt: str) -> None:
+def models(spark: SparkSession, where: str) -> DataFrame:
+    """The store, one row per version: ``where`` is a catalog schema (table
+    ``<schema>.segment_models``) or a storage path (a Parquet folder, e.g.
+    under the shared checkpoint dir). Of two saves that took one version the
+    first by id counts; the other took a new version (``save_model``)."""
+    saved = F.col("save_id").isNotNull()
+    return _rows(spark, where).groupBy("name", "version").agg(
+        F.max_by("stage", F.struct("at", (~saved).alias("change"))).alias("stage"),
+        F.min_by("at", F.when(saved, F.col("save_id"))).alias("created_at"),
+        F.min_by("model", F.when(saved, F.col("save_id"))).alias("model"))
+
+
+def _append(spark: SparkSession, rows: list[tuple], where: str, fmt: str) -> None:
+    df = spark.createDataFrame(rows, ROWS_SCHEMA).coalesce(1)  # one file: all its rows or none
     if _is_path(where):
-        df.write.mode(mode).parquet(where)
+        df.write.mode("append").parquet(where)
     else:
-        df.write.format(fmt).mode(mode).saveAsTable(_table(where))
+        df.write.format(fmt).mode("append").saveAsTable(_table(where))
+
+
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
 def save_model(spark: SparkSession, where: str, name: str, model: SegmentModel, fmt: str = "parquet") -> int:
-    """Append a new version (stage 'none'); returns the version number."""
+    """Append a new version (stage 'none'); returns the version number. If
+    another saver took the same number meanwhile, the later id tries again."""
     if not _is_path(where):
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {where}")
-    cur = models(spark, where).where(F.col("name") == name).agg(F.max("version")).first()[0]
-    version = (cur or 0) + 1
-    model.version = version
-    row = [(name, version, "none", _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), model.to_json())]
-    _write(spark.createDataFrame(row, MODELS_SCHEMA), where, "append", fmt)
-    return version
+    while True:
+        cur = _rows(spark, where).where(F.col("name") == name).agg(F.max("version")).first()[0]
+        version, save_id = (cur or 0) + 1, uuid.uuid4().hex
+        model.version = version
+        _append(spark, [(name, version, "none", _now(), save_id, model.to_json())], where, fmt)
+        first = _rows(spark, where).where((F.col("name") == name) & (F.col("version") == version)).agg(F.min("save_id")).first()[0]
+        if first == save_id:
+            return version
 
 
 def promote(spark: SparkSession, where: str, name: str, version: int, fmt: str = "parquet") -> None:
-    """Make ``version`` the production model of ``name``; archive the rest."""
-    rows = models(spark, where).collect()  # one row per saved version
-    new = []
-    for r in rows:
-        stage = r["stage"]
-        if r["name"] == name:
-            if r["version"] == version:
-                stage = "production"
-            elif stage == "production":
-                stage = "archived"
-        new.append((r["name"], r["version"], stage, r["created_at"], r["model"]))
-    _write(spark.createDataFrame(new, MODELS_SCHEMA), where, "overwrite", fmt)
+    """Make ``version`` the production model of ``name`` and archive the one
+    before, in one append. Raises LookupError for an unknown version."""
+    known = {r["version"]: r["stage"] for r in models(spark, where).where(F.col("name") == name).select("version", "stage").collect()}
+    if version not in known:
+        raise LookupError(f"no version {version} of model {name}")
+    at = _now()
+    rows = [(name, v, "archived", at, None, None) for v, s in known.items() if s == "production" and v != version]
+    _append(spark, [*rows, (name, version, "production", at, None, None)], where, fmt)
 
 
 def latest_model(spark: SparkSession, schema: str, name: str, stage: str | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import BRONZE, MONEY, ORDERS_CSV
-from ..session import ensure_parallelism
+from ..functions.joins import split_join
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,20 +49,20 @@ def _lines(spark: SparkSession, sf_dir: str, product: DataFrame, product_cols: l
     and customer). Product and customer attributes are lookups on unique keys:
     a missing attribute leaves a null instead of dropping the sale, and an
     unused lookup costs nothing. Sizes are left to the planner/AQE (runtime,
-    size-checked broadcast); ``nation`` is the fixed 25-row TPC-H dimension
-    and is broadcast into customer explicitly.
+    size-checked broadcast); a part or customer that holds a large share of
+    the lines is split by AQE (``split_join``).
     """
-    li = ensure_parallelism(_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"), "l_orderkey")
+    li = _table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag")
     od = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     cust = unique_dim(
         _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-        .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left"),
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"),
         "c_custkey", ["n_name"])
-    j = (li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
-         .join(product, F.col("l_partkey") == F.col("p_partkey"), "left")
-         .join(cust, F.col("o_custkey") == F.col("c_custkey"), "left"))
+    j = li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
+    j = split_join(j, product, F.col("l_partkey"), F.col("p_partkey"))
+    j = split_join(j, cust, F.col("o_custkey"), F.col("c_custkey"))
     sign = F.when(F.col("l_returnflag") == "R", F.lit(-1)).otherwise(F.lit(1))
     return j.select(
         F.col("o_orderkey").cast("string").alias("InvoiceNo"),
@@ -110,7 +110,7 @@ def read_orders(spark: SparkSession, path: str, fmt: str = "csv", header: bool =
         raw = spark.read.format(fmt).load(path)
         raw = raw.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in ORDERS_CSV.fields])
     return raw.withColumn(
-        "SalesAmount", (F.col("Quantity") * F.col("UnitPrice")).cast(MONEY)
+        "SalesAmount", (F.col("Quantity") * F.col("UnitPrice").cast("decimal(18,4)")).cast(MONEY)
     ).select([f.name for f in BRONZE.fields])
 
 

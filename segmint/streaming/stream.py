@@ -4,7 +4,6 @@ scoring of a stream of customer metrics with a saved segment model."""
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..operators.cluster import SegmentModel
 from ..schemas import MONEY
-from ..session import checkpoint_dir
+from ..session import shared_path
 
 
 def utc_instant(df: DataFrame, col: str):
@@ -44,6 +43,31 @@ def stream_daily_sales(events: DataFrame, watermark: str = "2 days", customer: s
                     "DailySales"))
 
 
+def stream_to_end(events: DataFrame, name: str, customer: str = "user_id", category: str = "event_type",
+                  ts: str = "ts", amount: str = "value") -> DataFrame:
+    """Daily consolidation of everything available, with the days that are
+    still open. The stream does the stateless part: each micro-batch appends
+    its own sums per customer, category and day (exactly once, through the
+    sink's log), so no row is late and no state is kept; the sums of a day are
+    added up when the sink is read."""
+    spark = events.sparkSession
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(utc_instant(events, ts)) / 86400).cast("int"))
+    path = shared_path(spark, name)
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        # Overwriting the batch's own folder makes a repeated batch harmless.
+        batch.where(F.col(amount) > 0).groupBy(
+            F.col(customer).cast("string").alias("CustomerID"), F.col(category).alias("ProductCategoryName"),
+            day.alias("InvoiceDate")).agg(F.sum(F.col(amount).cast(MONEY)).alias("part")).write.mode("overwrite").parquet(
+            f"{path}/batch={batch_id}")
+
+    q = events.writeStream.foreachBatch(add).option("checkpointLocation", shared_path(spark, name + "-log")).trigger(
+        availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(path).groupBy("CustomerID", "ProductCategoryName", "InvoiceDate").agg(
+        F.sum("part").cast(MONEY).alias("DailySales"))
+
+
 def stream_score(metrics_stream: DataFrame, model: SegmentModel) -> DataFrame:
     """Score a stream of (customer, category) metrics: bins with the model's
     edges (literals) and a stream-static equi-join with the broadcast cell map
@@ -56,7 +80,7 @@ def run_to_completion(query_df: DataFrame, name: str, mode: str = "append") -> D
     sink (checkpointed in the shared folder, so a restart resumes exactly) and
     return the sink as a batch DataFrame."""
     spark = query_df.sparkSession
-    base = os.path.join(checkpoint_dir(spark), "segmint-streams", f"{name}-{uuid.uuid4().hex}")
+    base = shared_path(spark, f"stream-{name}")
     out, ckpt = os.path.join(base, "out"), os.path.join(base, "ckpt")
     q = (query_df.writeStream.format("parquet").outputMode(mode)
          .option("path", out).option("checkpointLocation", ckpt)

@@ -96,18 +96,17 @@ def test_many_sources_equal_separate_fits(spark):
     both = exact_quantiles_many([(a, ["x", "y"]), (b, ["x"])], PROBS)
     assert both[0] == exact_quantiles(a, ["x", "y"], PROBS)
     assert both[1] == exact_quantiles(b, ["x"], PROBS)
-    big = exact_quantiles_many([(a, ["x"]), (b, ["x"])], PROBS, single_task_limit=0, partitions=3)
+    big = exact_quantiles_many([(a, ["x"]), (b, ["x"])], PROBS, partitions=3)
     assert big == [exact_quantiles(a, ["x"], PROBS), exact_quantiles(b, ["x"], PROBS)]
 
 
-def test_fit_through_range_plan_gives_same_bins(spark):
+def test_edges_equal_numpy_for_any_number_of_partitions(spark):
     rng = np.random.default_rng(11)
     rows = [(int(rng.integers(0, 400)), int(rng.integers(1, 9)), float(np.round(rng.gamma(2, 60), 2)))
             for _ in range(1500)]
     df = spark.createDataFrame(rows, "Recency int, Frequency long, MonetaryValue double")
-    small = QuantileBinner().fit(df)
-    ranged = QuantileBinner(single_task_limit=0).fit(df)
-    assert small.edges == ranged.edges
-    a = sorted(small.transform(df).select("r_bin", "f_bin", "m_bin").collect())
-    b = sorted(ranged.transform(df).select("r_bin", "f_bin", "m_bin").collect())
-    assert a == b
+    probs = [j / 5 for j in range(6)]
+    want = {c: np.quantile([r[i] for r in rows], probs) for i, c in enumerate(df.columns)}
+    for parts in (1, 3, 11):
+        got = exact_quantiles(df, df.columns, probs, partitions=parts)
+        assert all(np.allclose(got[c], want[c], rtol=1e-12) for c in df.columns)
