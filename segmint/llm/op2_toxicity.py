@@ -75,11 +75,12 @@ class ToxicityModel:
 
     def __init__(self, scores: dict[bytes, float], lam: float, log_k: float, weights=(0.0, 0.0, 0.0)):
         self.scores, self.lam, self.log_k, self.weights = scores, lam, log_k, tuple(weights)
+        self.positive = frozenset(w for w, x in scores.items() if x > 0)
 
     def scan(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
         """Number of words and the segments, with their evidence -log(E)."""
         words = letter_words(text) if text else []
-        if not words or not self.scores:
+        if self.positive.isdisjoint(words):  # most texts: no segment can be positive
             return len(words), []
         get, drift = self.scores.get, -DRIFT
         s = np.fromiter((get(w, drift) for w in words), np.float64, len(words))

@@ -126,7 +126,7 @@ def test_edges(spark, edges, empty):
     assert [r["n_removed"] for r in got if r["doc_id"] == 1] == [0, 0]  # repeated rows are one document
     assert by[2]["text"] is None and by[2]["n_lines"] == 0 and by[3]["text"] == "" and by[4]["text"] == "  \t\n \n"
     assert by[8]["text"] == "" and by[8]["n_removed"] == 1
-    assert by[6]["n_removed"] > 0 and by[6]["text"].count("word5 ") < 45  # long texts repeat their own lines
+    assert by[6]["n_lines"] == 801 and by[6]["n_removed"] == 0  # its lines are cut from a longer cycle
     assert rows(M.q_op6(spark, empty)) == []
 
 
