@@ -39,6 +39,8 @@ PER_CLASS = 12_000
 #: Words that may enter a model, the most significant first: the model's bound.
 MAX_WORDS = 20_000
 PRIOR_MASS = 20_000.0
+#: Words with smaller log-odds count as any other: they cost the drift.
+MIN_LOG_ODDS = 1.0
 MIN_LIKELIHOOD_RATIO = 16.0
 DRIFT = 0.08
 ALPHA = 0.05
@@ -52,22 +54,23 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     if not len(hot):
         return []
     total = np.concatenate([[0.0], np.cumsum(scores, dtype=np.float64)])
-    # Each candidate: start, end, cumulative score before it and after it.
-    stack: list[tuple[int, int, float, float]] = []
+    # Each candidate: start, end, cumulative score before it and after it, and
+    # the number of the nearest one before it that starts lower. Those between
+    # start no lower, so a search may hop over them: the scan stays linear.
+    stack: list[tuple[int, int, float, float, int]] = []
     for i in hot.tolist():
-        cand = (i, i + 1, total[i], total[i + 1])
+        first, last, low, high = i, i + 1, total[i], total[i + 1]
+        j = len(stack) - 1
         while True:
-            # The nearest candidate that starts at a lower cumulative score;
-            # those passed over start no lower, and stay for later ones.
-            j = len(stack) - 1
-            while j >= 0 and stack[j][2] >= cand[2]:
-                j -= 1
-            if j < 0 or stack[j][3] >= cand[3]:
-                stack.append(cand)
+            while j >= 0 and stack[j][2] >= low:
+                j = stack[j][4]
+            if j < 0 or stack[j][3] >= high:
+                stack.append((first, last, low, high, j))
                 break
-            cand = (stack[j][0], cand[1], stack[j][2], cand[3])
+            first, low = stack[j][0], stack[j][2]
             del stack[j:]
-    return [(a, b, r - l) for a, b, l, r in stack]
+            j -= 1
+    return [(a, b, high - low) for a, b, low, high, _ in stack]
 
 
 class ToxicityModel:
@@ -181,6 +184,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Toxic
             a = PRIOR_MASS * (r["t1"] + r["t0"]) / (t1 + t0)
             x1, x0 = r["t1"] + a, r["t0"] + a
             x = math.log(x1 / (t1 + PRIOR_MASS - x1)) - math.log(x0 / (t0 + PRIOR_MASS - x0))
+            if abs(x) < MIN_LOG_ODDS:
+                continue
             scores[bytes(r["word"])] = x
             p.append(x0 / (t0 + PRIOR_MASS))
             s.append(x)
