@@ -40,9 +40,9 @@ from .components import connected_components
 
 EDITS = 2
 MIN_CHARS = 20
-#: Shared segment keys (8 bytes each) that may be broadcast; beyond it the
-#: same join is left to shuffle.
-BROADCAST_KEYS = 1_000_000
+#: Shared segment keys (8 bytes each) that may be broadcast. Beyond it the join
+#: is left to shuffle, first without texts, which are then fetched once a line.
+BROADCAST_KEYS = 2_000_000
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -172,9 +172,16 @@ def line_links(docs: DataFrame, text: str = "text") -> DataFrame:
     keyed = segment_keys(line.select(F.xxhash64("line").alias("id"), "line"))
     shared = keyed.groupBy("k").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select(F.col("k").alias("sk"))
     shared = materialize(shared, "line-keys")
+    on = F.col("k") == F.col("sk")
     if shared.count() <= BROADCAST_KEYS:
-        shared = F.broadcast(shared)
-    members = materialize(keyed.join(shared, F.col("k") == F.col("sk")).groupBy("k", "id").agg(F.min("line").alias("line")), "line-members")
+        members = keyed.join(F.broadcast(shared), on).groupBy("k", "id").agg(F.min("line").alias("line"))
+    else:
+        places = materialize(keyed.select("k", "id").join(shared, on).select("k", "id").distinct(), "line-places")
+        wanted = places.select(F.col("id").alias("wid")).distinct()
+        texts = line.select(F.xxhash64("line").alias("tid"), "line").join(wanted, F.col("tid") == F.col("wid"), "left_semi")
+        texts = materialize(texts.groupBy("tid").agg(F.min("line").alias("line")), "line-texts")
+        members = places.join(texts, F.col("id") == F.col("tid")).select("k", "id", "line")
+    members = materialize(members, "line-members")
     a = members.select("k", F.col("id").alias("x"), F.col("line").alias("a"), F.char_length("line").alias("na"))
     b = members.select(F.col("k").alias("kb"), F.col("id").alias("y"), F.col("line").alias("b"), F.char_length("line").alias("nb"))
     near = within(F.col("a"), F.col("b"), F.col("na"), F.col("nb"))
