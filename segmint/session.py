@@ -91,6 +91,21 @@ def release(spark: SparkSession, *paths: str) -> None:
             left.remove(path)
 
 
+def written(spark: SparkSession) -> int:
+    """How many written tables the application has now: a mark for
+    ``release_since``."""
+    return len(_WRITTEN.get(spark.sparkContext.applicationId, []))
+
+
+def release_since(spark: SparkSession, mark: int, keep: tuple[str, ...] = ()) -> None:
+    """Delete the tables written after ``mark`` that nothing reads any more:
+    all but those whose name is in ``keep``."""
+    new = _WRITTEN.get(spark.sparkContext.applicationId, [])[mark:]
+    gone = [p for p in new if os.path.basename(p).rpartition("-")[0] not in keep]
+    if gone:
+        release(spark, *gone)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back. Cuts lineage (a lost executor does not force recomputation of the
