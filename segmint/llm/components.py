@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import _WRITTEN, materialize, release, written
 
 
 def _with_minimum(pairs: DataFrame) -> DataFrame:
@@ -21,7 +21,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """(node, root) for every node of ``edges`` (columns x, y of one type);
     root is the smallest node of the component. Each round's edges are written
     to the shared folder, so a lost executor repeats one round at most."""
-    a, b = F.col("x"), F.col("y")
+    spark, a, b = edges.sparkSession, F.col("x"), F.col("y")
+    start = written(spark)
     e = materialize(edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "cc-edges")
     mark = None
     for _ in range(max_rounds):
@@ -38,6 +39,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         got = new.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         done = mark == (got["n"], got["h"])
         mark, e = (got["n"], got["h"]), new
+        before = _WRITTEN[spark.sparkContext.applicationId][start:-1]
+        if before:  # this round's edges replace all that came before
+            release(spark, *before)
         if done:
             break
     else:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, release_since, written
 from .components import connected_components
 
 WORDS = 4
@@ -264,13 +264,17 @@ def similar_links(distinct: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """(rows, classes): rows doc_id, fp of every document; classes fp, root
     (smallest fingerprint connected), component_id (smallest id connected)."""
+    spark = docs.sparkSession
+    mark = written(spark)
     rows = materialize(docs.select(F.col(doc_id).alias("doc_id"), fingerprint_column(F.col(text)).alias("fp")), "simhash-rows")
     distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     found = materialize(connected_components(similar_links(distinct)), "simhash-components")
     rooted = materialize(distinct.join(found, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
     ids = materialize(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-ids")
-    return rows, materialize(rooted.join(ids, "root").select("fp", "root", "component_id"), "simhash-classes")
+    classes = materialize(rooted.join(ids, "root").select("fp", "root", "component_id"), "simhash-classes")
+    release_since(spark, mark, keep=("simhash-rows", "simhash-classes"))
+    return rows, classes
 
 
 def q_op10(spark, sf):

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, release_since, written
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_SEEDS = 5
@@ -176,6 +176,14 @@ def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn_patterns(docs: DataFrame, text: str = "text") -> list[tuple[str, str, float]]:
     """(context, kind, confidence) of the patterns that pass both limits."""
+    mark = written(docs.sparkSession)
+    try:
+        return _learn(docs, text)
+    finally:  # the patterns are a list: no table is read any more
+        release_since(docs.sparkSession, mark)
+
+
+def _learn(docs: DataFrame, text: str) -> list[tuple[str, str, float]]:
     pairs = materialize(docs.select(F.col(text).alias("text")).mapInArrow(
         _evidence, "context string, kind string, surface string"), "pii-pairs")
     # Patterns: contexts with enough different seeds of one kind. Their edges

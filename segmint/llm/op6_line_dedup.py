@@ -35,7 +35,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, release_since, written
 from .components import connected_components
 
 EDITS = 2
@@ -221,7 +221,10 @@ def line_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", out: str = "dedup") -> DataFrame:
     """``docs`` with ``text`` without the lines that go, and struct ``out``:
     lines, removed, classes, links. Its name must be free."""
-    found = materialize(line_classes(docs, text, doc_id), "line-decisions").select(
+    mark = written(docs.sparkSession)
+    found = materialize(line_classes(docs, text, doc_id), "line-decisions")
+    release_since(docs.sparkSession, mark, keep=("line-decisions",))
+    found = found.select(
         F.col("doc_id").alias("__line_doc"), F.col("th").alias("__line_th"), F.struct("removed", "classes", "links").alias("__line"))
     d = docs.withColumn("__line_hash", F.xxhash64(text)).join(
         found, F.col(doc_id).eqNullSafe(F.col("__line_doc")) & (F.col("__line_hash") == F.col("__line_th")), "left")
