@@ -1,15 +1,19 @@
 """Line dedup by a segment-partition edit join, in DataFrame operations only.
 
-Lines of at least ``MIN_CHARS`` characters that are equal, or within ``EDITS``
-edits of each other, belong to one class (links are followed). Of each class
-the first line stays (smallest document id, then position); the others go.
-Shorter lines are never judged.
-
-Search: a line of n characters is cut into EDITS + 1 segments. Lines within
-EDITS edits, of lengths m <= n, share at least one segment of the shorter one
-as a substring of the longer one, near its own place. So a line indexes its
-segments under (length, segment number, content) and probes, for each length m
-down to n - EDITS, the few start positions that the multi-match rule leaves.
+Lines that are equal, or near each other, belong to one class (links are
+followed). Of each class the first line stays (smallest document id, then
+position); the others go. Near is one edit for every ``CHARS_PER_EDIT``
+characters of the longer line, ``EDITS`` at most: lines of ``MIN_CHARS``
+characters or more link within EDITS edits, also with shorter lines, and the
+shortest only when equal. Lines under MIN_CHARS without a letter or digit are
+layout (blank lines, brackets, rules) and always stay.
+
+Search: a line that may be E edits away from a shorter one is cut into E + 1
+segments. Lines within E edits, of lengths m <= n, share at least one segment
+of the shorter one as a substring of the longer one, near its own place. So a
+line indexes its segments under (length, segment number, content) and probes,
+for each length m down to n - E, the few start positions that the multi-match
+rule leaves. A line just short of a longer one's E indexes for that E too.
 Keys are hashed to 64 bits and counted with two extreme line hashes, which is
 map-side combined; only keys that two different lines share fetch any text.
 
@@ -40,6 +44,7 @@ from .components import connected_components
 
 EDITS = 2
 MIN_CHARS = 20
+CHARS_PER_EDIT = MIN_CHARS // EDITS
 #: Shared segment keys (8 bytes each) that may be broadcast. Beyond it the join
 #: is left to shuffle, first without texts, which are then fetched once a line.
 BROADCAST_KEYS = 2_000_000
@@ -63,18 +68,38 @@ def probes(edits: int = EDITS) -> list[tuple[int, int, int]]:
     return out
 
 
-def segment_keys(rows: DataFrame, edits: int = EDITS, line: str = "line") -> DataFrame:
+def cuts(n: Column) -> Column:
+    """Array of the places (parts, less, i, shift) to cut a line of n
+    characters at: those of its own number of edits, and its own segments for
+    the larger numbers that lines a little longer have."""
+    def table(places: list[tuple[int, int, int, int]]) -> Column:
+        return F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(("parts", "less", "i", "shift"), p, strict=True)])
+                         for p in places])
+
+    def places(size: int) -> list[tuple[int, int, int, int]]:
+        e = min(EDITS, size // CHARS_PER_EDIT)
+        out = [(e + 1, *p) for p in probes(e)] if e else []
+        for more in range(e + 1, EDITS + 1):
+            if size + more >= more * CHARS_PER_EDIT:
+                out += [(more + 1, 0, i, 0) for i in range(1, more + 2)]
+        return out
+
+    bounds = sorted({e * CHARS_PER_EDIT - back for e in range(1, EDITS + 1) for back in (0, e)}, reverse=True)
+    out = F.when(n >= bounds[0], table(places(bounds[0])))
+    for size in bounds[1:]:
+        out = out.when(n >= size, table(places(size)))
+    return out
+
+
+def segment_keys(rows: DataFrame, line: str = "line") -> DataFrame:
     """``rows`` once for each key of its line, in ``k``. The places to cut are
-    a constant table that is exploded, so the expression for one key is all
+    constant tables that are exploded, so the expression for one key is all
     that is compiled (twelve of them in one array make a method that the JIT
     refuses)."""
-    parts = edits + 1
-    table = F.array(*[F.struct(F.lit(less).alias("less"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
-                      for less, i, shift in probes(edits)])
-    p = rows.withColumn("_p", F.explode(table)).withColumn("_m", F.char_length(line) - F.col("_p.less"))
-    i, m = F.col("_p.i"), F.col("_m")
+    p = rows.withColumn("_p", F.explode(cuts(F.char_length(line)))).withColumn("_m", F.char_length(line) - F.col("_p.less"))
+    i, m, parts = F.col("_p.i"), F.col("_m"), F.col("_p.parts")
     longer = m % parts  # the last m mod parts segments are longer by one
-    small = F.expr(f"_m div {parts}").cast("int")
+    small = F.expr("_m div _p.parts").cast("int")
     size = small + (i > parts - longer).cast("int")
     start = 1 + F.col("_p.shift") + small * (i - 1) + F.greatest(F.lit(0), i - 1 - (parts - longer))
     return p.withColumn("k", F.xxhash64(m, i, F.substring(F.col(line), start, size))).drop("_p", "_m")
@@ -137,9 +162,11 @@ def _bit(mask: Column, at: Column) -> Column:
     return (at >= 0) & (F.floor(mask / F.pow(F.lit(2.0), at)).cast("long") % 2 == 1)
 
 
-def within(a: Column, b: Column, na: Column, nb: Column, edits: int = EDITS) -> Column:
-    """Whether two strings of na and nb characters are within ``edits``."""
+def within(a: Column, b: Column, na: Column, nb: Column, edits: int = EDITS, most: Column | None = None) -> Column:
+    """Whether two strings of na and nb characters are within ``edits``, and
+    within ``most`` edits if it is given."""
     short = F.least(na, nb)
+    limit = F.lit(edits) if most is None else F.least(F.lit(edits), most)
 
     def after_prefix(p: Column) -> Column:
         ra, rb = F.substring(a, p + 1, na - p), F.substring(b, p + 1, nb - p)
@@ -153,22 +180,28 @@ def within(a: Column, b: Column, na: Column, nb: Column, edits: int = EDITS) ->
         if edits == 2:
             la = F.char_length(ma)
             ok = (la <= 2) | F.contains(mb, F.substring(ma, F.lit(2), la - 2))
-        return F.when(ok, banded_distance(ma, mb, edits) <= edits).otherwise(False)
+        return F.when(ok, banded_distance(ma, mb, edits) <= limit).otherwise(False)
+
+    return F.when(F.abs(na - nb) > limit, False).otherwise(let(common_prefix(a, b, short), after_prefix))
+
 
-    return F.when(F.abs(na - nb) > edits, False).otherwise(let(common_prefix(a, b, short), after_prefix))
+def judged_line(line: Column) -> Column:
+    """All lines but short ones without a letter or digit."""
+    return (F.char_length(line) >= MIN_CHARS) | line.rlike(r"[\p{L}\p{N}]")
 
 
 def line_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per judged line: document (id and hash of its text), position
     from 0, line."""
     d = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-    return d.where(F.char_length("line") >= MIN_CHARS)
+    return d.where(judged_line(F.col("line")))
 
 
 def line_links(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Distinct links (x, y), x < y, between hashes of lines within ``EDITS``
-    edits of each other and not equal."""
-    line = docs.select(F.explode(F.split(text, "\n")).alias("line")).where(F.char_length("line") >= MIN_CHARS)
+    """Distinct links (x, y), x < y, between hashes of lines that are near each
+    other and not equal."""
+    line = docs.select(F.explode(F.split(text, "\n")).alias("line"))
+    line = line.where((F.char_length("line") >= CHARS_PER_EDIT - 1) & judged_line(F.col("line")))
     keyed = segment_keys(line.select(F.xxhash64("line").alias("id"), "line"))
     shared = keyed.groupBy("k").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select(F.col("k").alias("sk"))
     shared = materialize(shared, "line-keys")
@@ -184,7 +217,8 @@ def line_links(docs: DataFrame, text: str = "text") -> DataFrame:
     members = materialize(members, "line-members")
     a = members.select("k", F.col("id").alias("x"), F.col("line").alias("a"), F.char_length("line").alias("na"))
     b = members.select(F.col("k").alias("kb"), F.col("id").alias("y"), F.col("line").alias("b"), F.char_length("line").alias("nb"))
-    near = within(F.col("a"), F.col("b"), F.col("na"), F.col("nb"))
+    most = F.floor(F.greatest("na", "nb") / CHARS_PER_EDIT).cast("int")
+    near = within(F.col("a"), F.col("b"), F.col("na"), F.col("nb"), EDITS, most)
     return a.join(b, (F.col("k") == F.col("kb")) & (F.col("x") < F.col("y")) & near).select("x", "y").distinct()
 
 
