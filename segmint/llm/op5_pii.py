@@ -37,9 +37,8 @@ MIN_SEEDS = 5
 MIN_CONFIDENCE = 0.8
 PRIOR = 1.0
 ROUNDS = 3
-#: Patterns kept for extraction, the best supported first: the bound of what
-#: is sent to the tasks.
-MAX_PATTERNS = 50_000
+#: Patterns that may be sent to the tasks; more are joined to the candidates.
+BROADCAST_PATTERNS = 50_000
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -174,16 +173,22 @@ def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                               names=["context", "kind", "surface"])
 
 
-def learn_patterns(docs: DataFrame, text: str = "text") -> list[tuple[str, str, float]]:
-    """(context, kind, confidence) of the patterns that pass both limits."""
+def pattern_table(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Written table (context, kind, p) of all patterns that pass both limits,
+    one kind a context: the better supported."""
     mark = written(docs.sparkSession)
     try:
         return _learn(docs, text)
-    finally:  # the patterns are a list: no table is read any more
-        release_since(docs.sparkSession, mark)
+    finally:
+        release_since(docs.sparkSession, mark, keep=("pii-chosen",))
+
 
+def learn_patterns(docs: DataFrame, text: str = "text") -> list[tuple[str, str, float]]:
+    """The rows of ``pattern_table``, on the driver."""
+    return [(r["context"], r["kind"], r["p"]) for r in pattern_table(docs, text).collect()]
 
-def _learn(docs: DataFrame, text: str) -> list[tuple[str, str, float]]:
+
+def _learn(docs: DataFrame, text: str) -> DataFrame:
     pairs = materialize(docs.select(F.col(text).alias("text")).mapInArrow(
         _evidence, "context string, kind string, surface string"), "pii-pairs")
     # Patterns: contexts with enough different seeds of one kind. Their edges
@@ -192,7 +197,7 @@ def _learn(docs: DataFrame, text: str) -> list[tuple[str, str, float]]:
     pattern = seeds.groupBy("context", "kind").agg(F.countDistinct("surface").alias("seeds")).where(F.col("seeds") >= MIN_SEEDS)
     pattern = materialize(pattern, "pii-patterns")
     if pattern.isEmpty():
-        return []
+        return docs.sparkSession.createDataFrame([], "context string, kind string, p double")
     own = pairs.select("context", "surface", F.col("kind").alias("own")).distinct()
     digits = F.length(F.regexp_replace("surface", "[^0-9]", ""))
     fits = (F.when(F.col("own") != "", True).when(F.col("kind") == "email", F.col("surface").contains("@"))
@@ -210,15 +215,47 @@ def _learn(docs: DataFrame, text: str) -> list[tuple[str, str, float]]:
         score = edges.join(inst, ["surface", "kind"], "left").groupBy("context", "kind").agg(
             (F.sum(trust) / (F.count("*") + PRIOR)).alias("p"))
     best = score.where(F.col("p") >= MIN_CONFIDENCE).join(pattern, ["context", "kind"])
-    top = best.orderBy(F.desc("seeds"), F.desc("p"), "context", "kind").limit(MAX_PATTERNS).collect()
-    chosen: dict = {}
-    for r in top:  # one kind a context: the better supported
-        chosen.setdefault(r["context"], (r["context"], r["kind"], r["p"]))
-    return list(chosen.values())
+    order = F.struct((-F.col("seeds")).alias("seeds"), (-F.col("p")).alias("doubt"), "kind", "p")
+    first = best.groupBy("context").agg(F.min(order).alias("o"))
+    return materialize(first.select("context", "o.kind", "o.p"), "pii-chosen")
 
 
-def find_spans(docs: DataFrame, patterns: list[tuple[str, str, float]], text: str = "text") -> DataFrame:
-    """``docs`` with ``found``: array of (kind, start, end, base)."""
+def _candidate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text's key, context, start, end, kinds it may be) of the candidates."""
+    for batch in batches:
+        rows = []
+        for key, t in zip(batch.column(0), batch.column(1), strict=True):
+            text = t.as_py()
+            for a, b in candidates(text, base_spans(text)) if text else ():
+                kinds = [k for k in KINDS if plausible(k, text[a:b])]
+                if kinds:
+                    rows.append((key.as_py(), context(text, a, b), a, b, kinds))
+        cols = zip(*rows, strict=True) if rows else ((),) * 5
+        types = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.string()))
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
+                              names=["key", "context", "start", "end", "kinds"])
+
+
+def _added_spans(docs: DataFrame, patterns: DataFrame, text: str) -> DataFrame:
+    """(key, added): the spans that patterns add to each different text, by a
+    join of the candidates' contexts. Copies of a text count as one."""
+    rows = docs.select(F.sha2(text, 256).alias("key"), F.col(text).alias("text")).mapInArrow(
+        _candidate_rows, "key string, context string, start int, end int, kinds array<string>")
+    rows = materialize(rows, "pii-candidates")
+    p = patterns.select(F.col("context").alias("__context"), "kind")
+    hits = rows.join(p, (F.col("context") == F.col("__context")) & F.array_contains("kinds", F.col("kind")))
+    span = F.struct("kind", "start", "end", F.lit(False).alias("base"))
+    return materialize(hits.select("key", span.alias("span")).distinct().groupBy("key").agg(
+        F.collect_list("span").alias("added")), "pii-added")
+
+
+def find_spans(docs: DataFrame, patterns: DataFrame | list[tuple[str, str, float]], text: str = "text") -> DataFrame:
+    """``docs`` with ``found``: array of (kind, start, end, base). Patterns are
+    a list, or a table of any size (context, kind, p)."""
+    if isinstance(patterns, DataFrame):
+        if patterns.count() > BROADCAST_PATTERNS:
+            return _joined_spans(docs, patterns, text)
+        patterns = [(r["context"], r["kind"], r["p"]) for r in patterns.collect()]
     kinds = {c: k for c, k, _ in patterns}
 
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -239,11 +276,23 @@ def find_spans(docs: DataFrame, patterns: list[tuple[str, str, float]], text: st
     return docs.withColumn("found", F.pandas_udf(run, "array<struct<kind:string, start:int, end:int, base:boolean>>")(F.col(text)))
 
 
+def _joined_spans(docs: DataFrame, patterns: DataFrame, text: str) -> DataFrame:
+    """As ``find_spans``, for patterns that are too many to be sent."""
+    added = _added_spans(docs, patterns, text).withColumnsRenamed({"key": "__pii_key", "added": "__pii_added"})
+    d = find_spans(docs, [], text).withColumn("__pii_hash", F.sha2(text, 256))
+    d = d.join(added, F.col("__pii_hash") == F.col("__pii_key"), "left")
+    rank = lambda s: F.array_position(F.array(*map(F.lit, KINDS)), s["kind"])
+    ranked = F.transform(F.concat("found", F.coalesce("__pii_added", F.expr("filter(found, s -> false)"))),
+                         lambda s: F.struct(s["start"].alias("start"), rank(s).alias("rank"), s.alias("span")))
+    return d.withColumn("found", F.transform(F.array_sort(ranked), lambda s: s["span"])).drop(
+        "__pii_hash", "__pii_key", "__pii_added")
+
+
 def q_op5(spark, sf):
     """Every whole text of ``documents``: counts and digest of the base spans,
     and all spans."""
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-    d = find_spans(docs, learn_patterns(docs))
+    d = find_spans(docs, pattern_table(docs))
     base = F.filter("found", lambda s: s["base"])
     said = lambda arr: F.array_join(F.transform(arr, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     count = lambda k: F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
