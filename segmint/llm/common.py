@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes translation: A-Z to a-z; other ASCII that is not a letter to a space.
 #: Bytes of non-ASCII letters stay, so UTF-8 words stay whole.
@@ -28,17 +29,31 @@ def letter_words(text: str) -> list[bytes]:
     return text.lower().encode("utf-8", "replace").translate(LETTERS).split()
 
 
+#: Expected rows of a label value that are too few to rely on.
+LEAST_PER_CLASS = 20
+
+
 def sampled_labels(labels: DataFrame, key: str, label: str, per_class: int, max_classes: int = 64) -> DataFrame:
     """One row per ``key`` and about ``per_class`` keys for each label value:
     all of a class that has no more, else the keys whose hash falls under the
-    class's rate. Only the ``max_classes`` commonest labels are kept. The size
-    is bounded by ``per_class * max_classes`` whatever the input's size, so
-    the result may be broadcast. Null keys and labels are left out; a key with
+    class's rate. Every label value is kept: with more than ``max_classes`` of
+    them each has fewer rows, and more than leave ``LEAST_PER_CLASS`` for each
+    raise an error. The size is bounded by about ``per_class * max_classes``
+    whatever the input's size, so the result may be broadcast. Null keys and labels are left out; a key with
     several labels takes the largest."""
     one = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(F.max(label).alias(label))
-    counts = one.groupBy(label).count().orderBy(F.desc("count"), label).limit(max_classes).collect()
+    most = max(max_classes, per_class * max_classes // LEAST_PER_CLASS)
+    counts = one.groupBy(label).count().orderBy(F.desc("count"), label).limit(most + 1).collect()
+    if len(counts) > most:
+        raise ValueError(f"more than {most} values of {label}")
     keep = F.lit(False)
     span = 1 << 30
+    if len(counts) > max_classes:  # a table of rates: too many for one expression
+        per_class = per_class * max_classes // len(counts)
+        rates = [(r[0], int(min(1.0, per_class / r["count"]) * span)) for r in counts]
+        rates = labels.sparkSession.createDataFrame(rates, T.StructType([one.schema[label], T.StructField("__cut", T.LongType())]))
+        chosen = one.join(F.broadcast(rates), label).where(F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(span)) < F.col("__cut"))
+        return chosen.select(key, label)
     for r in counts:
         cut = int(min(1.0, per_class / r["count"]) * span)
         keep = keep | ((F.col(label) == F.lit(r[0])) & (F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(span)) < cut))
