@@ -39,8 +39,6 @@ PER_CLASS = 12_000
 #: Words that may enter a model, the most significant first: the model's bound.
 MAX_WORDS = 20_000
 PRIOR_MASS = 20_000.0
-#: Words with smaller log-odds count as any other: they cost the drift.
-MIN_LOG_ODDS = 1.0
 MIN_LIKELIHOOD_RATIO = 16.0
 DRIFT = 0.08
 ALPHA = 0.05
@@ -184,8 +182,6 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Toxic
             a = PRIOR_MASS * (r["t1"] + r["t0"]) / (t1 + t0)
             x1, x0 = r["t1"] + a, r["t0"] + a
             x = math.log(x1 / (t1 + PRIOR_MASS - x1)) - math.log(x0 / (t0 + PRIOR_MASS - x0))
-            if abs(x) < MIN_LOG_ODDS:
-                continue
             scores[bytes(r["word"])] = x
             p.append(x0 / (t0 + PRIOR_MASS))
             s.append(x)
