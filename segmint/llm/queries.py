@@ -13,6 +13,7 @@ from . import op7_warc as op7
 from . import op8_sentencepiece as op8
 from . import op9_quality_classifier as op9
 from . import op10_simhash as op10
+from . import op11_substring_dedup as op11
 from . import op12_fill_in_middle as op12
 
 QUERIES = {
@@ -26,11 +27,13 @@ QUERIES = {
     "op8_sentencepiece": op8.q_op8,
     "op9_quality_classifier": op9.q_op9,
     "op10_simhash": op10.q_op10,
+    "op11_substring_dedup": op11.q_op11,
     "op12_fill_in_middle": op12.q_op12,
 }
 
 ORACLE_SQL = {
     "op4_quality_rules": op4.SQL_OP4,
     "op7_warc": op7.SQL_OP7,
+    "op11_substring_dedup": op11.SQL_OP11,
     "op12_fill_in_middle": op12.SQL_OP12,
 }
