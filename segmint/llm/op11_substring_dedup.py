@@ -4,6 +4,9 @@ A window of ``WINDOW`` consecutive words is an edge from its first WINDOW - 1
 words to its last WINDOW - 1. A word is removed if some window over it also
 starts in a document with a smaller id; windows are judged on the input.
 
+0. Copies. Rows of equal texts (by SHA-256) collapse to the one with the least
+   id before anything else; the others lose every window, and with it every
+   word of a text of WINDOW words or more. Large groups of copies end here.
 1. Anchors. Each window is served by the least hash among its runs of
    ``ANCHOR`` words, so equal windows have equal anchors, and neighbouring
    windows mostly share one. Anchors (one for about four windows) are counted
@@ -174,20 +177,28 @@ def _spans_of(texts: DataFrame, asked: DataFrame, window: int, single: bool, nam
 def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW,
                    anchor: int = ANCHOR, bits: int = 64) -> DataFrame:
     """Spans (doc, th, pos, n): n windows from word ``pos`` on that also start
-    in a document with a smaller id. doc is the id (null: the largest bigint),
-    th the hash of the text. ``bits`` of the word hashes, fewer for tests."""
+    in a document with a smaller id, n null for all of a text that does. doc
+    is the id (null: the largest bigint), th the hash of the text. ``bits`` of
+    the word hashes, fewer for tests."""
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))
-    texts = docs.where(F.col(text).isNotNull()).select(
-        key.alias("doc"), F.xxhash64(text).alias("th"), F.col(text).cast("binary").alias("text"))
+    digest = F.unhex(F.sha2(F.col(text).cast("binary"), 256))
+    rows = docs.where(F.col(text).isNotNull()).select(
+        key.alias("doc"), F.xxhash64(text).alias("th"), digest.alias("digest"), F.col(text).cast("binary").alias("text"))
+    texts = rows.groupBy("digest").agg(F.min("doc").alias("doc"), F.any_value("th").alias("th"), F.any_value("text").alias("text"))
+    texts = materialize(texts, "sub-texts")
+    first = texts.select(F.col("digest").alias("fd"), F.col("doc").alias("lo"))
+    copies = rows.select("doc", "th", "digest").join(first, (F.col("digest") == F.col("fd")) & (F.col("lo") < F.col("doc")))
+    copies = materialize(copies.select("doc", "th").distinct(), "sub-copies")
+    copies = copies.select("doc", "th", F.lit(0).cast("long").alias("pos"), F.lit(None).cast("long").alias("n"))
+
     found = texts.select("doc", "text").mapInArrow(_anchors(window, anchor, bits, False), "a bigint, doc bigint")
     shared = found.groupBy("a").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi")
     shared = materialize(shared.select(F.col("a").alias("sa")), "sub-anchors")
 
-    placed = texts.mapInArrow(_anchors(window, anchor, bits, True), "a bigint, doc bigint, th bigint, run bigint")
+    placed = texts.select("doc", "th", "text").mapInArrow(_anchors(window, anchor, bits, True), "a bigint, doc bigint, th bigint, run bigint")
     placed = placed.join(shared, F.col("a") == F.col("sa"), "left_semi")
-    lists = materialize(placed.groupBy("doc", "th").agg(F.collect_set("run").alias("runs")), "sub-runs")
-    one = texts.groupBy("doc", "th").agg(F.min("text").alias("text"))  # repeated rows are one text
-    wanted = one.join(lists, ["doc", "th"]).select("doc", "th", "text", "runs")
+    lists = materialize(placed.groupBy("doc", "th").agg(F.collect_list("run").alias("runs")), "sub-runs")
+    wanted = texts.join(lists, ["doc", "th"]).select("doc", "th", "text", "runs")
     stretches = materialize(wanted.mapInArrow(_stretches(window, bits), "doc bigint, th bigint, pos bigint, nodes array<bigint>"),
                             "sub-stretches")
 
@@ -221,9 +232,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                      & (F.col("n") == F.col("s_n")))
     judged = materialize(same.select("doc", "th", "pos", "n", (F.col("o_words") == F.col("s_words")).alias("same")), "sub-judged")
     good, bad = judged.where("same").drop("same"), judged.where("not same").drop("same")
-    if bad.isEmpty():
-        return good
-    return good.union(_by_words(texts, windows, bad, window))
+    if not bad.isEmpty():
+        good = good.union(_by_words(texts, windows, bad, window))
+    return good.union(copies)
 
 
 def _by_words(texts: DataFrame, windows: DataFrame, bad: DataFrame, window: int) -> DataFrame:
@@ -251,6 +262,8 @@ def kept_column(text: Column, spans: Column, window: int = WINDOW) -> Column:
         words = (data or b"").split()
         if not cuts:
             return len(words), 0, b" ".join(words)
+        if cuts[0]["n"] is None:
+            return (len(words), len(words), b"") if len(words) >= window else (len(words), 0, b" ".join(words))
         keep = np.ones(len(words), bool)
         for s in cuts:
             keep[s["pos"] : s["pos"] + s["n"] + window - 1] = False
