@@ -15,6 +15,7 @@ from . import op9_quality_classifier as op9
 from . import op10_simhash as op10
 from . import op11_substring_dedup as op11
 from . import op12_fill_in_middle as op12
+from . import op13_phrases as op13
 
 QUERIES = {
     "op1_decontamination": op1.q_op1,
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_simhash": op10.q_op10,
     "op11_substring_dedup": op11.q_op11,
     "op12_fill_in_middle": op12.q_op12,
+    "op13_phrases": op13.q_op13,
 }
 
 ORACLE_SQL = {
@@ -36,4 +38,5 @@ ORACLE_SQL = {
     "op7_warc": op7.SQL_OP7,
     "op11_substring_dedup": op11.SQL_OP11,
     "op12_fill_in_middle": op12.SQL_OP12,
+    "op13_phrases": op13.SQL_OP13,
 }
