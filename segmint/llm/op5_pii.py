@@ -135,6 +135,8 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[in
     k, last = 0, 0
     for m in _MAYBE.finditer(text):
         a, b = m.span()
+        if a < last:  # inside the last one: its ends are not sought again
+            continue
         if m[0] == "@":
             while a > last and not text[a - 1].isspace():
                 a -= 1
@@ -146,8 +148,6 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[in
                 b -= 1
         elif b - a < 7:
             continue
-        if a < last:
-            continue
         last = b
         while k < len(base) and base[k][2] <= a:
             k += 1
