@@ -29,10 +29,15 @@ def edited(rng, s, n):
     return "".join(s)
 
 
+def judged(x):
+    return len(x) >= M.MIN_CHARS or any(c.isalnum() for c in x)
+
+
 def plain_dedup(docs):
-    """Texts without the lines that go, by comparing all pairs of lines."""
+    """Texts without the lines that go, by comparing all pairs of lines of
+    every length."""
     order = sorted(range(len(docs)), key=lambda k: (docs[k][0] is None, docs[k][0] or 0))
-    lines = sorted({x for _, t in docs for x in (t or "").split("\n") if len(x) >= M.MIN_CHARS})
+    lines = sorted({x for _, t in docs for x in (t or "").split("\n") if judged(x)})
     parent = {x: x for x in lines}
 
     def find(x):
@@ -42,7 +47,8 @@ def plain_dedup(docs):
 
     for i, a in enumerate(lines):
         for b in lines[i + 1 :]:
-            if abs(len(a) - len(b)) <= M.EDITS and lev(a, b) <= M.EDITS:
+            most = min(M.EDITS, max(len(a), len(b)) // M.CHARS_PER_EDIT)
+            if abs(len(a) - len(b)) <= most and lev(a, b) <= most:
                 parent[find(a)] = find(b)
     seen, out = {}, {}
     for k in order:
@@ -52,7 +58,7 @@ def plain_dedup(docs):
             continue
         kept = []
         for n, x in enumerate(t.split("\n")):
-            if len(x) < M.MIN_CHARS or seen.setdefault(find(x), (d, t, n)) == (d, t, n):
+            if not judged(x) or seen.setdefault(find(x), (d, t, n)) == (d, t, n):
                 kept.append(x)
         out[k] = "\n".join(kept)
     return [out[k] for k in range(len(docs))]

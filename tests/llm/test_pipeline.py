@@ -4,7 +4,7 @@ import corpus_pipeline
 import pytest
 from llm_util import SF, rows
 from test_op1_decontamination import plain_hits
-from test_op6_lines import lev  # noqa: F401  (the line stage's own brute force is tested there)
+from test_op6_lines import judged
 from test_op10_simhash import plain_components, plain_fingerprint
 
 from segmint.llm import op6_line_dedup, op8_sentencepiece, op9_quality_classifier
@@ -15,7 +15,7 @@ def test_stages_are_the_dealt_ones():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "line dedup", "SimHash near-dedup", "benchmark decontamination", "SentencePiece encoding and decoding"]
     assert corpus_pipeline.ORACLE_SQL is None
-    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 11)) and set(ORACLE_SQL) <= set(QUERIES)
+    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 14)) and set(ORACLE_SQL) <= set(QUERIES)
 
 
 def test_run_equals_brute_force(spark):
@@ -25,11 +25,12 @@ def test_run_equals_brute_force(spark):
     good = [(r.doc_id, r.text) for r in op9_quality_classifier.graded(docs, model).collect()
             if r.tails[0] >= op9_quality_classifier.MIN_TAIL]
     # Lines: equal lines, and those linked by an exact distance.
-    lines = sorted({x for _, t in good for x in t.split("\n") if len(x) >= op6_line_dedup.MIN_CHARS})
+    lines = sorted({x for _, t in good for x in t.split("\n") if judged(x)})
     df = spark.createDataFrame([(x,) for x in lines], "a string")
     from pyspark.sql import functions as F
-    near = df.join(df.withColumnRenamed("a", "b"), (F.col("a") < F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= 2)
-                   & (F.levenshtein("a", "b", 2) >= 0)).collect()
+    most = F.least(F.lit(op6_line_dedup.EDITS), F.floor(F.greatest(F.length("a"), F.length("b")) / op6_line_dedup.CHARS_PER_EDIT))
+    near = df.join(df.withColumnRenamed("a", "b"), (F.col("a") < F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= most)
+                   & F.levenshtein("a", "b", 2).between(0, most)).collect()
     parent = {x: x for x in lines}
 
     def find(x):
@@ -43,7 +44,7 @@ def test_run_equals_brute_force(spark):
     for d, t in sorted(good):
         kept = []
         for x in t.split("\n"):
-            if len(x) >= op6_line_dedup.MIN_CHARS:
+            if judged(x):
                 if find(x) in seen:
                     continue
                 seen.add(find(x))
