@@ -59,7 +59,8 @@ def favorites(spark, sf):
 def gold_fav_model(spark, sf, with_sales=False):
     """Gold (bins from edges on all rows), favourites, and the fixed model
     whose edges are re-fitted on the favourites. Favourites are picked by
-    R/F/M alone, so both edge sets are fitted in one job. ``with_sales`` adds
+    R/F/M alone, so they are written once (customer grain), both edge sets are
+    fitted in the same passes, and bins are projections. ``with_sales`` adds
     the sales per (customer, category), from the table written for the metrics:
     the order lines are read once."""
     daily = daily_sales(silver(spark, sf))
@@ -68,9 +69,9 @@ def gold_fav_model(spark, sf, with_sales=False):
         c = cap_metrics(rfmp_from_totals(per), P.FREQ_CAP, P.MONETARY_CAP)
     else:
         c = capped(spark, sf)
-    gold_b, model_b = fit_edges_many([c, favorite_category(c)], n_bins=P.N_BINS)
-    g = gold_b.transform(c)
-    out = g, favorite_category(g), SegmentModel(model_b, list(P.FIXED_CENTROIDS))
+    fav = materialize(favorite_category(c), "favorites")
+    gold_b, model_b = fit_edges_many([c, fav], n_bins=P.N_BINS)
+    out = gold_b.transform(c), gold_b.transform(fav), SegmentModel(model_b, list(P.FIXED_CENTROIDS))
     return (*out, per) if with_sales else out
 
 

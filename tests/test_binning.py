@@ -110,3 +110,37 @@ def test_edges_equal_numpy_for_any_number_of_partitions(spark):
     for parts in (1, 3, 11):
         got = exact_quantiles(df, df.columns, probs, partitions=parts)
         assert all(np.allclose(got[c], want[c], rtol=1e-12) for c in df.columns)
+
+
+@pytest.mark.parametrize("small,grid,accuracy", [(4096, 1024, 10_000), (8, 16, 100), (2, 4, 10), (2, 4, 1)])
+def test_brackets_equal_numpy_with_ties_and_a_hot_value(spark, monkeypatch, small, grid, accuracy):
+    from segmint.operators import quantiles as Q
+    for name, v in (("SMALL", small), ("GRID", grid), ("ACCURACY", accuracy)):
+        monkeypatch.setattr(Q, name, v)
+    rng = np.random.default_rng(5)
+    cols = {
+        "hot": np.concatenate([rng.normal(size=2000), np.full(1000, 0.25)]),
+        "ties": rng.integers(0, 8, 3000).astype(float),
+        "one": np.full(3000, 3.0),
+        "wide": rng.gamma(0.1, 1e6, 3000),
+        "low": np.where(np.arange(3000) < 2990, -1.0, rng.normal(size=3000)),
+    }
+    rows = [tuple(map(float, r)) for r in zip(*cols.values())]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols)).repartition(5)
+    probs = [0.0, 0.001, 0.2, 1 / 3, 0.5, 0.6667, 0.999, 1.0]
+    got = exact_quantiles(df, list(cols), probs)
+    for c, xs in cols.items():
+        assert np.allclose(got[c], np.quantile(xs, probs), rtol=1e-12, atol=0), c
+
+
+def test_brackets_of_nulls_and_nothing(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, None)], "x double, y double")
+    assert exact_quantiles(df, ["x", "y"], [0.0, 0.5]) == {"x": [None, None], "y": [1.0, 1.0]}
+    assert exact_quantiles(df.where("false"), ["x"], [0.5]) == {"x": [None]}
+
+
+def test_brackets_neither_range_partition_nor_sort(spark):
+    from segmint.operators import quantiles as Q
+    df = spark.range(1000).selectExpr("cast(id as double) x")
+    plan = Q._regions([(df, ["x"])], {0: [3.0, 9.0]}).groupBy("m", "g").count()._jdf.queryExecution().toString()
+    assert "rangepartitioning" not in plan and "Sort" not in plan.split("== Physical Plan ==")[1]
