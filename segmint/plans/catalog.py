@@ -22,6 +22,7 @@ from ..operators.favorite import category_rank, category_samples, customer_looku
 from ..operators.metrics import cap_metrics, daily_sales, group_totals, rfmp_from_totals, rfmp_metrics, snapshot_date
 from ..schemas import EVENTS, GROUP_KEYS
 from ..session import materialize, shared_path
+from ..sources.layers import write_layer
 from ..sources.transactions import load_transactions, load_typed_silver, product_types
 from ..streaming.stream import file_stream, run_to_completion, stream_daily_sales, stream_score, stream_to_end
 from . import params as P
@@ -371,11 +372,9 @@ def q_silver_structured(spark, sf):
 
 
 def q_silver_catalog(spark, sf):
-    """Silver written as a table of the catalog and read back from it."""
+    """Silver written as a layer of the catalog and read back from it."""
     spark.sql("CREATE SCHEMA IF NOT EXISTS segmint_layers")
-    table = "segmint_layers.silver_" + os.urandom(6).hex()
-    silver(spark, sf).write.mode("overwrite").saveAsTable(table)
-    return spark.table(table)
+    return write_layer(silver(spark, sf), "segmint_layers.silver")
 
 
 def q_tokens_raw(spark, sf):

@@ -1,6 +1,6 @@
 """End-to-end medallion pipeline: bronze -> silver -> gold -> segments ->
-orders_gold, each hand-off a catalog table (so every layer is a lineage cut
-that survives executor loss and can be re-run on its own).
+orders_gold, each hand-off a layer of the catalog (staged, then swapped in one step; every
+layer is a lineage cut that survives executor loss and can be re-run on its own).
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from ..operators.cluster import SegmentModel, bin_cells, choose_k, fit_segments,
 from ..operators.favorite import favorite_category
 from ..operators.metrics import cap_metrics, daily_sales, group_totals, rfmp_metrics, snapshot_date, with_recency_sign
 from ..sources import model_store
+from ..sources.layers import write_layer
 
 
 @dataclass
@@ -38,8 +39,7 @@ class PipelineConfig:
 
 
 def _save(df: DataFrame, table: str, fmt: str) -> DataFrame:
-    df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
-    return df.sparkSession.table(table)
+    return write_layer(df, table, fmt)
 
 
 def run_pipeline(spark: SparkSession, bronze: DataFrame, cfg: PipelineConfig = PipelineConfig(),

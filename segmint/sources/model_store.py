@@ -3,6 +3,11 @@
 ``<schema>.segment_models`` is append-only: a row for every save (with the
 model: JSON of edges and centroids) and for every later change of a version's
 stage (without). Nothing is ever rewritten, so a failed write loses nothing.
+A version is claimed before its row is written: an empty file per version,
+created without overwrite through the Hadoop FileSystem API (exclusive where
+the file system's create is, as on HDFS or a local disk), so two savers never
+share one, whatever either had read before. A saver that dies between the claim
+and the row leaves a gap in the numbers.
 On read a version's stage is that of its last row; at most one version of a
 name is ``production`` after ``promote``. The table holds a few rows per
 version, so reading it whole is bounded by the number of versions.
@@ -11,8 +16,10 @@ version, so reading it whole is bounded by the number of versions.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,8 +72,7 @@ def _rows(spark: SparkSession, where: str) -> DataFrame:
 def models(spark: SparkSession, where: str) -> DataFrame:
     """The store, one row per version: ``where`` is a catalog schema (table
     ``<schema>.segment_models``) or a storage path (a Parquet folder, e.g.
-    under the shared checkpoint dir). Of two saves that took one version the
-    first by id counts; the other took a new version (``save_model``)."""
+    under the shared checkpoint dir)."""
     saved = F.col("save_id").isNotNull()
     return _rows(spark, where).groupBy("name", "version").agg(
         F.max_by("stage", F.struct("at", (~saved).alias("change"))).alias("stage"),
@@ -86,19 +92,37 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
+def _claims(spark: SparkSession, where: str, name: str) -> str:
+    """Folder of a model's claims: hidden from readers of the store."""
+    base = where if _is_path(where) else spark.catalog.getDatabase(where).locationUri
+    return f"{base.rstrip('/')}/_segment_model_claims/{hashlib.sha256(name.encode()).hexdigest()}"
+
+
+def claim_version(spark: SparkSession, where: str, name: str, version: int) -> bool:
+    """Take a version for one saver: false if it is taken already."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{_claims(spark, where, name)}/{version}")
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    try:
+        fs.create(path, False).close()
+    except Py4JJavaError as e:
+        if fs.exists(path):
+            return False
+        raise e
+    return True
+
+
 def save_model(spark: SparkSession, where: str, name: str, model: SegmentModel, fmt: str = "parquet") -> int:
-    """Append a new version (stage 'none'); returns the version number. If
-    another saver took the same number meanwhile, the later id tries again."""
+    """Append a new version (stage 'none'); returns the version number, the
+    first one after the highest known that no other saver has claimed."""
     if not _is_path(where):
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {where}")
-    while True:
-        cur = _rows(spark, where).where(F.col("name") == name).agg(F.max("version")).first()[0]
-        version, save_id = (cur or 0) + 1, uuid.uuid4().hex
-        model.version = version
-        _append(spark, [(name, version, "none", _now(), save_id, model.to_json())], where, fmt)
-        first = _rows(spark, where).where((F.col("name") == name) & (F.col("version") == version)).agg(F.min("save_id")).first()[0]
-        if first == save_id:
-            return version
+    version = (_rows(spark, where).where(F.col("name") == name).agg(F.max("version")).first()[0] or 0) + 1
+    while not claim_version(spark, where, name, version):
+        version += 1
+    model.version = version
+    _append(spark, [(name, version, "none", _now(), uuid.uuid4().hex, model.to_json())], where, fmt)
+    return version
 
 
 def promote(spark: SparkSession, where: str, name: str, version: int, fmt: str = "parquet") -> None:
