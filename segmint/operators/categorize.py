@@ -18,8 +18,9 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import IDF, ElementwiseProduct, HashingTF, StopWordsRemover
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -72,6 +73,38 @@ def term_frequency(tok: DataFrame, id_col: str) -> DataFrame:
     return tok.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def hashed_tf(docs: DataFrame, id_col: str, text_col: str, num_features: int = 4096) -> DataFrame:
+    """(id, bucket, tf): hashed term counts as the ML pipeline makes them
+    (MurmurHash3 of the UTF-8 bytes, seed 42, modulo ``num_features``; tokens
+    without empty ones and stop words). Null texts have no rows."""
+    words = tokens(docs.where(F.col(text_col).isNotNull()), id_col, text_col)
+    vectors = HashingTF(inputCol="words", outputCol="tf_features", numFeatures=num_features).transform(words)
+    entries = vectors.select(id_col, F.unwrap_udt("tf_features").alias("v")).select(
+        id_col, F.explode(F.arrays_zip("v.indices", "v.values")).alias("x"))
+    return entries.select(id_col, F.col("x.indices").alias("bucket"), F.col("x.values").cast("long").alias("tf"))
+
+
+def nearest_centre(vector, centres: list[list[float]]):
+    """Number of the nearest of the stored ``centres`` to an array column (ties:
+    the lowest number): the assignment step as plain column expressions."""
+    def squared(centre: list[float]):
+        gaps = F.zip_with(vector, F.array(*map(F.lit, map(float, centre))), lambda x, c: (x - c) * (x - c))
+        return F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g)
+
+    far = F.array(*[squared(c) for c in centres])
+    return F.array_position(far, F.array_min(far)).cast("int") - 1
+
+
+def assign_stored(docs: DataFrame, text_col: str, centres: list[list[float]]) -> DataFrame:
+    """(text, category): each text's hashed counts, one bucket a dimension of
+    the stored centres, assigned to the nearest."""
+    words = docs.select(text_col, F.col(text_col).alias("_text"))
+    words = words.withColumn("words_raw", token_array("_text")).drop("_text")
+    kept = StopWordsRemover(inputCol="words_raw", outputCol="words", stopWords=list(stop_words("english"))).transform(words)
+    v = HashingTF(inputCol="words", outputCol="tf_features", numFeatures=len(centres[0])).transform(kept)
+    return v.select(text_col, nearest_centre(vector_to_array("tf_features"), centres).alias("ProductCategoryID"))
+
+
 def tfidf_terms(docs: DataFrame, tok: DataFrame, id_col: str, min_doc_freq: int = 2,
                 digits: int = 9) -> DataFrame:
     """(id, token, tf, df, idf, tfidf) with idf = ln((N+1)/(df+1)), 0 when the
@@ -99,6 +132,11 @@ def tfidf_terms(docs: DataFrame, tok: DataFrame, id_col: str, min_doc_freq: int
 # ----------------------------------------------------------------------------
 # ML pipeline
 # ----------------------------------------------------------------------------
+MIN_DOC_FREQ = 2
+#: Rows of a partition of the fit: the layout depends on the data alone.
+FIT_ROWS = 20_000
+
+
 def feature_pipeline(num_features: int = 4096, text_col: str = "Description", keep_empty: bool = False) -> Pipeline:
     """Description -> tf-idf vector: split, stop words, hashed counts, IDF."""
     from pyspark.ml.feature import SQLTransformer, Tokenizer
@@ -111,7 +149,26 @@ def feature_pipeline(num_features: int = 4096, text_col: str = "Description", ke
     return Pipeline(stages=[
         tok, StopWordsRemover(inputCol="words_raw", outputCol="words"),
         HashingTF(inputCol="words", outputCol="tf_features", numFeatures=num_features),
-        IDF(inputCol="tf_features", outputCol="tfidf_features", minDocFreq=2)])
+        IDF(inputCol="tf_features", outputCol="tfidf_features", minDocFreq=MIN_DOC_FREQ)])
+
+
+def fit_features(src: DataFrame, num_features: int, text_col: str, keep_empty: bool, weight: str | None = None) -> PipelineModel:
+    """The feature pipeline, fitted. With ``weight`` a row counts as that many
+    equal rows: the document frequencies of the buckets are weighted sums, and
+    the IDF stage is their fixed product."""
+    pipeline = feature_pipeline(num_features, text_col, keep_empty)
+    if weight is None:
+        return pipeline.fit(src)
+    *stages, idf = pipeline.getStages()
+    counted = PipelineModel(stages=stages).transform(src).select(weight, F.unwrap_udt("tf_features").alias("v"))
+    total = counted.agg(F.sum(weight)).first()[0] or 0
+    freq = counted.select(weight, F.explode("v.indices").alias("b")).groupBy("b").agg(F.sum(weight).alias("df")).collect()
+    scale = np.zeros(num_features)  # num_features rows at most
+    for r in freq:
+        if r["df"] >= MIN_DOC_FREQ:
+            scale[r["b"]] = np.log((total + 1.0) / (r["df"] + 1.0))
+    product = ElementwiseProduct(inputCol=idf.getInputCol(), outputCol=idf.getOutputCol(), scalingVec=Vectors.dense(scale))
+    return PipelineModel(stages=[*stages, product])
 
 
 @dataclass
@@ -121,6 +178,7 @@ class CategoryModel:
     features: PipelineModel
     components: np.ndarray | None
     clusters: KMeansModel
+    order: list[int] | None = None  # category id of each of the fit's clusters
 
     def reduced(self, df: DataFrame) -> DataFrame:
         out = self.features.transform(df)
@@ -129,7 +187,11 @@ class CategoryModel:
         return out.withColumn("pca_features", array_to_vector(project(F.col("tfidf_features"), self.components)))
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.clusters.transform(self.reduced(df))
+        out = self.clusters.transform(self.reduced(df))
+        if self.order is None:
+            return out
+        ids = F.array(*map(F.lit, self.order))
+        return out.withColumn("ProductCategoryID", F.get(ids, F.col("ProductCategoryID")))
 
     def save(self, path: str) -> None:
         self.features.write().overwrite().save(f"{path}/features")
@@ -137,13 +199,15 @@ class CategoryModel:
         spark = SparkSession.getActiveSession()
         rows = [] if self.components is None else [(i, r.tolist()) for i, r in enumerate(self.components)]
         spark.createDataFrame(rows, "i int, row array<double>").write.mode("overwrite").parquet(f"{path}/components")
+        spark.createDataFrame([(self.order,)], "ids array<int>").write.mode("overwrite").parquet(f"{path}/order")
 
     @staticmethod
     def load(path: str) -> "CategoryModel":
         spark = SparkSession.getActiveSession()
         rows = sorted(spark.read.parquet(f"{path}/components").collect(), key=lambda r: r["i"])  # num_features rows
         return CategoryModel(PipelineModel.load(f"{path}/features"),
-                             np.array([r["row"] for r in rows]) if rows else None, KMeansModel.load(f"{path}/clusters"))
+                             np.array([r["row"] for r in rows]) if rows else None, KMeansModel.load(f"{path}/clusters"),
+                             spark.read.parquet(f"{path}/order").first()["ids"])
 
 
 def description_table(bronze: DataFrame, text_col: str = "Description") -> DataFrame:
@@ -159,24 +223,42 @@ def description_table(bronze: DataFrame, text_col: str = "Description") -> DataF
 def fit_categories(bronze: DataFrame, num_features: int = 4096, pca_k: int | None = 50, k: int = 10,
                    seed: int = 42, dedupe: bool = True, text_col: str = "Description",
                    descriptions: DataFrame | None = None, keep_empty: bool = False) -> CategoryModel:
-    """Fit the description model on distinct descriptions (``dedupe``) or on
-    every line. Components come from distributed products with a thin matrix
-    (``lowrank``), so the width of the features costs the driver no dense
-    covariance. A ``pca_k`` beyond ``num_features`` raises."""
+    """Fit the description model on distinct descriptions (``dedupe``), or on
+    every line: then each distinct description counts as many times as it has
+    lines, in the document frequencies, the components and the clusters, and no
+    line gets a vector of its own. Components come from distributed products
+    with a thin matrix (``lowrank``), so the width of the features costs the
+    driver no dense covariance. A ``pca_k`` beyond ``num_features`` raises.
+
+    The result does not depend on how the input is partitioned: the fit's rows
+    are dealt by a hash of the description into a number of partitions that
+    follows from their count, in order, and categories are numbered by falling
+    size, then by their first description."""
     if pca_k and pca_k > num_features:
         raise ValueError(f"pca_k={pca_k} exceeds num_features={num_features}")
+    weight = None if dedupe else "_lines"
     if dedupe:
         src = descriptions if descriptions is not None else description_table(bronze, text_col)
     else:
-        src = bronze.where(F.col(text_col).isNotNull())
-    features = feature_pipeline(num_features, text_col, keep_empty).fit(src)
-    vectors = materialize(features.transform(src).select(text_col, "tfidf_features"), "category-vectors")
-    comp = principal_components(vectors, "tfidf_features", num_features, pca_k, seed) if pca_k else None
+        lines = bronze.where(F.col(text_col).isNotNull()).groupBy(text_col).agg(F.count(F.lit(1)).alias(weight))
+        src = materialize(lines, "description-lines")
+    features = fit_features(src, num_features, text_col, keep_empty, weight)
+    vectors = features.transform(src).select(text_col, "tfidf_features", *([weight] if weight else []))
+    parts = max(1, -(-src.count() // FIT_ROWS))
+    vectors = materialize(vectors.repartition(parts, text_col).sortWithinPartitions(text_col), "category-vectors")
+    # A file may be split or joined with others when it is read: deal again.
+    vectors = vectors.repartition(parts, text_col).sortWithinPartitions(text_col)
+    comp = principal_components(vectors, "tfidf_features", num_features, pca_k, seed, weight) if pca_k else None
     col = "tfidf_features"
     if comp is not None:
         vectors, col = vectors.withColumn("pca_features", array_to_vector(project(F.col(col), comp))), "pca_features"
-    clusters = KMeans(k=k, seed=seed, featuresCol=col, predictionCol="ProductCategoryID").fit(vectors)
-    return CategoryModel(features, comp, clusters)
+    means = KMeans(k=k, seed=seed, featuresCol=col, predictionCol="ProductCategoryID")
+    clusters = (means.setWeightCol(weight) if weight else means).fit(vectors)
+    sizes = clusters.transform(vectors).groupBy("ProductCategoryID").agg(
+        F.sum(weight or F.lit(1)).alias("n"), F.min(text_col).alias("first")).collect()  # k rows
+    ranked = [r["ProductCategoryID"] for r in sorted(sizes, key=lambda r: (-r["n"], r["first"]))]
+    ranked += [c for c in range(len(clusters.clusterCenters())) if c not in ranked]
+    return CategoryModel(features, comp, clusters, [ranked.index(c) for c in range(len(ranked))])
 
 
 def categorize(model: CategoryModel, bronze: DataFrame, text_col: str = "Description",

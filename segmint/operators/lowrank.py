@@ -1,10 +1,10 @@
 """Principal components of sparse rows without a dense covariance matrix.
 
 Randomised range finder with power steps: tasks return their part of
-``X'(X Q)`` for a thin matrix Q, two rounds of sums combine the parts, and the
-driver orthogonalises a matrix of ``width`` x (k + margin), whatever the number
-of rows. Centring is applied to the products: (X - m)'(X - m) Q =
-X'(X Q) - n m (m'Q)."""
+``X'W(X Q)`` for a thin matrix Q (W: row weights), rounds of sums of at most
+``FAN`` parts each combine them, and the driver orthogonalises a matrix of
+``width`` x (k + margin), whatever the number of rows. Centring is applied to
+the products: (X - m)'W(X - m) Q = X'W(X Q) - n m (m'Q), n the sum of weights."""
 
 from __future__ import annotations
 
@@ -16,20 +16,51 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 MARGIN = 16
 POWER_STEPS = 4
-_FAN = 64  # parts that one sum adds up at first
+FAN = 16  # parts that one group adds up in a round
+ENTRIES = 1 << 16  # entries of the sparse rows that one product takes
 
 
-def _sum_parts(parts: DataFrame) -> np.ndarray:
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x) for x in rows["data"])
-        return pd.DataFrame({"slot": [0], "data": [total.tobytes()]})
+def sum_parts(parts: DataFrame) -> np.ndarray:
+    """Sum of equally long arrays (slot from 0, data: bytes of doubles) in
+    rounds: each adds groups of FAN neighbouring slots, until one is left."""
 
-    first = parts.groupBy("slot").applyInPandas(add, "slot int, data binary")
-    # At most as many rows as the first round had groups; again by fan-in.
-    got = first.groupBy("slot").applyInPandas(add, "slot int, data binary").collect()
-    return np.frombuffer(got[0]["data"]) if got else np.zeros(0)
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        if len(rows) > FAN:
+            raise ValueError(f"{len(rows)} parts in one group")
+        total = sum(np.frombuffer(x) for x in rows.sort_values("slot")["data"])
+        return pd.DataFrame({"slot": [rows["slot"].iloc[0] // FAN], "data": [total.tobytes()]})
+
+    parts = materialize(parts, "lowrank-parts")
+    last = parts.agg(F.max("slot")).first()[0]
+    if last is None:
+        return np.zeros(0)
+    while True:
+        parts = parts.groupBy(F.floor(F.col("slot") / FAN).alias("g")).applyInPandas(add, "slot int, data binary")
+        last //= FAN
+        if last == 0:
+            break
+    total = np.frombuffer(parts.collect()[0]["data"])
+    return total
+
+
+def sparse_product(at: np.ndarray, value: np.ndarray, start: np.ndarray, weight: np.ndarray, q: np.ndarray, gram: bool) -> np.ndarray:
+    """X'W(X Q), or (X Q)'W(X Q), of sparse rows: flat positions and values,
+    where each row starts (no row is empty), and its weight."""
+    y = np.add.reduceat(value[:, None] * q[at], start)
+    if gram:
+        return (y * weight[:, None]).T @ y
+    size = np.diff(np.append(start, len(at)))
+    parts = (value * np.repeat(weight, size))[:, None] * np.repeat(y, size, axis=0)
+    order = np.argsort(at, kind="stable")
+    column = at[order]
+    edge = np.flatnonzero(np.append(True, column[1:] != column[:-1]))
+    out = np.zeros(q.shape)
+    out[column[edge]] = np.add.reduceat(parts[order], edge)
+    return out
 
 
 def _product(rows: DataFrame, q: np.ndarray, gram: bool) -> np.ndarray:
@@ -38,40 +69,46 @@ def _product(rows: DataFrame, q: np.ndarray, gram: bool) -> np.ndarray:
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        out, seen = np.zeros((width, width) if gram else q.shape), False
+        out = None
         for b in batches:
-            for at, value in zip(b.column(0), b.column(1), strict=True):
-                k, v = np.asarray(at.as_py(), np.int64), np.asarray(value.as_py())
-                y, seen = v @ q[k], True
-                if gram:
-                    out += np.outer(y, y)
-                else:
-                    out[k] += v[:, None] * y[None, :]
-        if seen:
-            slot = TaskContext.get().partitionId() // _FAN
-            yield pa.record_batch([pa.array([slot], pa.int32()), pa.array([out.tobytes()], pa.binary())], names=["slot", "data"])
-
-    total = _sum_parts(rows.select("at", "value").mapInArrow(part, "slot int, data binary"))
+            ends = b["at"].offsets.to_numpy()
+            at, value = b["at"].flatten().to_numpy(), b["value"].flatten().to_numpy()
+            ends = ends - ends[0]
+            weight, lo = b["weight"].to_numpy(), 0
+            while lo < b.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + ENTRIES, "right")) - 1)
+                cut = slice(ends[lo], ends[hi])
+                got = sparse_product(at[cut], value[cut], ends[lo:hi] - ends[lo], weight[lo:hi], q, gram)
+                out, lo = got if out is None else out + got, hi
+        if out is not None:
+            yield pa.record_batch([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([out.tobytes()], pa.binary())],
+                                  names=["slot", "data"])
+
+    total = sum_parts(rows.select("at", "value", "weight").mapInArrow(part, "slot int, data binary"))
     return total.reshape(-1, width) if len(total) else np.zeros((width, width) if gram else q.shape)
 
 
-def sparse_rows(df: DataFrame, vector: str) -> DataFrame:
-    """(at, value): positions and values of a column of ML vectors."""
-    v = df.select(F.unwrap_udt(F.col(vector)).alias("v"))
+def sparse_rows(df: DataFrame, vector: str, weight: str | None = None) -> DataFrame:
+    """(at, value, weight): positions and values of a column of ML vectors."""
+    w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    v = df.select(F.unwrap_udt(F.col(vector)).alias("v"), w.alias("weight"))
     every = F.sequence(F.lit(0), F.size("v.values") - 1)
     dense = F.col("v.indices").isNull()
     return v.where(F.size("v.values") > 0).select(
-        F.when(dense, every).otherwise(F.col("v.indices")).alias("at"), F.col("v.values").alias("value"))
+        F.when(dense, every).otherwise(F.col("v.indices")).alias("at"), F.col("v.values").alias("value"), "weight")
 
 
-def principal_components(df: DataFrame, vector: str, width: int, k: int, seed: int = 42) -> np.ndarray:
+def principal_components(df: DataFrame, vector: str, width: int, k: int, seed: int = 42, weight: str | None = None) -> np.ndarray:
     """width x k matrix of the leading principal components of a column of ML
-    vectors (signs: the largest entry of each is positive)."""
+    vectors (signs: the largest entry of each is positive). A row of weight w
+    counts as w equal rows."""
     if not 0 < k <= width:
         raise ValueError(f"k={k} components of {width} features")
-    n = df.where(F.col(vector).isNotNull()).count()
-    rows = sparse_rows(df, vector)
-    sums = rows.select(F.explode(F.arrays_zip("at", "value")).alias("x")).groupBy("x.at").agg(F.sum("x.value").alias("s")).collect()
+    each = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    n = df.where(F.col(vector).isNotNull()).agg(F.sum(each)).first()[0] or 0.0
+    rows = sparse_rows(df, vector, weight)
+    flat = rows.select(F.explode(F.arrays_zip("at", "value")).alias("x"), "weight")
+    sums = flat.groupBy("x.at").agg(F.sum(F.col("x.value") * F.col("weight")).alias("s")).collect()  # width rows at most
     mean = np.zeros(width)
     for r in sums:
         mean[r["at"]] = r["s"] / n

@@ -347,6 +347,23 @@ def q_product_categories(spark, sf):
     return cat.categorize(model, bronze, descriptions=descs)
 
 
+def q_product_categories_all_rows(spark, sf):
+    """Categories of a fit on every line: descriptions weighted by lines."""
+    bronze = load_transactions(spark, sf)
+    descs = cat.description_table(bronze)
+    model = cat.fit_categories(bronze, P.NUM_FEATURES, P.PCA_K, P.PRODUCT_K, P.SEED, dedupe=False)
+    return cat.categorize(model, bronze, descriptions=descs)
+
+
+def q_hashed_tf(spark, sf):
+    return cat.hashed_tf(_documents(spark, sf), "doc_id", "text", P.NUM_FEATURES)
+
+
+def q_category_assign(spark, sf):
+    """Every description assigned to the nearest of the stored centres."""
+    return cat.assign_stored(cat.distinct_descriptions(load_transactions(spark, sf)), "Description", P.STORED_CENTRES)
+
+
 def q_product_categories_nopca(spark, sf):
     bronze, descs, model = _product_model(spark, sf, pca_k=None)
     return cat.categorize(model, bronze, descriptions=descs)
@@ -393,5 +410,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ROWS_ONLY = {"k_sweep", "k_choice", "segment_model", "segment_projection",
-             "category_vectors", "product_categories", "product_categories_nopca", "silver_orders"}
+             "category_vectors", "product_categories", "product_categories_all_rows", "product_categories_nopca", "silver_orders"}
 

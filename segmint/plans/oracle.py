@@ -168,6 +168,27 @@ tokens AS (SELECT doc_id, pos, token FROM raw_tokens
            WHERE token <> '' AND token NOT IN (SELECT token FROM stop))"""
 
 
+def _murmur3(t: str) -> str:
+    """MurmurHash3 (32 bits, seed 42) of a string's UTF-8 bytes in integer
+    arithmetic; an unsigned number."""
+    full, n = 1 << 32, f"strlen({t})"
+    hexed = lambda *at: "CAST('0x' || " + " || ".join(f"substr(hex({t}), {a}, 2)" for a in at) + " AS UBIGINT)"
+    times = lambda x, c: f"(({x}) * {c}::UBIGINT % {full})"
+    turn = lambda x, r: f"((({x}) * {1 << r} % {full}) + (({x}) // {1 << 32 - r}))"
+    word = lambda k: times(turn(times(k, 0xCC9E2D51), 15), 0x1B873593)
+    block = hexed("8 * j + 7", "8 * j + 5", "8 * j + 3", "8 * j + 1")
+    body = f"list_reduce(list_prepend(42::UBIGINT, list_transform(range({n} // 4), lambda j: {word(block)})), " \
+           f"lambda h, k: ({turn('xor(h, k)', 13)} * 5 + {0xE6546B64}::UBIGINT) % {full})"
+    last = f"(8 * ({n} // 4))"
+    rest = f"CASE {n} % 4 WHEN 0 THEN 0::UBIGINT WHEN 1 THEN {word(hexed(last + ' + 1'))} " \
+           f"WHEN 2 THEN {word(hexed(last + ' + 3', last + ' + 1'))} ELSE {word(hexed(last + ' + 5', last + ' + 3', last + ' + 1'))} END"
+    out = f"xor(xor({body}, {rest}), {n}::UBIGINT)"
+    for shift, c in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, None)):
+        out = f"list_transform([{out}], lambda x: xor(x, x // {1 << shift}))[1]"
+        out = times(out, c) if c else out
+    return out
+
+
 def _q(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
@@ -372,6 +393,25 @@ def oracle() -> dict[str, str]:
       FROM pos, wm
       WHERE CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= wm.wm
       GROUP BY ALL"""
+    q["hashed_tf"] = _q(f"""{TOKENS},
+      tf AS (SELECT doc_id, token, COUNT(*) AS tf FROM tokens GROUP BY doc_id, token),
+      terms AS (SELECT DISTINCT token FROM tf),
+      bucket AS (SELECT token, CAST({_murmur3('token')} % {P.NUM_FEATURES} AS INTEGER) AS bucket FROM terms)""", """
+      SELECT doc_id, bucket, CAST(SUM(tf) AS BIGINT) AS tf FROM tf JOIN bucket USING (token) GROUP BY doc_id, bucket""")
+    width = len(P.STORED_CENTRES[0])
+    cells = ", ".join(f"({c}, {b}, {v})" for c, row in enumerate(P.STORED_CENTRES) for b, v in enumerate(row))
+    q["category_assign"] = _q(f"""d AS (SELECT DISTINCT Description FROM ({_lines(False)}) b WHERE Description IS NOT NULL),
+      stop(token) AS (VALUES {_STOP}),
+      raw AS (SELECT Description, unnest(string_split_regex(lower(Description), '{SQL_WS}')) AS token FROM d),
+      tok AS (SELECT * FROM raw WHERE token <> '' AND token NOT IN (SELECT token FROM stop)),
+      terms AS (SELECT DISTINCT token FROM tok),
+      bucket AS (SELECT token, {_murmur3('token')} % {width} AS b FROM terms),
+      tf AS (SELECT Description, b, COUNT(*) AS tf FROM tok JOIN bucket USING (token) GROUP BY ALL),
+      centre(c, b, v) AS (VALUES {cells}),
+      far AS (SELECT d.Description, k.c, SUM((coalesce(tf.tf, 0) - k.v) * (coalesce(tf.tf, 0) - k.v)) AS s
+              FROM d CROSS JOIN centre k LEFT JOIN tf ON tf.Description = d.Description AND tf.b = k.b GROUP BY ALL)""", """
+      SELECT Description, CAST(c AS INTEGER) AS ProductCategoryID
+      FROM (SELECT *, row_number() OVER (PARTITION BY Description ORDER BY s, c) AS rn FROM far) x WHERE rn = 1""")
     q["stream_score"] = q["segment_assign"]
     q["latest_model"] = q["segment_assign"]
     return q

@@ -38,3 +38,6 @@ FIXED_CENTROIDS = [
 
 # Display names of the fixed model's segments (stand-ins for user labels).
 FIXED_SEGMENT_NAMES = {c[0]: f"segment {c[0]}" for c in FIXED_CENTROIDS}
+
+# Stored centres of the assignment query: a rule over 8 hashed buckets.
+STORED_CENTRES = [[(5 * c + 3 * b) % 4 for b in range(8)] for c in range(5)]
