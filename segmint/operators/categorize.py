@@ -246,9 +246,9 @@ def fit_categories(bronze: DataFrame, num_features: int = 4096, pca_k: int | Non
     vectors = features.transform(src).select(text_col, "tfidf_features", *([weight] if weight else []))
     parts = max(1, -(-src.count() // FIT_ROWS))
     vectors = materialize(vectors.repartition(parts, text_col).sortWithinPartitions(text_col), "category-vectors")
-    # A file may be split or joined with others when it is read: deal again.
-    vectors = vectors.repartition(parts, text_col).sortWithinPartitions(text_col)
-    comp = principal_components(vectors, "tfidf_features", num_features, pca_k, seed, weight) if pca_k else None
+    # Files may be split or joined when they are read: deal again.
+    vectors = vectors.coalesce(1) if parts == 1 else vectors.repartition(parts, text_col).sortWithinPartitions(text_col)
+    comp = principal_components(vectors, "tfidf_features", num_features, pca_k, seed, weight, parts) if pca_k else None
     col = "tfidf_features"
     if comp is not None:
         vectors, col = vectors.withColumn("pca_features", array_to_vector(project(F.col(col), comp))), "pca_features"

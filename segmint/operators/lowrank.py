@@ -24,9 +24,11 @@ FAN = 16  # parts that one group adds up in a round
 ENTRIES = 1 << 16  # entries of the sparse rows that one product takes
 
 
-def sum_parts(parts: DataFrame) -> np.ndarray:
+def sum_parts(parts: DataFrame, count: int | None = None) -> np.ndarray:
     """Sum of equally long arrays (slot from 0, data: bytes of doubles) in
-    rounds: each adds groups of FAN neighbouring slots, until one is left."""
+    rounds: each adds groups of FAN neighbouring slots, until one is left.
+    ``count`` is the number of slots; without it the parts are written and
+    their slots looked up."""
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         if len(rows) > FAN:
@@ -34,17 +36,15 @@ def sum_parts(parts: DataFrame) -> np.ndarray:
         total = sum(np.frombuffer(x) for x in rows.sort_values("slot")["data"])
         return pd.DataFrame({"slot": [rows["slot"].iloc[0] // FAN], "data": [total.tobytes()]})
 
-    parts = materialize(parts, "lowrank-parts")
-    last = parts.agg(F.max("slot")).first()[0]
-    if last is None:
-        return np.zeros(0)
-    while True:
+    if count is None:
+        parts = materialize(parts, "lowrank-parts")
+        count = (parts.agg(F.max("slot")).first()[0] or 0) + 1
+    last = count - 1
+    while last > 0:
         parts = parts.groupBy(F.floor(F.col("slot") / FAN).alias("g")).applyInPandas(add, "slot int, data binary")
         last //= FAN
-        if last == 0:
-            break
-    total = np.frombuffer(parts.collect()[0]["data"])
-    return total
+    got = parts.collect()
+    return np.frombuffer(got[0]["data"]) if got else np.zeros(0)
 
 
 def sparse_product(at: np.ndarray, value: np.ndarray, start: np.ndarray, weight: np.ndarray, q: np.ndarray, gram: bool) -> np.ndarray:
@@ -63,7 +63,7 @@ def sparse_product(at: np.ndarray, value: np.ndarray, start: np.ndarray, weight:
     return out
 
 
-def _product(rows: DataFrame, q: np.ndarray, gram: bool) -> np.ndarray:
+def _product(rows: DataFrame, q: np.ndarray, gram: bool, count: int | None = None) -> np.ndarray:
     width = q.shape[1]
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,7 +84,7 @@ def _product(rows: DataFrame, q: np.ndarray, gram: bool) -> np.ndarray:
             yield pa.record_batch([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([out.tobytes()], pa.binary())],
                                   names=["slot", "data"])
 
-    total = sum_parts(rows.select("at", "value", "weight").mapInArrow(part, "slot int, data binary"))
+    total = sum_parts(rows.select("at", "value", "weight").mapInArrow(part, "slot int, data binary"), count)
     return total.reshape(-1, width) if len(total) else np.zeros((width, width) if gram else q.shape)
 
 
@@ -98,10 +98,12 @@ def sparse_rows(df: DataFrame, vector: str, weight: str | None = None) -> DataFr
         F.when(dense, every).otherwise(F.col("v.indices")).alias("at"), F.col("v.values").alias("value"), "weight")
 
 
-def principal_components(df: DataFrame, vector: str, width: int, k: int, seed: int = 42, weight: str | None = None) -> np.ndarray:
+def principal_components(df: DataFrame, vector: str, width: int, k: int, seed: int = 42, weight: str | None = None,
+                         count: int | None = None) -> np.ndarray:
     """width x k matrix of the leading principal components of a column of ML
     vectors (signs: the largest entry of each is positive). A row of weight w
-    counts as w equal rows."""
+    counts as w equal rows. ``count``: the number of partitions of ``df``, if
+    it is known."""
     if not 0 < k <= width:
         raise ValueError(f"k={k} components of {width} features")
     each = F.lit(1.0) if weight is None else F.col(weight).cast("double")
@@ -114,8 +116,8 @@ def principal_components(df: DataFrame, vector: str, width: int, k: int, seed: i
         mean[r["at"]] = r["s"] / n
     q = np.linalg.qr(np.random.default_rng(seed).normal(size=(width, min(width, k + MARGIN))))[0]
     for _ in range(1 + POWER_STEPS):
-        q = np.linalg.qr(_product(rows, q, False) - n * np.outer(mean, mean @ q))[0]
-    small = _product(rows, q, True) - n * np.outer(mean @ q, mean @ q)
+        q = np.linalg.qr(_product(rows, q, False, count) - n * np.outer(mean, mean @ q))[0]
+    small = _product(rows, q, True, count) - n * np.outer(mean @ q, mean @ q)
     value, vec = np.linalg.eigh(small)
     out = q @ vec[:, np.argsort(-value)[:k]]
     return out * np.sign(out[np.abs(out).argmax(0), np.arange(k)])

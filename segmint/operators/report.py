@@ -7,11 +7,12 @@ segment), both bounded by the number of segments.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import LINE_SALT, left_lookup
-from .cluster import BIN_COLS
+from .cluster import BIN_COLS, bin_cells
 
 
 # ----------------------------------------------------------------------------
@@ -165,19 +166,38 @@ def segment_bin_counts(assigned: DataFrame) -> DataFrame:
     return s.groupBy("cluster", "metric", "level").agg(F.count(F.lit(1)).alias("n"))
 
 
+def principal_axes(cells: DataFrame) -> list[list[float]]:
+    """The two leading principal axes of the bin vectors, from weighted cells
+    (``bin_cells``): one aggregation to ten sums, exact in integers. The entry
+    of an axis with the largest size is positive (ties: the first)."""
+    from itertools import combinations_with_replacement as pairs
+    w = F.col("w").cast("decimal(18,0)")
+    row = cells.agg(F.sum(w), *[F.sum(w * F.col(c)) for c in BIN_COLS],
+                    *[F.sum(w * (F.col(c) * F.col(d))) for c, d in pairs(BIN_COLS, 2)]).first()
+    if not row[0]:
+        return [[1.0, 0.0, 0.0], [0.0, 1.0, 0.0]]
+    n, first, second = int(row[0]), [int(x) for x in row[1:4]], [int(x) for x in row[4:]]
+    spread = np.zeros((3, 3))
+    for (i, j), total in zip(pairs(range(3), 2), second):
+        spread[i, j] = spread[j, i] = (n * total - first[i] * first[j]) / (n * n)
+    value, axes = np.linalg.eigh(spread)
+    out = []
+    for k in np.argsort(-value)[:2]:
+        v = axes[:, k]
+        out.append((v * np.sign(v[np.abs(v).round(9).argmax()])).tolist())
+    return out
+
+
 def segment_projection(assigned: DataFrame, id_col: str = "CustomerID") -> DataFrame:
-    """2-D projection of the bin vectors for plotting: Spark ML PCA(k=2),
-    fit distributed (3x3 covariance), applied per row. (CustomerID, x, y); a
-    row with a null bin keeps its place, with null x and y."""
-    from pyspark.ml.feature import PCA, VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-    whole = F.col(BIN_COLS[0]).isNotNull() & F.col(BIN_COLS[1]).isNotNull() & F.col(BIN_COLS[2]).isNotNull()
-    filled = assigned.select(id_col, whole.alias("_whole"), *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in BIN_COLS])
-    vec = VectorAssembler(inputCols=BIN_COLS, outputCol="_bins").transform(filled)
-    model = PCA(k=2, inputCol="_bins", outputCol="_xy").fit(vec.where("_whole"))
-    arr = vector_to_array(F.col("_xy"))
-    return model.transform(vec).select(id_col, F.when(F.col("_whole"), arr[0]).alias("x"),
-                                       F.when(F.col("_whole"), arr[1]).alias("y"))
+    """2-D projection of the bin vectors for plotting: the two leading
+    principal axes of the weighted cells, applied per row as plain columns.
+    (CustomerID, x, y), six decimals; a row with a null bin keeps its place,
+    with null x and y."""
+    def along(axis: list[float]):
+        return F.round(sum((F.col(c) * F.lit(v) for c, v in zip(BIN_COLS, axis)), F.lit(0.0)), 6) + F.lit(0.0)
+
+    x, y = principal_axes(bin_cells(assigned))
+    return assigned.select(id_col, along(x).alias("x"), along(y).alias("y"))
 
 
 def customer_sample(df: DataFrame, fraction: float, seed: int = 42, key: str = "CustomerID") -> DataFrame:

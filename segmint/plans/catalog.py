@@ -23,8 +23,9 @@ from ..operators.metrics import cap_metrics, daily_sales, group_totals, rfmp_fro
 from ..schemas import EVENTS, GROUP_KEYS
 from ..session import materialize, shared_path
 from ..sources.layers import write_layer
-from ..sources.transactions import load_transactions, load_typed_silver, product_types
-from ..streaming.stream import file_stream, run_to_completion, stream_daily_sales, stream_score, stream_to_end
+from ..sources.transactions import load_transactions, load_typed_silver, product_types, read_orders_checked, reject_counts
+from ..streaming.stream import file_stream, late_rows, run_to_completion, stream_daily_sales, stream_score, \
+    stream_score_production, stream_to_end
 from . import params as P
 
 
@@ -277,6 +278,51 @@ def q_stream_score(spark, sf):
                              "score")
 
 
+def q_stream_late_rows(spark, sf):
+    """The events arrive in three files, one behind the other; of each later
+    one the rows whose day the watermark has closed."""
+    events = spark.read.schema(EVENTS).parquet(os.path.join(sf, "events.parquet"))
+    src, base = shared_path(spark, "events-src"), shared_path(spark, "late")
+    for k in range(P.ARRIVALS):
+        events.where(F.pmod("event_id", F.lit(P.ARRIVALS)) == k).write.mode("append").parquet(src)
+        out = late_rows(file_stream(spark, src, EVENTS), "late", P.STREAM_WATERMARK, base=base)
+    return out
+
+
+def q_stream_score_production(spark, sf):
+    """Favourites arrive in two files; between them another version goes into
+    production. Rows after it carry the new version and its segments."""
+    from ..sources import model_store
+    _, fav, model = gold_fav_model(spark, sf)
+    store, src, sink = (shared_path(spark, n) for n in ("models", "fav-src", "scores"))
+    other = SegmentModel(model.binner, [(c + 10, *at) for c, *at in P.FIXED_CENTROIDS])
+    plain = fav.drop("r_bin", "f_bin", "m_bin")
+    for k, m in enumerate((model, other)):
+        version = model_store.save_model(spark, store, "segments", m)
+        model_store.promote(spark, store, "segments", version)
+        plain.where(F.pmod(F.col("CustomerID").cast("long"), F.lit(2)) == k).write.mode("append").parquet(src)
+        stream = file_stream(spark, src, plain.schema)
+        out = stream_score_production(stream, store, "segments", sink)
+    return out
+
+
+def q_order_reject_counts(spark, sf):
+    """Order lines exported as CSV text, some with a field that cannot be read
+    (by order number), read back: how many are rejected, and why."""
+    lines = load_transactions(spark, sf).drop("SalesAmount")
+    text = lines.select([F.col(c).cast("string").alias(c) for c in lines.columns])
+    order = F.col("InvoiceNo").cast("long")
+    broken = {"Quantity": (3, "many"), "InvoiceDate": (5, "someday"), "UnitPrice": (8, None)}
+    for c, (rest, value) in broken.items():
+        text = text.withColumn(c, F.when(order % 101 == rest, F.lit(value)).otherwise(F.col(c)))
+    day = F.substring("InvoiceDate", 1, 10)
+    text = text.withColumn("InvoiceDate", F.when(F.length("InvoiceDate") >= 10, F.concat(day, F.lit(" 00:00:00"))).otherwise(F.col("InvoiceDate")))
+    path = shared_path(spark, "orders-csv")
+    text.write.option("header", True).csv(path)
+    good, rejects = read_orders_checked(spark, path)
+    return reject_counts(rejects).union(good.agg(F.lit("read"), F.count(F.lit(1))))
+
+
 def q_latest_model(spark, sf):
     """Save the model (two versions), promote the second, load the production
     version back and assign with it: must equal ``segment_assign``."""
@@ -409,6 +455,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
 
-ROWS_ONLY = {"k_sweep", "k_choice", "segment_model", "segment_projection",
+ROWS_ONLY = {"k_sweep", "k_choice", "segment_model",
              "category_vectors", "product_categories", "product_categories_all_rows", "product_categories_nopca", "silver_orders"}
 

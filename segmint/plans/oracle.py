@@ -189,6 +189,39 @@ def _murmur3(t: str) -> str:
     return out
 
 
+def _axes(cells: str, sweeps: int = 8) -> str:
+    """CTEs from weighted cells to ``axes`` (a1..a3, b1..b3): the two leading
+    eigenvectors of the covariance, by Jacobi rotations."""
+    c = ["r_bin", "f_bin", "m_bin"]
+    pair = [(i, j) for i in range(3) for j in range(i, 3)]
+    name = lambda i, j: f"s{min(i, j)}{max(i, j)}"
+    moment = ", ".join(f"(SUM(w) * 1.0 * SUM(w * {c[i]} * {c[j]}) - SUM(w * {c[i]}) * 1.0 * SUM(w * {c[j]})) / (SUM(w) * 1.0 * SUM(w)) "
+                       f"AS {name(i, j)}" for i, j in pair)
+    unit = ", ".join(f"{float(i == j)}::DOUBLE AS v{i}{j}" for i in range(3) for j in range(3))
+    out = [f"jac0 AS (SELECT {', '.join(f'{name(i, j)}::DOUBLE AS {name(i, j)}' for i, j in pair)}, {unit} FROM (SELECT {moment} FROM {cells}) x)"]
+    for step in range(3 * sweeps):
+        p, q = ((0, 1), (0, 2), (1, 2))[step % 3]
+        r = 3 - p - q
+        theta = f"(({name(q, q)} - {name(p, p)}) / (2 * {name(p, q)}))"
+        turn = f"CASE WHEN abs({name(p, q)}) < 1e-300 THEN 0.0 ELSE (CASE WHEN {theta} >= 0 THEN 1.0 ELSE -1.0 END) " \
+               f"/ (abs({theta}) + sqrt({theta} * {theta} + 1)) END"
+        new = {name(p, p): f"{name(p, p)} - t * {name(p, q)}", name(q, q): f"{name(q, q)} + t * {name(p, q)}", name(p, q): "0.0::DOUBLE",
+               name(r, r): name(r, r), name(p, r): f"co * {name(p, r)} - co * t * {name(q, r)}",
+               name(q, r): f"co * t * {name(p, r)} + co * {name(q, r)}"}
+        for i in range(3):
+            new |= {f"v{i}{p}": f"co * v{i}{p} - co * t * v{i}{q}", f"v{i}{q}": f"co * t * v{i}{p} + co * v{i}{q}", f"v{i}{r}": f"v{i}{r}"}
+        cols = ", ".join(f"{e} AS {k}" for k, e in new.items())
+        out.append(f"jac{step + 1} AS (SELECT {cols} FROM (SELECT *, 1 / sqrt(t * t + 1) AS co FROM (SELECT *, {turn} AS t FROM jac{step}) a) b)")
+    last = f"jac{3 * sweeps}"
+    out.append("eig AS (" + " UNION ALL ".join(f"SELECT {name(k, k)} AS val, v0{k} AS x, v1{k} AS y, v2{k} AS z FROM {last}" for k in range(3)) + ")")
+    big = "greatest(abs(round(x, 9)), abs(round(y, 9)), abs(round(z, 9)))"
+    sign = f"CASE WHEN abs(round(x, 9)) = {big} THEN sign(x) WHEN abs(round(y, 9)) = {big} THEN sign(y) ELSE sign(z) END"
+    out.append(f"ranked AS (SELECT x * {sign} AS x, y * {sign} AS y, z * {sign} AS z, row_number() OVER (ORDER BY val DESC) AS k FROM eig)")
+    out.append("axes AS (SELECT " + ", ".join(f"max(CASE WHEN k = {k} THEN {e} END) AS {n}{i}" for n, k in (("a", 1), ("b", 2))
+                                              for i, e in enumerate("xyz", 1)) + " FROM ranked)")
+    return ", ".join(out)
+
+
 def _q(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
@@ -393,6 +426,26 @@ def oracle() -> dict[str, str]:
       FROM pos, wm
       WHERE CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= wm.wm
       GROUP BY ALL"""
+    q["segment_projection"] = _q(f"""{ASSIGNED},
+      cells AS (SELECT r_bin, f_bin, m_bin, COUNT(*) AS w FROM assigned WHERE r_bin IS NOT NULL AND f_bin IS NOT NULL
+                AND m_bin IS NOT NULL GROUP BY ALL), {_axes('cells')}""", """
+      SELECT CustomerID, round(r_bin * a1 + f_bin * a2 + m_bin * a3, 6) + 0.0 AS x,
+             round(r_bin * b1 + f_bin * b2 + m_bin * b3, 6) + 0.0 AS y FROM assigned, axes""")
+    q["stream_late_rows"] = f"""
+      WITH pos AS (SELECT *, event_id % {P.ARRIVALS} AS batch, epoch_us(ts) AS us FROM events WHERE value > 0),
+      m AS (SELECT b.range AS batch, (SELECT MAX(us) FROM pos WHERE pos.batch < b.range) - 2 * 86400000000 AS mark
+            FROM range(1, {P.ARRIVALS}) b)
+      SELECT pos.batch, CAST(user_id AS VARCHAR) AS CustomerID, event_type AS ProductCategoryName,
+             CAST(value AS DECIMAL(18,2)) AS SalesAmount, us AS event_us, (mark - us) / 1e6 AS delay_seconds
+      FROM pos JOIN m USING (batch) WHERE (us // 86400000000 + 1) * 86400000000 <= mark"""
+    q["stream_score_production"] = _q(ASSIGNED, """
+      SELECT CustomerID, r_bin, f_bin, m_bin, CAST(cluster + 10 * (CAST(CustomerID AS BIGINT) % 2) AS INTEGER) AS cluster,
+             CAST(CAST(CustomerID AS BIGINT) % 2 + 1 AS INTEGER) AS model_version, CAST(CustomerID AS BIGINT) % 2 AS batch
+      FROM assigned WHERE CustomerID IS NOT NULL""")
+    q["order_reject_counts"] = """
+      WITH l AS (SELECT o_orderkey % 101 AS k FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+      SELECT CASE k WHEN 3 THEN 'bad Quantity' WHEN 5 THEN 'bad InvoiceDate' WHEN 8 THEN 'missing UnitPrice' ELSE 'read' END AS reason,
+             COUNT(*) AS lines FROM l GROUP BY 1"""
     q["hashed_tf"] = _q(f"""{TOKENS},
       tf AS (SELECT doc_id, token, COUNT(*) AS tf FROM tokens GROUP BY doc_id, token),
       terms AS (SELECT DISTINCT token FROM tf),

@@ -22,6 +22,7 @@ PREVIEW_ROWS = 10
 LOOKUP_CUSTOMER = "42"
 SAMPLE_FRACTION = 0.1
 STREAM_WATERMARK = "2 days"
+ARRIVALS = 3
 
 # The model of our own seeded fit (k = 6, 10,000 restarts, seed
 # 42) on the sf0.001 tables, centroids rounded to two decimals, with canonical

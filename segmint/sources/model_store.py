@@ -152,3 +152,13 @@ def load_model(spark: SparkSession, schema: str, name: str, stage: str | None =
     m = SegmentModel.from_json(row["model"])
     m.version = row["version"]
     return m
+
+
+def load_version(spark: SparkSession, where: str, name: str, version: int) -> SegmentModel:
+    """The model of one version, whatever its stage."""
+    row = models(spark, where).where((F.col("name") == name) & (F.col("version") == version)).first()
+    if row is None:
+        raise LookupError(f"no version {version} of model {name}")
+    m = SegmentModel.from_json(row["model"])
+    m.version = version
+    return m

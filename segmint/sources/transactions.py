@@ -11,9 +11,11 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import BRONZE, MONEY, ORDERS_CSV
 from ..functions.joins import split_join
+from ..session import materialize
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,6 +116,58 @@ def read_orders(spark: SparkSession, path: str, fmt: str = "csv", header: bool =
     ).select([f.name for f in BRONZE.fields])
 
 
+def _readable(name: str, kind: T.DataType):
+    """A raw value as its type: null where it cannot be read as one."""
+    raw = F.col(name)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.try_to_timestamp(raw.cast("string"), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+    return raw.try_cast(kind)
+
+
+def read_orders_checked(spark: SparkSession, path: str, fmt: str = "csv", header: bool = True,
+                        max_share: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """(bronze, rejects): order lines that could be read whole, and the others.
+
+    Every field is read as text (CSV) or as stored, and then as its type.
+    Rejects keep the raw fields as strings, the raw line where a CSV line has
+    too many or too few fields, and ``reasons``: ``malformed`` for such a line,
+    ``bad X`` for a value of X that is not of its type, ``missing X`` for an
+    empty X that bronze needs. Nothing turns null on the way. The parsed lines
+    are written once; ``max_share`` (0 to 1) raises ValueError when more of the
+    lines are rejects."""
+    names = [f.name for f in ORDERS_CSV.fields]
+    if fmt == "csv":
+        text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_line"]])
+        raw = (spark.read.schema(text).option("header", header).option("mode", "PERMISSIVE")
+               .option("columnNameOfCorruptRecord", "_line").csv(path))
+    else:
+        raw = spark.read.format(fmt).load(path).select(*names).withColumn("_line", F.lit(None).cast("string"))
+    typed = {f"_{f.name}": _readable(f.name, f.dataType) for f in ORDERS_CSV.fields}
+    amount = (F.col("_Quantity") * F.col("_UnitPrice").try_cast("decimal(18,4)")).try_cast(MONEY)
+    needed = {f.name for f in ORDERS_CSV.fields if not f.nullable} | {"UnitPrice"}  # the amount needs a price
+    why = [F.when(F.col("_line").isNotNull(), F.lit("malformed"))]
+    for n in names:
+        bad = F.when(F.col(n).isNotNull() & F.col(f"_{n}").isNull(), F.lit(f"bad {n}"))
+        why.append(bad.when(F.col(n).isNull(), F.lit(f"missing {n}")) if n in needed else bad)
+    checked = raw.withColumns(typed).withColumn("_amount", amount).withColumn("reasons", F.array_compact(F.array(*why)))
+    short = (F.size("reasons") == 0) & F.col("_amount").isNull()
+    checked = checked.withColumn("reasons", F.when(short, F.array(F.lit("bad SalesAmount"))).otherwise(F.col("reasons")))
+    checked = materialize(checked, "orders-checked")
+    if max_share is not None:
+        n, lost = checked.agg(F.count(F.lit(1)), F.count_if(F.size("reasons") > 0)).first()
+        if lost > max_share * n:
+            raise ValueError(f"{lost} of {n} order lines cannot be read")
+    good = checked.where(F.size("reasons") == 0).select(*[F.col(f"_{n}").alias(n) for n in names], F.col("_amount").alias("SalesAmount"))
+    rejects = checked.where(F.size("reasons") > 0).select(*[F.col(n).cast("string").alias(n) for n in names],
+                                                          F.col("_line").alias("line"), "reasons")
+    return good.select([f.name for f in BRONZE.fields]), rejects
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """(reason, lines): how many lines each reason rejects."""
+    return rejects.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def category_labels(spark: SparkSession, rows: list[tuple[int, str]]) -> DataFrame:
     """A user-supplied (id, name) label table (inline literal rows)."""
     from ..schemas import CATEGORY_LABELS
