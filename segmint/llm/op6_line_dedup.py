@@ -14,10 +14,11 @@ of the shorter one as a substring of the longer one, near its own place. So a
 line indexes its segments under (length, segment number, content) and probes,
 for each length m down to n - E, the few start positions that the multi-match
 rule leaves. A line just short of a longer one's E indexes for that E too.
-Keys are hashed to 64 bits and counted with two extreme line hashes, which is
+Lines are identified by two 64-bit hashes. Keys are hashed to 64 bits and counted with two extreme line hashes, which is
 map-side combined; only keys that two different lines share fetch any text.
 
-Verification: after the common prefix and suffix are cut off (found by
+Verification: a pair must first agree in all but two characters an edit of a
+bit signature. After the common prefix and suffix are cut off (found by
 doubling steps), edits remain at both ends of what is left, so for two edits
 its inside must occur in the other line. What passes is measured by a
 bit-parallel automaton: one bit mask per number of edits over the 2 EDITS + 1
@@ -185,6 +186,29 @@ def within(a: Column, b: Column, na: Column, nb: Column, edits: int = EDITS, mos
     return F.when(F.abs(na - nb) > limit, False).otherwise(let(common_prefix(a, b, short), after_prefix))
 
 
+#: Characters whose presence makes a line's signature.
+SIGNS = "abcdefghijklmnopqrstuvwxyz0123456789.,;:!?-()'"
+
+
+def line_hash(line: str) -> Column:
+    """First hash of a line; with ``other_hash`` it identifies the line."""
+    return F.xxhash64(line)
+
+
+def other_hash(line: str) -> Column:
+    return F.xxhash64(F.lit(1), line)
+
+
+def signature(line: str) -> Column:
+    """Bits of the SIGNS that the lower-cased line holds. One edit takes one
+    character out and puts one in at most, so it changes two bits at most."""
+    low = F.lower(line)
+    out = F.lit(0).cast("long")
+    for k, c in enumerate(SIGNS):
+        out = out.bitwiseOR(F.when(F.contains(low, F.lit(c)), F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")))
+    return out
+
+
 def judged_line(line: Column) -> Column:
     """All lines but short ones without a letter or digit."""
     return (F.char_length(line) >= MIN_CHARS) | line.rlike(r"[\p{L}\p{N}]")
@@ -198,28 +222,32 @@ def line_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
 
 
 def line_links(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Distinct links (x, y), x < y, between hashes of lines that are near each
-    other and not equal."""
+    """Distinct links (x, x2, y, y2) between lines, by their two hashes, that
+    are near each other and not equal."""
     line = docs.select(F.explode(F.split(text, "\n")).alias("line"))
     line = line.where((F.char_length("line") >= CHARS_PER_EDIT - 1) & judged_line(F.col("line")))
-    keyed = segment_keys(line.select(F.xxhash64("line").alias("id"), "line"))
+    keyed = segment_keys(line.select(line_hash("line").alias("id"), "line"))
     shared = keyed.groupBy("k").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select(F.col("k").alias("sk"))
     shared = materialize(shared, "line-keys")
     on = F.col("k") == F.col("sk")
     if shared.count() <= BROADCAST_KEYS:
-        members = keyed.join(F.broadcast(shared), on).groupBy("k", "id").agg(F.min("line").alias("line"))
+        members = keyed.join(F.broadcast(shared), on).groupBy("k", "id", other_hash("line").alias("id2")).agg(F.min("line").alias("line"))
     else:
         places = materialize(keyed.select("k", "id").join(shared, on).select("k", "id").distinct(), "line-places")
         wanted = places.select(F.col("id").alias("wid")).distinct()
-        texts = line.select(F.xxhash64("line").alias("tid"), "line").join(wanted, F.col("tid") == F.col("wid"), "left_semi")
-        texts = materialize(texts.groupBy("tid").agg(F.min("line").alias("line")), "line-texts")
-        members = places.join(texts, F.col("id") == F.col("tid")).select("k", "id", "line")
-    members = materialize(members, "line-members")
-    a = members.select("k", F.col("id").alias("x"), F.col("line").alias("a"), F.char_length("line").alias("na"))
-    b = members.select(F.col("k").alias("kb"), F.col("id").alias("y"), F.col("line").alias("b"), F.char_length("line").alias("nb"))
-    most = F.floor(F.greatest("na", "nb") / CHARS_PER_EDIT).cast("int")
-    near = within(F.col("a"), F.col("b"), F.col("na"), F.col("nb"), EDITS, most)
-    return a.join(b, (F.col("k") == F.col("kb")) & (F.col("x") < F.col("y")) & near).select("x", "y").distinct()
+        texts = line.select(line_hash("line").alias("tid"), "line").join(wanted, F.col("tid") == F.col("wid"), "left_semi")
+        texts = materialize(texts.groupBy("tid", other_hash("line").alias("id2")).agg(F.min("line").alias("line")), "line-texts")
+        members = places.join(texts, F.col("id") == F.col("tid")).select("k", "id", "id2", "line")
+    members = materialize(members.withColumns({"n": F.char_length("line"), "s": signature("line")}), "line-members")
+    a = members.select("k", F.col("id").alias("x"), F.col("id2").alias("x2"), F.col("line").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
+    b = members.select(F.col("k").alias("kb"), F.col("id").alias("y"), F.col("id2").alias("y2"), F.col("line").alias("b"),
+                       F.col("n").alias("nb"), F.col("s").alias("sb"))
+    most = F.least(F.lit(EDITS), F.floor(F.greatest("na", "nb") / CHARS_PER_EDIT).cast("int"))
+    # Cheap necessary conditions first; few pairs are left for the distance.
+    may = (F.abs(F.col("na") - F.col("nb")) <= most) & (F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= 2 * most)
+    first = (F.col("x") < F.col("y")) | ((F.col("x") == F.col("y")) & (F.col("x2") < F.col("y2")))
+    near = F.when(first & may, within(F.col("a"), F.col("b"), F.col("na"), F.col("nb"), EDITS, most)).otherwise(False)
+    return a.join(b, (F.col("k") == F.col("kb")) & near).select("x", "x2", "y", "y2").distinct()
 
 
 def line_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -227,26 +255,34 @@ def line_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     line in a class of two or more: positions that go, their classes, and the
     number of links of all the document's lines."""
     lines = line_rows(docs, text, doc_id).select(
-        "doc_id", "th", "pos", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("h2"))
+        "doc_id", "th", "pos", line_hash("line").alias("h"), other_hash("line").alias("h2"))
     lines = materialize(lines, "lines")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th", "pos")
     distinct = lines.groupBy("h", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     links = materialize(line_links(docs, text), "line-links")
-    degree = links.select(F.col("x").alias("dh")).union(links.select("y")).groupBy("dh").agg(F.count("*").alias("links"))
-    roots = connected_components(links)
+    degree = links.select(F.col("x").alias("dh"), F.col("x2").alias("dh2")).union(links.select("y", "y2")).groupBy("dh", "dh2").agg(
+        F.count("*").alias("links"))
+    node = lambda a, b: F.concat_ws(":", a, b)
+    half = lambda c, k: F.split_part(c, F.lit(":"), F.lit(k)).cast("long")
+    roots = connected_components(links.select(node("x", "x2").alias("x"), node("y", "y2").alias("y"))).select(
+        half(F.col("node"), 1).alias("nh"), half(F.col("node"), 2).alias("nh2"), half(F.col("root"), 1).alias("root"), half(F.col("root"), 2).alias("root2"))
     distinct = materialize(distinct, "line-distinct")
-    linked = distinct.join(roots, F.col("h") == F.col("node"), "left").join(degree, F.col("h") == F.col("dh"), "left")
-    # A line without links has a class of its own, under both its hashes.
+    linked = distinct.join(roots, (F.col("h") == F.col("nh")) & (F.col("h2") == F.col("nh2")), "left")
+    linked = linked.join(degree, (F.col("h") == F.col("dh")) & (F.col("h2") == F.col("dh2")), "left")
+    # A line without links has a class of its own.
     linked = materialize(linked.where("root is not null or n > 1").select(
         "h", "h2", "first", "n", F.coalesce("root", "h").alias("c"),
-        F.when(F.col("root").isNull(), F.col("h2")).alias("c2"), F.coalesce("links", F.lit(0)).alias("links")), "line-linked")
+        F.coalesce("root2", "h2").alias("c2"), F.coalesce("links", F.lit(0)).alias("links")), "line-linked")
     own = linked.groupBy("c", "c2").agg(F.min("first").alias("keep"))
     own = materialize(own, "line-kept").withColumnsRenamed({"c": "oc", "c2": "oc2"})
-    judged = linked.join(own, (F.col("c") == F.col("oc")) & F.col("c2").eqNullSafe(F.col("oc2"))).select(
+    judged = linked.join(own, (F.col("c") == F.col("oc")) & (F.col("c2") == F.col("oc2"))).select(
         F.col("h").alias("jh"), F.col("h2").alias("jh2"), "c", "keep", "links")
     judged = materialize(judged, "line-judged")
     hit = lines.join(judged, (F.col("h") == F.col("jh")) & (F.col("h2") == F.col("jh2")))
     goes = ~(F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("th") == F.col("keep.th")) & (F.col("pos") == F.col("keep.pos")))
+    # Rows that repeat an id and its text are one document: a place counts once.
+    hit = hit.groupBy("doc_id", "th", "pos").agg(F.first(goes).alias("goes"), F.first("c").alias("c"), F.first("links").alias("links"))
+    goes = F.col("goes")
     return hit.groupBy("doc_id", "th").agg(
         F.collect_list(F.when(goes, F.col("pos"))).alias("removed"), F.collect_set(F.when(goes, F.col("c"))).alias("classes"),
         F.sum("links").alias("links"))

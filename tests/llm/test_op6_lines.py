@@ -144,3 +144,32 @@ def test_stage(spark, edges):
     assert out.columns == docs.columns
     kept = [r.doc_id for r in out.collect()]
     assert sorted(k for k in kept if k) == [1, 1, 2, 3, 4, 5, 6, 9, 10] and kept.count(None) == 1
+
+
+def test_repeated_rows_that_lose_a_line_count_once(spark):
+    line = prose(3, 12)
+    docs = [doc(1, line + "\nfirst"), doc(2, "own two\n" + line), doc(2, "own two\n" + line), doc(3, line[:-1] + "#\nthird")]
+    got = rows(M.q_op6(spark, _folder(spark, docs)))
+    two = [r for r in got if r["doc_id"] == 2]
+    assert [(r["n_removed"], r["n_links"], r["text"]) for r in two] == [(1, 1, "own two")] * 2
+    assert [(r["n_removed"], r["n_links"]) for r in got if r["doc_id"] in (1, 3)] == [(0, 1), (1, 1)]
+
+
+def test_lines_with_one_hash_are_told_apart(spark, monkeypatch):
+    a, b = prose(11, 9), prose(12, 9)
+    real = M.line_hash
+    monkeypatch.setattr(M, "line_hash", lambda line: F.when(F.col(line).isin(a, b), F.lit(7).cast("long")).otherwise(real(line)))
+    docs = [doc(1, a[:-1] + "#"), doc(2, b), doc(3, a)]
+    got = {r["doc_id"]: r["text"] for r in rows(M.q_op6(spark, _folder(spark, docs)))}
+    assert got == {1: a[:-1] + "#", 2: b, 3: ""}
+
+
+def test_signature_never_rules_out_a_near_line(spark):
+    rng = random.Random(8)
+    pairs = []
+    for _ in range(400):
+        a = prose(rng.random(), rng.randint(1, 9))
+        pairs.append((a, edited(rng, a, 2)))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    apart = F.bit_count(M.signature("a").bitwiseXOR(M.signature("b")))
+    assert df.where(apart > 4).count() == 0
