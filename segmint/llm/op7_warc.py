@@ -222,7 +222,7 @@ WITH p AS (
 d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS h FROM p),
 g AS (SELECT h, max(page_id) AS top FROM d WHERE n >= 1000 GROUP BY h)
 SELECT d.page_id, CAST(n AS BIGINT) AS payload_bytes, d.h AS payload_digest,
-       CASE WHEN d.page_id < g.top THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN d.page_id < g.top THEN g.top END AS refers_to
+       CASE WHEN g.top IS NOT NULL AND d.page_id IS DISTINCT FROM g.top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN d.page_id IS DISTINCT FROM g.top THEN g.top END AS refers_to
 FROM d LEFT JOIN g ON d.h = g.h AND d.n >= 1000
 """
