@@ -48,6 +48,8 @@ from .wordscan import blank_mask, mixed, run_hashes, text_blocks, word_hashes, w
 MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
+#: Parts of a language that are ranked by themselves first.
+PARTS = 64
 #: Ranked phrases of a level (8 bytes a word and phrase, sent to every worker).
 HEAD = 1 << 18
 ID_BITS = 20
@@ -374,8 +376,13 @@ def mine_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", min_co
     mark = written(docs.sparkSession)
     phrases, totals = frequent_phrases(docs, text, lang, min_count, max_words, head, bits)
     c = materialize(scored(phrases, totals), "phrase-scored")
-    w = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = outer_only(c).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    order = (F.desc("score"), F.desc("a"), "phrase")
+    # A language's first ones are among the first of its parts, so the last
+    # ranking gets PARTS * top rows of a language at most.
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
+    best = outer_only(c).withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= top)
+    w = Window.partitionBy("lang").orderBy(*order)
+    best = best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
     out = materialize(best.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"), "phrase-top")
     release_since(docs.sparkSession, mark, keep=("phrase-top",))
     return out
