@@ -93,17 +93,22 @@ def cuts(n: Column) -> Column:
 
 
 def segment_keys(rows: DataFrame, line: str = "line") -> DataFrame:
-    """``rows`` once for each key of its line, in ``k``. The places to cut are
-    constant tables that are exploded, so the expression for one key is all
-    that is compiled (twelve of them in one array make a method that the JIT
-    refuses)."""
-    p = rows.withColumn("_p", F.explode(cuts(F.char_length(line)))).withColumn("_m", F.char_length(line) - F.col("_p.less"))
+    """``rows`` once for each key of its line, in ``k``, with ``own``: whether
+    the key is of the line's own segment (an index entry, and a probe for lines
+    of its length) or only a probe for shorter lines or shifted places. The
+    places to cut are constant tables that are exploded, so the expression for
+    one key is all that is compiled (twelve of them in one array make a method
+    that the JIT refuses). Lines are measured once and cut as UTF-32, four bytes
+    a character, so that no cut looks for its place from the line's start."""
+    p = rows.withColumns({"_n": F.char_length(line), "_u": F.encode(F.col(line), "UTF-32")})
+    p = p.withColumn("_p", F.explode(cuts(F.col("_n")))).withColumn("_m", F.col("_n") - F.col("_p.less"))
     i, m, parts = F.col("_p.i"), F.col("_m"), F.col("_p.parts")
     longer = m % parts  # the last m mod parts segments are longer by one
     small = F.expr("_m div _p.parts").cast("int")
     size = small + (i > parts - longer).cast("int")
-    start = 1 + F.col("_p.shift") + small * (i - 1) + F.greatest(F.lit(0), i - 1 - (parts - longer))
-    return p.withColumn("k", F.xxhash64(m, i, F.substring(F.col(line), start, size))).drop("_p", "_m")
+    start = F.col("_p.shift") + small * (i - 1) + F.greatest(F.lit(0), i - 1 - (parts - longer))
+    return p.withColumns({"k": F.xxhash64(m, i, F.substring(F.col("_u"), 4 * start + 1, 4 * size)),
+                          "own": (F.col("_p.less") == 0) & (F.col("_p.shift") == 0)}).drop("_n", "_u", "_p", "_m")
 
 
 def common_prefix(a: Column, b: Column, n: Column) -> Column:
@@ -231,23 +236,32 @@ def line_links(docs: DataFrame, text: str = "text") -> DataFrame:
     shared = materialize(shared, "line-keys")
     on = F.col("k") == F.col("sk")
     if shared.count() <= BROADCAST_KEYS:
-        members = keyed.join(F.broadcast(shared), on).groupBy("k", "id", other_hash("line").alias("id2")).agg(F.min("line").alias("line"))
+        members = keyed.join(F.broadcast(shared), on).groupBy("k", "id", other_hash("line").alias("id2")).agg(
+            F.min("line").alias("line"), F.max("own").alias("own"))
     else:
-        places = materialize(keyed.select("k", "id").join(shared, on).select("k", "id").distinct(), "line-places")
+        places = keyed.select("k", "id", "own").join(shared, on).groupBy("k", "id").agg(F.max("own").alias("own"))
+        places = materialize(places, "line-places")
         wanted = places.select(F.col("id").alias("wid")).distinct()
         texts = line.select(line_hash("line").alias("tid"), "line").join(wanted, F.col("tid") == F.col("wid"), "left_semi")
         texts = materialize(texts.groupBy("tid", other_hash("line").alias("id2")).agg(F.min("line").alias("line")), "line-texts")
-        members = places.join(texts, F.col("id") == F.col("tid")).select("k", "id", "id2", "line")
+        members = places.join(texts, F.col("id") == F.col("tid")).select("k", "id", "id2", "line", "own")
     members = materialize(members.withColumns({"n": F.char_length("line"), "s": signature("line")}), "line-members")
-    a = members.select("k", F.col("id").alias("x"), F.col("id2").alias("x2"), F.col("line").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
+    # The shorter line is found by a segment of its own; of two equally long
+    # ones either finds the other.
+    a = members.where("own").select("k", F.col("id").alias("x"), F.col("id2").alias("x2"), F.col("line").alias("a"),
+                                    F.col("n").alias("na"), F.col("s").alias("sa"))
     b = members.select(F.col("k").alias("kb"), F.col("id").alias("y"), F.col("id2").alias("y2"), F.col("line").alias("b"),
                        F.col("n").alias("nb"), F.col("s").alias("sb"))
     most = F.least(F.lit(EDITS), F.floor(F.greatest("na", "nb") / CHARS_PER_EDIT).cast("int"))
     # Cheap necessary conditions first; few pairs are left for the distance.
-    may = (F.abs(F.col("na") - F.col("nb")) <= most) & (F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= 2 * most)
-    first = (F.col("x") < F.col("y")) | ((F.col("x") == F.col("y")) & (F.col("x2") < F.col("y2")))
-    near = F.when(first & may, within(F.col("a"), F.col("b"), F.col("na"), F.col("nb"), EDITS, most)).otherwise(False)
-    return a.join(b, (F.col("k") == F.col("kb")) & near).select("x", "x2", "y", "y2").distinct()
+    below = (F.col("x") < F.col("y")) | ((F.col("x") == F.col("y")) & (F.col("x2") < F.col("y2")))
+    first = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & below)
+    may = (F.col("nb") - F.col("na") <= most) & (F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= 2 * most)
+    near = F.when(may, within(F.col("a"), F.col("b"), F.col("na"), F.col("nb"), EDITS, most)).otherwise(False)
+    links = a.join(b, (F.col("k") == F.col("kb")) & first & near)
+    swapped = [F.when(below, F.col(c)).otherwise(F.col(d)).alias(c) for c, d in (("x", "y"), ("x2", "y2"))]
+    swapped += [F.when(below, F.col(d)).otherwise(F.col(c)).alias(d) for c, d in (("x", "y"), ("x2", "y2"))]
+    return links.select(*swapped).distinct()
 
 
 def line_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
