@@ -1,28 +1,36 @@
 """Personal data by bootstrapped contextual extraction.
 
 Base patterns find emails, IP addresses, card and phone numbers (card numbers
-must pass Luhn, and so on). These are the seeds. A seed induces a lexical
-pattern: its kind, the two words before it and the word after it, with case
-and digits flattened. Every identifier-like string outside the base spans (a token
+must pass Luhn, and so on). These are the first seeds. A seed induces lexical
+patterns of its kind: its context, with case and digits flattened, that is the
+two words before it and the word after it, and backed off the one word before
+or the one after. Every identifier-like string outside the base spans (a token
 around an @, or a run of digits and separators, plausible for the kind) is an
-instance of the pattern that its own context matches. Spark counts pattern-instance pairs and scores the bipartite graph
-iteratively: a pattern's confidence is the support-weighted share of trusted
-instances among all it extracts (seeds count 1, others their own confidence,
-shrunk by ``PRIOR`` doubtful ones), an instance's confidence the best of its
-patterns'. Patterns that hold
-``MIN_SEEDS`` different seeds and ``MIN_CONFIDENCE`` after the last round add
-the tokens they extract as spans of their kind; base spans always stay, and
-added spans never overlap them.
+instance of the patterns that its own contexts match. Spark counts
+pattern-instance pairs and scores the bipartite graph iteratively: a pattern's
+confidence is the support-weighted share of trusted instances among all it
+extracts (seeds count 1, others their own confidence, shrunk by ``PRIOR``
+doubtful ones), an instance's confidence the best of its patterns'. Instances
+that reach ``MIN_CONFIDENCE`` are seeds of the next round, so the contexts in
+which they stand elsewhere become patterns too. A pattern needs ``MIN_SEEDS``
+different seeds; a backed-off one ``BACKED_SEEDS``, in two full contexts at
+least, else it says no more than the full one. Patterns of MIN_CONFIDENCE after
+the last round add the tokens they extract as spans of their kind, the fullest
+context first; base spans always stay, and added spans never overlap them. A
+word of a context counts by the ``NEAREST`` characters next to the identifier.
 
 Positions are code points, ends exclusive. Defined cases: a null text counts
 as empty; repeated rows are searched alike and count once as evidence for each
-text; without patterns only base spans are returned; very long texts are
-searched whole in linear time.
+text; without patterns only base spans are returned; an empty table gives no
+rows; very long texts are searched whole in linear time, and identifiers of any
+length count whole; of kinds with equal support in a context the more confident
+one is taken, then the first by name.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -34,6 +42,10 @@ from ..session import materialize, release_since, written
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_SEEDS = 5
+#: Different seeds of a backed-off pattern.
+BACKED_SEEDS = 20
+#: Characters of a context word that count: those next to the identifier.
+NEAREST = 40
 MIN_CONFIDENCE = 0.8
 PRIOR = 1.0
 ROUNDS = 3
@@ -103,14 +115,14 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-_LETTERS, _DIGITS = re.compile(r"[^\W\d_]+"), re.compile(r"[0-9]+")
+_WORD, _DIGITS = re.compile(r"\S+"), re.compile(r"[0-9]+")
 
 
 def flat(word: str) -> str:
     """A context word: lower case, digits as 0, edge punctuation off but for a
     colon or an equals sign."""
     w = word.strip(".,;!?()[]{}<>\"'*#$%&|").lower()
-    return _DIGITS.sub("0", w)[:40]
+    return _DIGITS.sub("0", w)
 
 
 def plausible(kind: str, s: str) -> bool:
@@ -123,11 +135,30 @@ def plausible(kind: str, s: str) -> bool:
     return s.count(".") >= 3 if kind == "ip" else 12 <= digits <= 19 if kind == "card" else 7 <= digits <= 15
 
 
-def context(text: str, start: int, end: int) -> str:
-    """The two words before and the word after, flattened."""
-    before = text[max(0, start - 120) : start].split()[-2:]
-    after = text[end : end + 60].split()[:1]
-    return " ".join(map(flat, before)) + " _ " + " ".join(map(flat, after))
+class Contexts:
+    """Contexts of places in one text."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.starts, self.ends = [], []
+        for m in _WORD.finditer(text):
+            self.starts.append(m.start())
+            self.ends.append(m.end())
+
+    def of(self, start: int, end: int) -> tuple[str, str | None, str | None]:
+        """The two words before and the word after, flattened; the last word
+        before; the word after. The latter are null if there is none."""
+        text, k = self.text, bisect_left(self.starts, start)
+        before = []
+        for i in range(max(0, k - 2), k):
+            stop = min(self.ends[i], start)
+            before.append(flat(text[max(self.starts[i], stop - NEAREST) : stop]))
+        after, k = "", bisect_right(self.ends, end)
+        if k < len(self.ends):
+            first = max(self.starts[k], end)
+            after = flat(text[first : min(self.ends[k], first + NEAREST)])
+        full = " ".join(before) + " _ " + after
+        return full, before[-1] + " _" if before and before[-1] else None, "_ " + after if after else None
 
 
 def candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
@@ -156,7 +187,8 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[in
 
 
 def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(context, kind or '', surface) of seeds and candidates in the texts."""
+    """(full context, word before, word after, kind or '', surface) of seeds
+    and candidates in the texts."""
     for batch in batches:
         rows: set = set()
         for t in batch.column(0):
@@ -164,13 +196,13 @@ def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not text:
                 continue
             base = base_spans(text)
-            for kind, a, b in base:
-                rows.add((context(text, a, b), kind, text[a:b][:80]))
-            for a, b in candidates(text, base):
-                rows.add((context(text, a, b), "", text[a:b][:80]))
-        c, k, s = zip(*rows, strict=True) if rows else ((), (), ())
-        yield pa.record_batch([pa.array(c, pa.string()), pa.array(k, pa.string()), pa.array(s, pa.string())],
-                              names=["context", "kind", "surface"])
+            found = [*base, *(("", a, b) for a, b in candidates(text, base))]
+            if found:
+                at = Contexts(text)
+                for kind, a, b in found:
+                    rows.add((*at.of(a, b), kind, text[a:b]))
+        cols = zip(*rows, strict=True) if rows else ((),) * 5
+        yield pa.record_batch([pa.array(c, pa.string()) for c in cols], names=["full", "one", "after", "kind", "surface"])
 
 
 def pattern_table(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -190,30 +222,40 @@ def learn_patterns(docs: DataFrame, text: str = "text") -> list[tuple[str, str,
 
 def _learn(docs: DataFrame, text: str) -> DataFrame:
     pairs = materialize(docs.select(F.col(text).alias("text")).mapInArrow(
-        _evidence, "context string, kind string, surface string"), "pii-pairs")
-    # Patterns: contexts with enough different seeds of one kind. Their edges
-    # go to every instance of the context.
-    seeds = pairs.where("kind != ''")
-    pattern = seeds.groupBy("context", "kind").agg(F.countDistinct("surface").alias("seeds")).where(F.col("seeds") >= MIN_SEEDS)
-    pattern = materialize(pattern, "pii-patterns")
-    if pattern.isEmpty():
-        return docs.sparkSession.createDataFrame([], "context string, kind string, p double")
-    own = pairs.select("context", "surface", F.col("kind").alias("own")).distinct()
+        _evidence, "full string, one string, after string, kind string, surface string"), "pii-pairs")
+    own = pairs.select(F.explode(F.array_compact(F.array("full", "one", "after"))).alias("context"), "full", "surface",
+                       F.col("kind").alias("own"))
+    seeds = own.where("own != ''").select("context", "full", F.col("own").alias("kind"), "surface")
     digits = F.length(F.regexp_replace("surface", "[^0-9]", ""))
     fits = (F.when(F.col("own") != "", True).when(F.col("kind") == "email", F.col("surface").contains("@"))
             .when(F.col("surface").contains("@"), False)
             .when(F.col("kind") == "ip", F.size(F.split("surface", "[.]")) >= 4)
             .when(F.col("kind") == "card", digits.between(12, 19)).otherwise(digits.between(7, 15)))
-    edges = materialize(own.join(pattern, "context").where(fits).select("context", "kind", "surface", "own"), "pii-edges")
-    score = edges.groupBy("context", "kind").agg(
-        ((F.sum(F.when(F.col("own") == F.col("kind"), 1.0).otherwise(0.0))) / (F.count("*") + PRIOR)).alias("p"))
-    for _ in range(ROUNDS):
-        score = materialize(score, "pii-score")
-        inst = edges.where("own = ''").join(score, ["context", "kind"]).groupBy("surface", "kind").agg(F.max("p").alias("c"))
-        inst = materialize(inst, "pii-instances")
+    inst = None
+    for left in range(ROUNDS, -1, -1):
+        # Patterns: contexts with enough different seeds of one kind. Their
+        # edges go to every instance of the context.
+        known = seeds
+        if inst is not None:
+            trusted = inst.where(F.col("c") >= MIN_CONFIDENCE).select("surface", "kind")
+            known = seeds.union(own.where("own = ''").join(trusted, "surface").select("context", "full", "kind", "surface"))
+        enough = F.when(F.col("low") == F.col("context"), F.col("seeds") >= MIN_SEEDS).otherwise(
+            (F.col("low") != F.col("high")) & (F.col("seeds") >= BACKED_SEEDS))
+        pattern = known.groupBy("context", "kind", "surface").agg(F.min("full").alias("low"), F.max("full").alias("high"))
+        pattern = pattern.groupBy("context", "kind").agg(
+            F.count("*").alias("seeds"), F.min("low").alias("low"), F.max("high").alias("high")).where(enough)
+        pattern = materialize(pattern.select("context", "kind", "seeds"), "pii-patterns")
+        if pattern.isEmpty():
+            return docs.sparkSession.createDataFrame([], "context string, kind string, p double")
+        edges = own.select("context", "surface", "own").distinct().join(pattern, "context").where(fits)
+        edges = materialize(edges.select("context", "kind", "surface", "own"), "pii-edges")
+        scored = edges.withColumn("c", F.lit(None).cast("double")) if inst is None else edges.join(inst, ["surface", "kind"], "left")
         trust = F.when(F.col("own") == F.col("kind"), 1.0).when(F.col("own") == "", F.coalesce("c", F.lit(0.0))).otherwise(0.0)
-        score = edges.join(inst, ["surface", "kind"], "left").groupBy("context", "kind").agg(
-            (F.sum(trust) / (F.count("*") + PRIOR)).alias("p"))
+        score = scored.groupBy("context", "kind").agg((F.sum(trust) / (F.count("*") + PRIOR)).alias("p"))
+        score = materialize(score, "pii-score")
+        if left:
+            inst = edges.where("own = ''").join(score, ["context", "kind"]).groupBy("surface", "kind").agg(F.max("p").alias("c"))
+            inst = materialize(inst, "pii-instances")
     best = score.where(F.col("p") >= MIN_CONFIDENCE).join(pattern, ["context", "kind"])
     order = F.struct((-F.col("seeds")).alias("seeds"), (-F.col("p")).alias("doubt"), "kind", "p")
     first = best.groupBy("context").agg(F.min(order).alias("o"))
@@ -221,32 +263,34 @@ def _learn(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _candidate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text's key, context, start, end, kinds it may be) of the candidates."""
+    """(text's key, contexts, start, end, kinds it may be) of the candidates."""
     for batch in batches:
         rows = []
         for key, t in zip(batch.column(0), batch.column(1), strict=True):
-            text = t.as_py()
+            text, at = t.as_py(), None
             for a, b in candidates(text, base_spans(text)) if text else ():
                 kinds = [k for k in KINDS if plausible(k, text[a:b])]
                 if kinds:
-                    rows.append((key.as_py(), context(text, a, b), a, b, kinds))
+                    at = at or Contexts(text)
+                    rows.append((key.as_py(), list(at.of(a, b)), a, b, kinds))
         cols = zip(*rows, strict=True) if rows else ((),) * 5
-        types = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.string()))
+        types = (pa.string(), pa.list_(pa.string()), pa.int32(), pa.int32(), pa.list_(pa.string()))
         yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
-                              names=["key", "context", "start", "end", "kinds"])
+                              names=["key", "contexts", "start", "end", "kinds"])
 
 
 def _added_spans(docs: DataFrame, patterns: DataFrame, text: str) -> DataFrame:
     """(key, added): the spans that patterns add to each different text, by a
     join of the candidates' contexts. Copies of a text count as one."""
     rows = docs.select(F.sha2(text, 256).alias("key"), F.col(text).alias("text")).mapInArrow(
-        _candidate_rows, "key string, context string, start int, end int, kinds array<string>")
+        _candidate_rows, "key string, contexts array<string>, start int, end int, kinds array<string>")
     rows = materialize(rows, "pii-candidates")
     p = patterns.select(F.col("context").alias("__context"), "kind")
-    hits = rows.join(p, (F.col("context") == F.col("__context")) & F.array_contains("kinds", F.col("kind")))
-    span = F.struct("kind", "start", "end", F.lit(False).alias("base"))
-    return materialize(hits.select("key", span.alias("span")).distinct().groupBy("key").agg(
-        F.collect_list("span").alias("added")), "pii-added")
+    each = rows.select("key", "start", "end", "kinds", F.posexplode("contexts").alias("level", "context"))
+    hits = each.join(p, (F.col("context") == F.col("__context")) & F.array_contains("kinds", F.col("kind")))
+    hits = hits.groupBy("key", "start", "end").agg(F.min(F.struct("level", "kind")).alias("hit"))
+    span = F.struct("hit.kind", "start", "end", F.lit(False).alias("base"))
+    return materialize(hits.groupBy("key").agg(F.collect_list(span).alias("added")), "pii-added")
 
 
 def find_spans(docs: DataFrame, patterns: DataFrame | list[tuple[str, str, float]], text: str = "text") -> DataFrame:
@@ -265,9 +309,11 @@ def find_spans(docs: DataFrame, patterns: DataFrame | list[tuple[str, str, float
                 base = base_spans(t)
                 spans = [(k, a, b, True) for k, a, b in base]
                 if t and kinds:
+                    at = None
                     for a, b in candidates(t, base):
-                        k = kinds.get(context(t, a, b))
-                        if k and plausible(k, t[a:b]):
+                        at = at or Contexts(t)
+                        k = next((k for c in at.of(a, b) if (k := kinds.get(c)) and plausible(k, t[a:b])), None)
+                        if k:
                             spans.append((k, a, b, False))
                 spans.sort(key=lambda s: (s[1], KINDS.index(s[0])))
                 out.append([{"kind": k, "start": a, "end": b, "base": x} for k, a, b, x in spans])
