@@ -36,8 +36,6 @@ from .common import held_out, letter_words, sampled_labels
 
 #: Labelled rows that are read per label value: the bound of the fit.
 PER_CLASS = 12_000
-#: Words that may enter a model, the most significant first: the model's bound.
-MAX_WORDS = 20_000
 PRIOR_MASS = 20_000.0
 MIN_LIKELIHOOD_RATIO = 16.0
 DRIFT = 0.08
@@ -174,8 +172,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Toxic
         xlog = lambda a, b: F.when(a > 0, a * F.log(a / b)).otherwise(0.0)
         e1, e0 = (d1 + d0) * (n1 / (n1 + n0)), (d1 + d0) * (n0 / (n1 + n0))
         ratio = 2 * (xlog(d1, e1) + xlog(d0, e0))
-        top = counts.withColumn("g", ratio).where(F.col("g") >= MIN_LIKELIHOOD_RATIO).orderBy(
-            F.desc("g"), "word").limit(MAX_WORDS).collect()
+        # Every significant word: the ratio asks for several documents of the
+        # bounded sample that hold the word, so the sample bounds their number.
+        top = counts.withColumn("g", ratio).where(F.col("g") >= MIN_LIKELIHOOD_RATIO).orderBy(F.desc("g"), "word").collect()
         counts.unpersist()
         scores, p, s = {}, [], []
         for r in top:
