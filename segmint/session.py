@@ -7,6 +7,7 @@ import atexit
 import os
 import re
 import tempfile
+import threading
 import uuid
 import zipfile
 
@@ -61,7 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
-_WRITTEN: dict[str, list[str]] = {}
+#: Application -> path of a written table -> the thread that wrote it.
+_WRITTEN: dict[str, dict[str, int]] = {}
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -70,9 +72,9 @@ def shared_path(spark: SparkSession, name: str) -> str:
     path = os.path.join(checkpoint_dir(spark), "segmint", f"{name}-{uuid.uuid4().hex}")
     app = spark.sparkContext.applicationId
     if app not in _WRITTEN:
-        _WRITTEN[app] = []
+        _WRITTEN[app] = {}
         atexit.register(release, spark)
-    _WRITTEN[app].append(path)
+    _WRITTEN[app][path] = threading.get_ident()
     return path
 
 
@@ -83,25 +85,30 @@ def release(spark: SparkSession, *paths: str) -> None:
     sc = spark.sparkContext
     if sc._jsc is None or sc._jsc.sc().isStopped():
         return
-    left = _WRITTEN.get(sc.applicationId, [])
+    left = _WRITTEN.get(sc.applicationId, {})
     for path in list(paths or left):
         p = sc._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
-        if path in left:
-            left.remove(path)
+        left.pop(path, None)
 
 
-def written(spark: SparkSession) -> int:
-    """How many written tables the application has now: a mark for
-    ``release_since``."""
-    return len(_WRITTEN.get(spark.sparkContext.applicationId, []))
+def written(spark: SparkSession) -> frozenset[str]:
+    """The tables this thread has written so far: a mark for ``release_since``."""
+    return frozenset(written_since(spark, frozenset()))
 
 
-def release_since(spark: SparkSession, mark: int, keep: tuple[str, ...] = ()) -> None:
-    """Delete the tables written after ``mark`` that nothing reads any more:
-    all but those whose name is in ``keep``."""
-    new = _WRITTEN.get(spark.sparkContext.applicationId, [])[mark:]
-    gone = [p for p in new if os.path.basename(p).rpartition("-")[0] not in keep]
+def written_since(spark: SparkSession, mark: frozenset[str]) -> list[str]:
+    """This thread's tables beyond ``mark``, oldest first. Another thread's
+    tables are never among them, whatever it writes or releases meanwhile."""
+    me = threading.get_ident()
+    mine = _WRITTEN.get(spark.sparkContext.applicationId, {}).copy()
+    return [p for p, thread in mine.items() if thread == me and p not in mark]
+
+
+def release_since(spark: SparkSession, mark: frozenset[str], keep: tuple[str, ...] = ()) -> None:
+    """Delete the tables this thread wrote after ``mark`` that nothing reads
+    any more: all but those whose name is in ``keep``."""
+    gone = [p for p in written_since(spark, mark) if os.path.basename(p).rpartition("-")[0] not in keep]
     if gone:
         release(spark, *gone)
 

@@ -113,6 +113,34 @@ def test_written_tables_are_removed(spark):
     assert not [p for p in session._WRITTEN[spark.sparkContext.applicationId] if "/gone-" in p]
 
 
+def test_threads_release_their_own_tables_only(spark):
+    import threading
+    mark, there, gone, kept = session.written(spark), threading.Event(), threading.Event(), []
+
+    def other():
+        mine = session.written(spark)
+        kept.append(session.materialize(spark.range(3), "theirs"))
+        session.materialize(spark.range(3), "theirs-too")
+        there.set()
+        gone.wait(60)
+        session.release_since(spark, mine, keep=("theirs",))
+
+    t = threading.Thread(target=other)
+    t.start()
+    assert there.wait(60)
+    own = session.materialize(spark.range(4), "own")
+    left = session.materialize(spark.range(5), "left")
+    session.release_since(spark, mark, keep=("left",))
+    names = [os.path.basename(p) for p in session._WRITTEN[spark.sparkContext.applicationId]]
+    assert not any(n.startswith("own-") for n in names) and any(n.startswith("theirs-too-") for n in names)
+    gone.set()
+    t.join(60)
+    assert kept[0].count() == 3 and left.count() == 5
+    assert not os.path.exists(own.inputFiles()[0].removeprefix("file:").removeprefix("//"))
+    names = [os.path.basename(p) for p in session._WRITTEN[spark.sparkContext.applicationId]]
+    assert not any(n.startswith("theirs-too-") for n in names)
+
+
 def test_store_refuses_unknown_versions_and_keeps_all_rows(spark):
     where = session.shared_path(spark, "store-test")
     model = SegmentModel(BinnerModel({"r_bin": "-Recency"}, {"r_bin": [0.0, 1.0]}, 1), [(0, 0.0, 0.0, 0.0)])
