@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import _WRITTEN, materialize, release, written
+from ..session import materialize, release, written, written_since
 
 
 def _with_minimum(pairs: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         got = new.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         done = mark == (got["n"], got["h"])
         mark, e = (got["n"], got["h"]), new
-        before = _WRITTEN[spark.sparkContext.applicationId][start:-1]
+        before = written_since(spark, start)[:-1]
         if before:  # this round's edges replace all that came before
             release(spark, *before)
         if done:
