@@ -7,23 +7,36 @@ public seekable format. A record is found by its identifier through an index
 of (bundle, frame, offset in the decompressed frame, length): reading one needs
 the seek table and one frame.
 
+Records are WARC/1.1: a response's block is an HTTP response with the payload
+as its body, a revisit follows the identical-payload-digest profile and names
+the response by target and date. Record ids are unique (one namespace a
+write, partition and place within it), dates are the time of the write, and
+the page a record stands for has fields of its own, so repeated page_ids do no
+harm.
+
 Bundles are rows of a Parquet table in the shared folder, so Spark's commit
 protocol makes a rerun of a lost task harmless. Records with equal payloads of
 at least ``MIN_REVISIT`` bytes are written once: the largest page_id is the
 response, the others revisit it. The sums per digest are map-side combined
 and written, so the join back is one that AQE can split at a hot payload.
 
-Defined cases: null html is an empty payload; a null url is left out of the
-record; a null page_id is the identifier ``null`` and comes back as null; of
-repeated rows with the same page_id and payload, all are responses if that id
-is the group's largest.
+Defined cases: null html is an empty payload; a page without url has
+``urn:page:<page_id>`` as its target and comes back without; a null page_id is
+written as ``null`` and comes back as null; of repeated rows with the same
+page_id and payload, all are responses if that id is the group's largest; of
+rows that tie for it, revisits name the one with the largest url. A page larger
+than a frame or a bundle fills one of its own, whole. An empty table gives
+archives without records or none, and no rows. Further columns of ``pages``,
+whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
 import struct
+import uuid
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 import zstandard
@@ -38,38 +51,53 @@ BUNDLE_BYTES = 4 << 20
 LEVEL = 3
 # Fixed values of the seekable format: skippable frame and seek table magics.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
+# Fixed value of the WARC standard: the profile of revisits.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 BUNDLES = ("bundle string, data binary, "
-           "entries array<struct<page_id:bigint, frame:int, offset:int, length:int>>")
-RECORDS = ("page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, "
+           "entries array<struct<page_id:bigint, record_id:string, frame:int, offset:int, length:int>>")
+RECORDS = ("page_id bigint, record_id string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, "
            "url string, payload binary")
 
 
 def decisions(pages: DataFrame) -> DataFrame:
     """``pages`` (page_id, url, html) with the digest of the payload and, for
-    revisits, refers_to."""
+    revisits, refers_to and refers_url (page_id and url of the response)."""
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     p = pages.select("page_id", "url", body.alias("payload")).withColumn("digest", F.sha1("payload"))
     large = p.where(F.octet_length("payload") >= MIN_REVISIT)
-    groups = large.groupBy(F.col("digest").alias("d")).agg(F.max("page_id").alias("largest"), F.count("*").alias("n"))
-    groups = materialize(groups.where("n > 1").select("d", "largest"), "warc-groups")
-    out = p.join(groups, F.col("digest") == F.col("d"), "left")
+    groups = large.groupBy(F.col("digest").alias("d")).agg(
+        F.max(F.struct("page_id", "url")).alias("top"), F.count("*").alias("n"))
+    groups = groups.where("n > 1").select("d", F.col("top.page_id").alias("largest"), F.col("top.url").alias("largest_url"))
+    out = p.join(materialize(groups, "warc-groups"), F.col("digest") == F.col("d"), "left")
     other = F.col("largest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("largest"))
-    return out.select("page_id", "url", "payload", "digest", F.when(other, F.col("largest")).alias("refers_to"))
+    return out.select("page_id", "url", "payload", "digest", F.when(other, F.col("largest")).alias("refers_to"),
+                      F.when(other, F.col("largest_url")).alias("refers_url"))
+
+
+def target(page_id, url) -> str:
+    """The target of a page: its url on one line, or a name made of its id."""
+    if url is None:
+        return f"urn:page:{'null' if page_id is None else page_id}"
+    return url.replace("\r", "%0D").replace("\n", "%0A")
 
 
-def record(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
+def record(record_id: str, date: str, page_id, url, payload: bytes, digest: str, refers_to=None, refers_url=None) -> bytes:
     """One WARC/1.1 record; a revisit has no block."""
     kind = "response" if refers_to is None else "revisit"
-    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'null' if page_id is None else page_id}>"]
-    if url is not None:
-        head.append("WARC-Target-URI: " + url.replace("\r", "%0D").replace("\n", "%0A"))
-    head.append(f"WARC-Payload-Digest: sha1:{digest}")
-    if refers_to is not None:
-        head.append(f"WARC-Refers-To: <urn:page:{refers_to}>")
-        head.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
-        head.append(f"X-Payload-Length: {len(payload)}")
-    block = payload if refers_to is None else b""
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{record_id}>", f"WARC-Date: {date}",
+            f"WARC-Target-URI: {target(page_id, url)}", f"WARC-Payload-Digest: sha1:{digest}",
+            f"X-Page-ID: {'null' if page_id is None else page_id}"]
+    if url is None:
+        head.append("X-Page-URL: null")
+    block = b""
+    if refers_to is None:
+        http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
+        block = http.encode() + payload
+        head.append("Content-Type: application/http; msgtype=response")
+    else:
+        head += [f"WARC-Refers-To-Target-URI: {target(refers_to, refers_url)}", f"WARC-Refers-To-Date: {date}",
+                 f"WARC-Profile: {PROFILE}", f"X-Refers-To-Page-ID: {refers_to}", f"X-Payload-Length: {len(payload)}"]
     head.append(f"Content-Length: {len(block)}")
     return "\r\n".join(head).encode("utf-8", "replace") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -82,10 +110,11 @@ class BundleWriter:
         self.data, self.table, self.entries = [], [], []
         self.frame, self.frame_size, self.size = [], 0, 0
 
-    def add(self, page_id, rec: bytes):
+    def add(self, page_id, record_id: str, rec: bytes):
         if self.frame and self.frame_size + len(rec) > FRAME_BYTES:
             self.flush()
-        self.entries.append({"page_id": page_id, "frame": len(self.table), "offset": self.frame_size, "length": len(rec)})
+        self.entries.append({"page_id": page_id, "record_id": record_id, "frame": len(self.table),
+                             "offset": self.frame_size, "length": len(rec)})
         self.frame.append(rec)
         self.frame_size += len(rec)
         self.size += len(rec)
@@ -129,38 +158,46 @@ def parse(rec: bytes) -> dict:
     """Fields of one record."""
     head, _, rest = rec.partition(b"\r\n\r\n")
     fields = dict(x.split(": ", 1) for x in head.decode("utf-8", "replace").split("\r\n")[1:])
-    number = lambda s: None if s in (None, "<urn:page:null>") else int(s[10:-1])
+    number = lambda s: None if s in (None, "null") else int(s)
     revisit = fields["WARC-Type"] == "revisit"
-    block = rest[: int(fields["Content-Length"])]
+    body = None if revisit else rest[: int(fields["Content-Length"])].partition(b"\r\n\r\n")[2]
     return {
-        "page_id": number(fields["WARC-Record-ID"]),
-        "payload_bytes": int(fields["X-Payload-Length"]) if revisit else len(block),
-        "payload_digest": fields["WARC-Payload-Digest"].removeprefix("sha1:") if revisit else hashlib.sha1(block).hexdigest(),
-        "record_type": fields["WARC-Type"], "refers_to": number(fields.get("WARC-Refers-To")),
-        "url": fields.get("WARC-Target-URI"), "payload": None if revisit else block,
+        "page_id": number(fields["X-Page-ID"]), "record_id": fields["WARC-Record-ID"][1:-1],
+        "payload_bytes": int(fields["X-Payload-Length"]) if revisit else len(body),
+        "payload_digest": fields["WARC-Payload-Digest"].removeprefix("sha1:") if revisit else hashlib.sha1(body).hexdigest(),
+        "record_type": fields["WARC-Type"], "refers_to": number(fields.get("X-Refers-To-Page-ID")),
+        "url": None if "X-Page-URL" in fields else fields["WARC-Target-URI"], "payload": body,
     }
 
 
-def write_bundles(decided: DataFrame) -> DataFrame:
-    """Rows of archives; a task keeps one bundle in memory at a time."""
+def write_bundles(decided: DataFrame, date: str | None = None) -> DataFrame:
+    """Rows of archives; a task keeps one bundle in memory at a time. ``date``
+    (``2024-05-06T07:08:09Z``) is the records' date, now if not given: it and
+    the ids' namespace are set once, so a task run again writes the same."""
+    from pyspark import TaskContext
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     schema = to_arrow_schema(StructType.fromDDL(BUNDLES))
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+    namespace = uuid.uuid4()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = BundleWriter()
+        w, part, place = BundleWriter(), TaskContext.get().partitionId(), 0
         for b in batches:
-            for page_id, url, payload, digest, refers_to in zip(*b.columns, strict=True):
-                key = page_id.as_py()
-                w.add(key, record(key, url.as_py(), payload.as_py(), digest.as_py(), refers_to.as_py()))
+            for values in zip(*b.columns, strict=True):
+                page = [x.as_py() for x in values]
+                record_id = uuid.uuid5(namespace, f"{part}:{place}").urn
+                place += 1
+                w.add(page[0], record_id, record(record_id, date, *page))
                 if w.size >= BUNDLE_BYTES:
                     yield pa.RecordBatch.from_pylist([w.close()], schema)
                     w = BundleWriter()
         if w.entries:
             yield pa.RecordBatch.from_pylist([w.close()], schema)
 
-    return materialize(decided.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(pack, BUNDLES), "warc-bundles")
+    columns = decided.select("page_id", "url", "payload", "digest", "refers_to", "refers_url")
+    return materialize(columns.mapInArrow(pack, BUNDLES), "warc-bundles")
 
 
 def read_records(bundles: DataFrame) -> DataFrame:
@@ -189,7 +226,7 @@ def fetch(bundles: DataFrame, wanted: DataFrame) -> DataFrame:
     frames that hold them."""
     index = bundles.select("bundle", F.explode("entries").alias("e")).select("bundle", "e.*")
     hit = index.join(wanted.select("page_id").distinct(), "page_id").groupBy("bundle").agg(
-        F.collect_list(F.struct("page_id", "frame", "offset", "length")).alias("entries"))
+        F.collect_list(F.struct("page_id", "record_id", "frame", "offset", "length")).alias("entries"))
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 

@@ -10,20 +10,69 @@ from llm_util import SF, folder, rows
 from segmint.llm import op7_warc as M
 
 
+DATE = "2024-05-06T07:08:09Z"
+
+
 @settings(max_examples=100, deadline=None)
-@given(st.binary(max_size=300), st.one_of(st.none(), st.text(max_size=20)), st.one_of(st.none(), st.integers(0, 99)))
-def test_records_round_trip(payload, url, refers):
+@given(st.binary(max_size=300), st.one_of(st.none(), st.text(st.characters(exclude_categories=["Cs"]), max_size=20)),
+       st.one_of(st.none(), st.integers(0, 99)), st.one_of(st.none(), st.integers(0, 99)))
+def test_records_round_trip(payload, url, page, refers):
     d = hashlib.sha1(payload).hexdigest()
-    got = M.parse(M.record(7, url, payload, d, refers))
-    assert (got["page_id"], got["payload_bytes"], got["payload_digest"], got["refers_to"]) == (7, len(payload), d, refers)
-    assert got["payload"] == (payload if refers is None else None)
+    got = M.parse(M.record("urn:x:1", DATE, page, url, payload, d, refers, url))
+    assert (got["page_id"], got["payload_bytes"], got["payload_digest"], got["refers_to"]) == (page, len(payload), d, refers)
+    assert got["payload"] == (payload if refers is None else None) and got["record_id"] == "urn:x:1"
+    assert got["url"] == (None if url is None else url.replace("\r", "%0D").replace("\n", "%0A"))
+
+
+def strict(data):
+    """Records (headers, block) of a WARC file by the rules of the standard:
+    version line, fields, an empty line, Content-Length bytes, two line ends."""
+    out = []
+    while data:
+        head, _, rest = data.partition(b"\r\n\r\n")
+        version, *lines = head.decode().split("\r\n")
+        assert version == "WARC/1.1"
+        fields = dict(x.split(": ", 1) for x in lines)
+        assert len(fields) == len(lines)
+        n = int(fields["Content-Length"])
+        assert rest[n : n + 4] == b"\r\n\r\n"
+        out.append((fields, rest[:n]))
+        data = rest[n + 4 :]
+    return out
+
+
+def test_archives_are_valid_warc(spark):
+    big = "x" * 1000
+    pages = [(1, "http://h/1", big), (2, None, big), (2, None, big), (3, "http://h/3", "small"), (None, None, None), (3, "http://h/3", "small"),
+             (4, "http://h/4\r\nX: y", big)]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(2)
+    bundles = M.write_bundles(M.decisions(df), DATE).collect()
+    got = []
+    for b in bundles:
+        reader = zstandard.ZstdDecompressor().stream_reader(bytes(b.data), read_across_frames=True)
+        records = strict(reader.read())
+        assert [e.record_id for e in b.entries] == [f["WARC-Record-ID"][1:-1] for f, _ in records]
+        got += records
+    assert len(got) == len(pages)
+    assert len({f["WARC-Record-ID"] for f, _ in got}) == len(pages)
+    assert all(f["WARC-Record-ID"].startswith("<urn:uuid:") and f["WARC-Date"] == DATE and f["WARC-Target-URI"] for f, _ in got)
+    for f, block in got:
+        if f["WARC-Type"] == "revisit":
+            assert not block and f["WARC-Profile"] == M.PROFILE
+            assert f["WARC-Refers-To-Target-URI"] == "http://h/4%0D%0AX: y" and f["WARC-Refers-To-Date"] == DATE
+        else:
+            assert f["Content-Type"] == "application/http; msgtype=response"
+            http, _, body = block.partition(b"\r\n\r\n")
+            assert http.startswith(b"HTTP/1.1 200 OK\r\n") and f"Content-Length: {len(body)}".encode() in http
+            assert f["WARC-Payload-Digest"] == "sha1:" + hashlib.sha1(body).hexdigest()
+    assert sum(f["WARC-Type"] == "revisit" for f, _ in got) == 3
 
 
 def test_bundles_are_seekable_and_plain_zstd():
     w = M.BundleWriter()
     recs = [(i, bytes([i]) * (70_000 + i)) for i in range(12)]
     for i, r in recs:
-        w.add(i, r)
+        w.add(i, f"urn:x:{i}", r)
     b = w.close()
     table = M.seek_table(b["data"])
     assert len(table) > 3
