@@ -1,15 +1,18 @@
 """Quality rules as a bitmask ledger.
 
-Every rule is evaluated once per document: the ledger stores what was measured
-and one bit per failed rule. A policy is a versioned set of rules; its verdict
+Every rule is evaluated once per document: the ledger is a written table of
+what was measured and one bit per failed rule. A policy is a versioned set of rules; its verdict
 is ``failed & mask = 0``, so a new policy, or the effect of dropping a rule,
-needs no second look at any text. Ablations come from counting the distinct
+needs no second look at any text, and a rule appended later is evaluated on the
+stored measurements (``evaluate``). Ablations come from counting the distinct
 masks (at most 2^rules of them, map-side combined) and bitwise arithmetic on
 those counts.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Defined cases: a null or empty text has no
 words, all measurements 0, and fails ``too_short``; very long texts are
-measured whole; repeated rows are measured alike, each on its own.
+measured whole; repeated rows are measured alike, each on its own; an empty
+table gives an empty ledger and no ablations. The ledger holds ``keys`` and its
+own columns, no others, so names cannot clash except with a key (refused).
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper_words"]
 
 #: Rule name -> the condition (SQL over the measurements) under which it
@@ -101,16 +106,33 @@ def _measure(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([measure_text(t) for t in batch], columns=MEASURES, dtype="int64")
 
 
-def ledger(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """``keys``, the measurements and ``failed`` (bit k set: rule k failed)."""
-    measure = F.pandas_udf(_measure, ", ".join(f"{c} bigint" for c in MEASURES))
-    m = docs.select(*keys, measure(F.col(text)).alias("_m")).select(*keys, "_m.*")
+def evaluate(led: DataFrame) -> DataFrame:
+    """``led`` with ``failed`` (bit k set: rule k failed) of the present rules,
+    from the measurements alone."""
     bits = [F.when(F.expr(cond), F.lit(rule_bit(r)).cast("long")).otherwise(F.lit(0).cast("long"))
             for r, cond in RULES.items()]
     failed = bits[0]
     for b in bits[1:]:
         failed = failed.bitwiseOR(b)
-    return m.withColumn("failed", failed)
+    return led.withColumn("failed", failed)
+
+
+def ledger(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """``keys``, the measurements and ``failed``; ``write_ledger`` stores it."""
+    if clash := {k.lower() for k in keys} & {*MEASURES, "failed"}:
+        raise ValueError(f"keys with names of the ledger: {sorted(clash)}")
+    measure = F.pandas_udf(_measure, ", ".join(f"{c} bigint" for c in MEASURES))
+    return evaluate(docs.select(*keys, measure(F.col(text)).alias("_m")).select(*keys, "_m.*"))
+
+
+def write_ledger(docs: DataFrame, path: str | None = None, keys: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """The ledger as a table: at ``path``, where later runs read it, or in the
+    shared folder. Policies, ablations and new rules read it, never a text."""
+    led = ledger(docs, keys, text)
+    if path is None:
+        return materialize(led, "rule-ledger")
+    led.write.parquet(path)
+    return docs.sparkSession.read.schema(led.schema).parquet(path)
 
 
 def apply_policy(led: DataFrame, version: str = PRODUCTION, out: str = "kept") -> DataFrame:
@@ -123,13 +145,9 @@ def ablations(led: DataFrame) -> DataFrame:
     kept if the rule were dropped, and rejected by that rule alone. One
     aggregation to at most 2^rules distinct masks serves every policy."""
     masks = led.groupBy("failed").agg(F.count(F.lit(1)).alias("n"))
-    spark = led.sparkSession
-    rules = spark.createDataFrame(
-        [(v, r, policy_mask(v), rule_bit(r)) for v, rs in POLICIES.items() for r in rs],
-        "policy string, rule string, mask bigint, bit bigint")
     at = masks.withColumn("r", F.explode(F.array(*[
-        F.struct(F.lit(x["policy"]).alias("policy"), F.lit(x["rule"]).alias("rule"),
-                 F.lit(x["mask"]).alias("mask"), F.lit(x["bit"]).alias("bit")) for x in rules.collect()])))
+        F.struct(F.lit(v).alias("policy"), F.lit(r).alias("rule"), F.lit(policy_mask(v)).cast("long").alias("mask"),
+                 F.lit(rule_bit(r)).cast("long").alias("bit")) for v, rs in POLICIES.items() for r in rs])))
     f = F.col("failed")
     hit = f.bitwiseAND(F.col("r.mask"))
     kept = F.when(hit == 0, F.col("n")).otherwise(0)
@@ -139,9 +157,10 @@ def ablations(led: DataFrame) -> DataFrame:
 
 
 def q_op4(spark, sf):
-    """All rows of ``documents`` under the production policy."""
+    """All rows of ``documents`` under the production policy: the stored
+    ledger is what the policies read."""
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    led = apply_policy(ledger(docs))
+    led = apply_policy(write_ledger(docs))
     base = F.col("failed").bitwiseAND(F.lit(policy_mask("base")).cast("long")) != 0
     return led.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       base.alias("base_failed"), "kept", F.col("failed").alias("failed_bits"))

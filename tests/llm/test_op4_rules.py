@@ -62,6 +62,22 @@ def test_policies_and_ablations(spark):
     assert {r["kept"] for r in rows(M.apply_policy(led, "v1"))} == {True, False}
 
 
+def test_policies_read_the_stored_ledger(spark, monkeypatch, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for led in (M.write_ledger(docs), M.write_ledger(docs, str(tmp_path / "ledger"))):
+        plan = M.apply_policy(led, "v1")._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "text" not in plan
+    want = {r["doc_id"]: r["n_words"] < 100 for r in rows(led)}
+    was = {r["doc_id"]: r["failed"] for r in rows(led)}
+    monkeypatch.setitem(M.RULES, "under_100", "n_words < 100")
+    new = M.evaluate(spark.read.parquet(str(tmp_path / "ledger")))
+    bit = M.rule_bit("under_100")
+    assert {r["doc_id"]: r["failed"] for r in rows(new)} == {i: f | bit * want[i] for i, f in was.items()}
+    assert any(want.values()) and not all(want.values())
+    with pytest.raises(ValueError, match="failed"):
+        M.ledger(docs.withColumn("failed", docs.doc_id), ("doc_id", "failed"))
+
+
 def test_every_rule_can_fail(spark):
     texts = ["a b", "one two three four five " * 9, "a### b*** " * 20, "same line here\n" * 9 + "x " * 9, "LOUD WORDS " * 20, "a " * 30]
     df = spark.createDataFrame([doc(i, t) for i, t in enumerate(texts)], DOCS)
