@@ -17,7 +17,11 @@ counts have not seen.
 
 Defined cases: a null, empty or wordless text has no segment and the
 probability of a text without one; without labels of both kinds every score
-is 0; repeated rows are scored alike; very long texts are scanned whole.
+is 0; repeated rows are scored alike, but an id counts once in the fit (with
+its larger label); very long texts are scanned whole; of equally good segments
+the shorter stands, and words that tie in the ratio all score; an empty table
+gives no rows. ``score`` replaces a column that is already named like its
+output, and keeps all others.
 """
 
 from __future__ import annotations
@@ -201,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Toxic
         # Mean of the Gumbel law: log K + Euler's constant, over quiet texts
         # that have a segment at all.
         k = rows.where("seen and toxic = 0").select(maxima("text").alias("m")).select("m.*")
-        mean = k.where(~F.isnan("best")).agg(F.avg("best").alias("b"), F.count("*").alias("n")).first()
+        mean = k.where(F.col("best").isNotNull() & ~F.isnan("best")).agg(F.avg("best").alias("b"), F.count("*").alias("n")).first()
         share = (mean["n"] or 0) / n0
         model.log_k = (mean["b"] or 0.0) - 0.5772 + math.log(max(share, 1e-3))
 
