@@ -25,7 +25,9 @@ then found by Spark joins.
 
 Defined cases: a null text, or one without words, has fingerprint zero and is
 linked like any other; fewer than 4 words make one shingle; repeated rows and
-ids share a component; a component all of whose ids are null has a null id.
+ids share a component; a component all of whose ids are null has a null id. A
+bit set in exactly half of the shingles is 0; very long texts are read whole; an
+empty table gives no rows.
 """
 
 from __future__ import annotations

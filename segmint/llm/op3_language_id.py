@@ -13,7 +13,11 @@ vector of logits per distinct word, computed once per worker.
 
 Defined cases: a null text or one without any letter is ``und`` with score 0;
 so is every text if no row is labelled; an unknown language below the
-rejection threshold is ``und`` for ``detect`` unless ``reject`` is off.
+rejection threshold is ``und`` for ``detect`` unless ``reject`` is off. Very
+long texts are averaged whole; of languages with equal probability the first in
+order of value is taken; repeated rows are predicted alike; an empty table gives
+no rows. A column that is already named like the output is replaced, all others
+are kept.
 """
 
 from __future__ import annotations

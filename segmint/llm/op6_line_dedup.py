@@ -304,7 +304,7 @@ def line_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
 def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", out: str = "dedup") -> DataFrame:
     """``docs`` with ``text`` without the lines that go, and struct ``out``:
-    lines, removed, classes, links. Its name must be free."""
+    lines, removed, classes, links (replaced where it exists)."""
     mark = written(docs.sparkSession)
     found = materialize(line_classes(docs, text, doc_id), "line-decisions")
     release_since(docs.sparkSession, mark, keep=("line-decisions",))

@@ -12,7 +12,9 @@ of chunks, so memory is bounded and results do not depend on it.
 Models that do not have these properties are refused (``Chunks`` raises).
 Defined cases: a null text counts as empty and has no ids; a text of spaces,
 texts with U+2581, and texts of one very long word are encoded as the library
-does; null id lists decode to ''.
+does; null id lists decode to ''. Repeated rows are encoded alike, each on its
+own; very long texts are encoded whole; an empty table gives no rows; an output
+column's name that is taken is replaced, all others are kept.
 """
 
 from __future__ import annotations
@@ -172,7 +174,7 @@ def round_trip_column(text: Column, model: bytes) -> Column:
 
 
 def encode_decode(docs: DataFrame, model_path: str, text: str = "text", out: str = "pieces") -> DataFrame:
-    """Adds struct ``out`` (its name must be free) of the ids and the text they
+    """Adds struct ``out`` (replaced where it exists) of the ids and the text they
     decode to; other columns stay."""
     return docs.withColumn(out, round_trip_column(F.col(text), read_model(model_path)))
 

@@ -15,7 +15,11 @@ look-up a word.
 Trained by stochastic gradient descent in numpy on a bounded, hash-chosen
 sample of rated rows, weighted back to the grades' shares in all rated rows.
 Defined cases: a null text or one without words has grade 0 and tails 0;
-without ratings of two grades nothing is rejected (all tails 1).
+without ratings of two grades nothing is rejected (all tails 1). Very long
+texts are read whole; repeated rows are scored alike, and an id with several
+ratings counts once with its highest; a tail equal to the limit is kept; an
+empty table gives no rows. A column that is already named like the output is
+replaced, all others are kept.
 """
 
 from __future__ import annotations
