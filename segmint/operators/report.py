@@ -74,6 +74,7 @@ def centroid_levels(centroids: DataFrame) -> DataFrame:
 
 def label_text(levels: DataFrame) -> DataFrame:
     """Default descriptive label: 'Cluster <id>: r=<r>, f=<f>, m=<m>'."""
+    # Fixed value: the text of the label is a required output format.
     return levels.withColumn("label", F.concat(
         F.lit("Cluster "), F.col("cluster").cast("string"), F.lit(": r="), F.col("r_bin").cast("string"),
         F.lit(", f="), F.col("f_bin").cast("string"), F.lit(", m="), F.col("m_bin").cast("string")))
