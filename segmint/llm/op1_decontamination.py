@@ -1,11 +1,16 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. Document frequencies of hashed terms over the passages of all documents.
-2. For each block of benchmark items, a randomised SVD of a TF-IDF matrix, made
+2. The TF-IDF rows of all different passages of all texts are added up, with
+   signs, in ``SKETCH`` sums chosen by their hash. The sums' leading directions
+   come to the driver, and one more pass over all passages measures their
+   products along these directions: a factor of RANK + OVERSAMPLE rows that
+   stands for the whole corpus, whatever its size.
+   For each block of benchmark items, a randomised SVD of a TF-IDF matrix, made
    by Spark: its rows are the block's items (weighted up, so that the latent
-   space spans what they say) and a bounded hash-chosen sample of passages.
-   Tasks return their part of X'(X Q), tasks sum the parts by block of terms,
-   and the driver only orthogonalises a matrix of fixed size.
+   space spans what they say) and that factor. Tasks return their part of
+   X'(X Q), tasks sum the parts by block of terms, and the driver only
+   orthogonalises a matrix of fixed size.
 3. Every passage (``WINDOW`` words, every ``STRIDE``) of every whole text is
    projected and compared by cosine with all items of the block. Projection is
    linear, so a text's vectors are summed once per stride and added up.
@@ -33,17 +38,15 @@ item id, null last.
 
 from __future__ import annotations
 
-import hashlib
 import itertools
 import math
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, release_since, written
@@ -54,8 +57,12 @@ TERMS = 1 << 14
 RANK = 128
 OVERSAMPLE = 8
 POWER_STEPS = 2
-#: Passages the latent spaces are fitted on, beside the items: the fit's bound.
-SAMPLE = 2_000
+#: Sums that all passages enter (by hash, with signs) to find the directions of
+#: the corpus, and partitions in which they are made.
+SKETCH = 512
+SKETCH_PARTS = 64
+#: All passages together weigh as much as this many: ones that are not repeated.
+CORPUS_WEIGHT = 2_000
 ITEM_WEIGHT = 3.0
 ITEMS = 256
 #: Blocks whose models a task holds at once (8 MB each, and up to 4 MB of sets).
@@ -164,32 +171,112 @@ def matrix_row(x: np.ndarray, idf: np.ndarray, weight: float) -> tuple[np.ndarra
     return at.astype(np.int32), (weight * v / max(1e-9, float(np.linalg.norm(v)))).astype(np.float32)
 
 
-def matrix_rows(docs: DataFrame, items: list, idf: np.ndarray, rate: float, text: str = "text", terms: str | None = None) -> DataFrame:
+def different_passages(docs: DataFrame, text: str = "text", terms: str | None = None) -> DataFrame:
+    """(slot, passage): every different passage of all texts once, as binary of
+    WINDOW terms. A slot is one of SKETCH sums (slot // 2), and a sign."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = 2 * WINDOW
+        for b in batches:
+            texts = read_terms(b.column(0))
+            while some := list(itertools.islice(texts, 4096)):
+                table = passage_table(some)
+                ends = pa.py_buffer(np.arange(len(table) + 1, dtype=np.int64) * size)
+                cells = pa.Array.from_buffers(pa.large_binary(), len(table), [None, ends, pa.py_buffer(table)])
+                yield pa.record_batch([cells.unique().cast(pa.binary())], names=["passage"])
+
+    x = docs.select(F.col(terms) if terms else terms_column(F.col(text))).mapInArrow(cut, "passage binary")
+    h = F.xxhash64("passage")
+    x = x.select((F.pmod(h, F.lit(SKETCH)) * 2 + F.when(h < 0, 1).otherwise(0)).cast("int").alias("slot"), "passage")
+    return x.repartition(SKETCH_PARTS, "slot").dropDuplicates(["slot", "passage"])
+
+
+def passage_values(column: pa.Array, idf: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, terms, length of the TF-IDF row) of some passages at a time;
+    ``idf`` has a zero for TERMS."""
+    for lo in range(0, len(column), 1024):
+        part = column[lo : lo + 1024]
+        table = np.frombuffer(b"".join(part.to_pylist()), np.uint16).reshape(len(part), WINDOW)
+        in_order = np.sort(table, axis=1)
+        new = np.ones(table.shape, bool)
+        new[:, 1:] = in_order[:, 1:] != in_order[:, :-1]
+        first = np.flatnonzero(new)
+        count = np.diff(first, append=new.size)
+        total = np.bincount(first // WINDOW, np.square(count * idf[in_order.ravel()[first]]), len(part))
+        yield lo, table, np.maximum(1e-9, np.sqrt(total))
+
+
+def matrix_rows(docs: DataFrame, items: list, idf: np.ndarray, weight: float, text: str = "text", terms: str | None = None) -> DataFrame:
     """Rows (at, value) of the TF-IDF matrix: items, and the different passages
-    of which about ``rate`` are chosen by a hash of their words."""
+    times ``weight``."""
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = int(rate * (1 << 32))
-        seen: set = set()  # chosen passages only
         for b in batches:
-            got, keys = [], []
-            for x in read_terms(b.column(0)):
-                for lo in range(0, len(x), WINDOW):
-                    data = x[lo : lo + WINDOW].tobytes()
-                    if zlib.crc32(data) < cut and (key := hashlib.blake2b(data, digest_size=16).digest()) not in seen:
-                        seen.add(key)
-                        keys.append(key)
-                        got.append(matrix_row(x[lo : lo + WINDOW], idf, 1.0))
-            yield pa.record_batch([pa.array(keys, pa.binary()), pa.array([a for a, _ in got], pa.list_(pa.int32())),
-                                   pa.array([v for _, v in got], pa.list_(pa.float32()))], names=["key", "at", "value"])
+            got = [np.frombuffer(x.as_py(), np.uint16) for x in b.column(0)]
+            got = [matrix_row(x[x < TERMS], idf, weight) for x in got]
+            yield pa.record_batch([pa.array([a for a, _ in got], pa.list_(pa.int32())),
+                                   pa.array([v for _, v in got], pa.list_(pa.float32()))], names=["at", "value"])
 
     schema = "at array<int>, value array<float>"
     own = [matrix_row(term_ids(w), idf, ITEM_WEIGHT) for _, w, _ in items]
     first = docs.sparkSession.createDataFrame([(a.tolist(), v.tolist()) for a, v in own], schema)
-    x = docs.select(F.col(terms) if terms else terms_column(F.col(text)))
-    chosen = x.mapInArrow(passages, "key binary, " + schema)
-    distinct = chosen.groupBy("key").agg(F.min(F.struct("at", "value")).alias("row"))
-    return first.union(distinct.select("row.at", "row.value"))
+    return first.union(different_passages(docs, text, terms).select("passage").mapInArrow(passages, schema))
+
+
+def corpus_factor(passages: DataFrame, idf: np.ndarray) -> tuple[np.ndarray, int]:
+    """(rows x TERMS matrix B, passages): B'B stands for X'X of the TF-IDF rows
+    X of all ``different_passages``, exactly so along the rows of B."""
+    idf = np.append(idf, 0.0)
+    width = TERMS + 1
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict = {}
+        for b in batches:
+            slots = b.column(0).to_numpy(zero_copy_only=False)
+            for lo, table, size in passage_values(b.column(1), idf):
+                own = slots[lo : lo + len(table)]
+                found, at = np.unique(own // 2, return_inverse=True)
+                value = idf[table] * ((1 - 2 * (own % 2)) / size)[:, None]
+                cell = at[:, None] * width + table
+                order = np.argsort(at, kind="stable")
+                ends = np.searchsorted(at[order], np.arange(len(found) + 1))
+                for k, slot in enumerate(found.tolist()):
+                    rows = order[ends[k] : ends[k + 1]]
+                    total = sums.setdefault(slot, np.zeros(width))
+                    np.add.at(total, (cell[rows] - k * width).ravel(), value[rows].ravel())
+        yield pa.record_batch([pa.array(list(sums), pa.int32()),
+                               pa.array([x[:TERMS].astype(np.float32).tobytes() for x in sums.values()], pa.binary())], names=["part", "data"])
+
+    schema = "part int, data binary"
+    got = passages.select("slot", "passage").mapInArrow(add, schema).groupBy("part").applyInPandas(_summed, schema).collect()
+    if not got:
+        return np.zeros((0, TERMS)), 0
+    sketch = np.stack([np.frombuffer(r["data"], np.float32) for r in sorted(got, key=lambda r: r["part"])])  # SKETCH rows at most
+    del got
+    value, vector = np.linalg.eigh((sketch @ sketch.T).astype(np.float64))
+    top = np.argsort(-value)[: RANK + OVERSAMPLE]
+    top = top[value[top] > 1e-6 * value[top[0]]]
+    q = np.linalg.qr((sketch.T @ vector[:, top].astype(np.float32)).astype(np.float64))[0]
+    weighted = np.append(idf[:TERMS, None] * q, np.zeros((1, q.shape[1])), axis=0).astype(np.float32)
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, n = np.zeros((weighted.shape[1],) * 2), 0
+        for b in batches:
+            for _, table, size in passage_values(b.column(0), idf):
+                y = np.concatenate([np.einsum("abc->ac", weighted.take(table[k : k + 128], axis=0)) for k in range(0, len(table), 128)])
+                y /= size[:, None].astype(np.float32)
+                out += y.T @ y
+                n += len(table)
+        yield pa.record_batch([pa.array([n]), pa.array([out.tobytes()], pa.binary())], names=["n", "data"])
+
+    def total(parts: pd.DataFrame) -> pd.DataFrame:
+        out = sum(np.frombuffer(x, np.float64) for x in parts["data"])
+        return pd.DataFrame({"n": [parts["n"].sum()], "data": [out.tobytes()]})
+
+    schema = "n bigint, data binary"
+    row = passages.select("passage").mapInArrow(products, schema).groupBy().applyInPandas(total, schema).first()
+    value, vector = np.linalg.eigh(np.frombuffer(row["data"]).reshape(len(top), -1))
+    return np.sqrt(np.maximum(value, 0))[:, None] * (q @ vector).T, row["n"]
 
 
 def _summed(parts: pd.DataFrame) -> pd.DataFrame:
@@ -205,13 +292,13 @@ def _product(rows: DataFrame, q: np.ndarray, gram: bool) -> np.ndarray:
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros((width, width) if gram else (TERMS, width), np.float32)
         for b in batches:
-            for at, value in zip(b.column(0), b.column(1), strict=True):
-                k, v = np.asarray(at.as_py(), np.int64), np.asarray(value.as_py(), np.float32)
-                y = v @ q[k]
-                if gram:
-                    out += np.outer(y, y)
-                else:
-                    out[k] += v[:, None] * y[None, :]
+            for lo in range(0, b.num_rows, 64):
+                some = b.slice(lo, 64)
+                x = np.zeros((some.num_rows, TERMS), np.float32)
+                for i, (at, value) in enumerate(zip(some.column(0), some.column(1), strict=True)):
+                    x[i, at.values.to_numpy()] = value.values.to_numpy()
+                y = x @ q
+                out += (y if gram else x).T @ y
         n = 1 if gram else TERM_PARTS
         yield pa.record_batch([pa.array(range(n), pa.int32()), pa.array([x.tobytes() for x in np.split(out, n)], pa.binary())],
                               names=["part", "data"])
@@ -221,6 +308,13 @@ def _product(rows: DataFrame, q: np.ndarray, gram: bool) -> np.ndarray:
     return np.concatenate([np.frombuffer(r["data"], np.float32).reshape(-1, width) for r in sorted(got, key=lambda r: r["part"])]).astype(np.float64)
 
 
+def factor_rows(spark: SparkSession, factor: np.ndarray) -> DataFrame:
+    """Rows (at, value) of a dense matrix of few rows."""
+    at = pa.array([np.arange(TERMS, dtype=np.int32)] * len(factor), pa.list_(pa.int32()))
+    value = pa.array(list(factor.astype(np.float32)), pa.list_(pa.float32()))
+    return spark.createDataFrame(pa.table({"at": at, "value": value}), "at array<int>, value array<float>")
+
+
 def randomised_svd(rows: DataFrame, rank: int = RANK, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
     """(TERMS x rank right singular vectors, singular values)."""
     q = np.random.default_rng(seed).normal(size=(TERMS, rank + OVERSAMPLE))
@@ -411,8 +505,8 @@ def hits_column(text: Column, terms: Column, models: list) -> Column:
 
 def fit_blocks(docs: DataFrame, benchmark: DataFrame, terms: str) -> Iterator:
     """A model per block of about ITEMS benchmark items; blocks are read and
-    fitted one at a time, as they are asked for. The sampled passages stay
-    written until ``release_since`` is called."""
+    fitted one at a time, as they are asked for. The corpus enters each as its
+    ``corpus_factor``, made once."""
     spark = docs.sparkSession
     bench = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("text is not null").distinct()
     n = bench.count()
@@ -421,9 +515,8 @@ def fit_blocks(docs: DataFrame, benchmark: DataFrame, terms: str) -> Iterator:
     parts = -(-n // ITEMS)
     df, passages = document_frequencies(docs, terms=terms)
     idf = np.log((passages + 1) / (df + 1)) + 1e-3
-    rate = min(1.0, SAMPLE / max(1, passages))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
-    sampled = None
+    corpus = None
     for k in range(parts):
         items = [prepare_item(r["item_id"], r["text"]) for r in bench.where(block == k).orderBy("item_id", "text").collect()]
         ready = lambda some: [(i, w, masks_of(w), a, masks_of(a)) for i, w, a in some]
@@ -433,10 +526,12 @@ def fit_blocks(docs: DataFrame, benchmark: DataFrame, terms: str) -> Iterator:
             if short:
                 yield None, None, [], term_sets(short), short
             continue
-        if sampled is None:  # the passages are the same for every block
-            sampled = materialize(matrix_rows(docs, [], idf, rate, terms=terms).coalesce(4), "latent-passages")
         mark = written(spark)
-        rows = materialize(matrix_rows(docs.limit(0), items, idf, 0.0, terms=terms).union(sampled).coalesce(4), "latent-rows")
+        if corpus is None:  # the passages are the same for every block
+            factor, different = corpus_factor(materialize(different_passages(docs, terms=terms), "latent-passages"), idf)
+            release_since(spark, mark)
+            corpus = factor_rows(spark, factor * math.sqrt(min(1.0, CORPUS_WEIGHT / max(1, different))))
+        rows = materialize(matrix_rows(docs.limit(0), items, idf, 0.0, terms=terms).union(corpus).coalesce(4), "latent-rows")
         v, _ = randomised_svd(rows)
         proj = (v * idf[:, None]).astype(np.float32)
         vectors = np.stack([proj[term_ids(w)].sum(0) for _, w, _ in items])
