@@ -101,7 +101,8 @@ def map_labels(df: DataFrame, names: dict[int, str], col: str = "Cluster",
 # joins back to customers and orders
 # ----------------------------------------------------------------------------
 def orders_with_segment(silver: DataFrame, assigned: DataFrame) -> DataFrame:
-    """Order lines + the customer's segment and favourite-category metrics.
+    """Order lines (or whole orders, which are fewer: any rows with a
+    CustomerID) + the customer's segment and favourite-category metrics.
 
     ``assigned`` has one row per customer, so the left join cannot fan out; a
     null CustomerID never matches and its lines skip the shuffle
@@ -109,7 +110,7 @@ def orders_with_segment(silver: DataFrame, assigned: DataFrame) -> DataFrame:
     right = assigned.select(F.col("CustomerID").cast("string").alias("CustomerID"),
                             F.col("cluster").alias("Cluster"), "Recency", "Frequency", "MonetaryValue")
     return left_lookup(silver.withColumn("CustomerID", F.col("CustomerID").cast("string")), right, "CustomerID",
-                       salt_cols=LINE_SALT)
+                       salt_cols=[c for c in LINE_SALT if c in silver.columns] or None)
 
 
 def audience_export(assigned: DataFrame, labels: DataFrame) -> DataFrame:

@@ -201,7 +201,10 @@ def q_score_gold(spark, sf):
 
 
 def q_orders_with_segment(spark, sf):
-    return rep.orders_with_segment(silver(spark, sf), assigned(spark, sf))
+    """Silver lines with their customer's segment. The segment joins the
+    orders: a line is not shuffled for what its order has."""
+    asg = assigned(spark, sf)
+    return load_typed_silver(spark, sf, per_order=lambda orders: rep.orders_with_segment(orders, asg))
 
 
 def q_map_labels(spark, sf):

@@ -8,6 +8,7 @@ order lines, the distributed replacement for a spreadsheet read on one machine.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,15 +45,21 @@ def unique_dim(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
     return df.groupBy(key).agg(*[F.max(c).alias(c) for c in cols])
 
 
-def _lines(spark: SparkSession, sf_dir: str, product: DataFrame, product_cols: list[str]) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str, product: DataFrame, product_cols: list[str],
+           per_order: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """lineitem ⋈ orders, then left lookups of product and customer country.
 
     lineitem/orders are the facts (inner join: a line needs its order's date
     and customer). Product and customer attributes are lookups on unique keys:
     a missing attribute leaves a null instead of dropping the sale, and an
-    unused lookup costs nothing. Sizes are left to the planner/AQE (runtime,
-    size-checked broadcast); a part or customer that holds a large share of
-    the lines is split by AQE (``split_join``).
+    unused lookup costs nothing. The country joins the orders, so no line is
+    shuffled for it. Sizes are left to the planner/AQE (runtime, size-checked
+    broadcast); a part or customer that holds a large share of the lines is
+    split by AQE (``split_join``).
+
+    ``per_order`` may add columns that depend on the order alone (its
+    CustomerID, say) to the orders, one row out for each row in; they follow
+    the lines' own columns.
     """
     li = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag")
@@ -62,9 +69,16 @@ def _lines(spark: SparkSession, sf_dir: str, product: DataFrame, product_cols: l
         _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"),
         "c_custkey", ["n_name"])
+    od = split_join(od, cust, F.col("o_custkey"), F.col("c_custkey")).select(
+        "o_orderkey", "o_custkey", "o_orderdate", F.col("n_name").alias("Country"))
+    customer = F.col("o_custkey").cast("string").alias("CustomerID")
+    order_cols = []
+    if per_order is not None:
+        plain = od.columns
+        od = per_order(od.select(*plain, customer)).drop("CustomerID")
+        order_cols = [c for c in od.columns if c not in plain]
     j = li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
     j = split_join(j, product, F.col("l_partkey"), F.col("p_partkey"))
-    j = split_join(j, cust, F.col("o_custkey"), F.col("c_custkey"))
     sign = F.when(F.col("l_returnflag") == "R", F.lit(-1)).otherwise(F.lit(1))
     return j.select(
         F.col("o_orderkey").cast("string").alias("InvoiceNo"),
@@ -73,10 +87,11 @@ def _lines(spark: SparkSession, sf_dir: str, product: DataFrame, product_cols: l
         (F.col("l_quantity").cast("bigint") * sign).alias("Quantity"),
         F.col("o_orderdate").alias("InvoiceDate"),
         F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("UnitPrice"),
-        F.col("o_custkey").cast("string").alias("CustomerID"),
-        F.col("n_name").alias("Country"),
+        customer,
+        "Country",
         (F.col("l_extendedprice") * sign).cast(MONEY).alias("SalesAmount"),
         *product_cols,
+        *order_cols,
     )
 
 
@@ -86,17 +101,19 @@ def load_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark, sf_dir, part, [])
 
 
-def load_typed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_typed_silver(spark: SparkSession, sf_dir: str,
+                      per_order: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Silver order lines whose category is the structured ``p_type``.
 
     The id is attached to the product dimension (part ⋈ type labels) before
     the lines meet it, so the big side joins once, on ``l_partkey``.
+    ``per_order``: columns added to the orders before they meet the lines.
     """
     labels = product_types(spark, sf_dir)
     part = (unique_dim(_table(spark, sf_dir, "part"), "p_partkey", ["p_name", "p_type"])
             .join(labels, F.col("p_type") == F.col("ProductCategoryName"), "left")
             .select("p_partkey", "p_name", "ProductCategoryID", "ProductCategoryName"))
-    return _lines(spark, sf_dir, part, ["ProductCategoryID", "ProductCategoryName"])
+    return _lines(spark, sf_dir, part, ["ProductCategoryID", "ProductCategoryName"], per_order)
 
 
 def read_orders(spark: SparkSession, path: str, fmt: str = "csv", header: bool = True) -> DataFrame:

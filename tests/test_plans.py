@@ -61,3 +61,27 @@ def test_left_lookup_null_rows(spark):
     right = spark.createDataFrame([("a", 10)], "k string, w int")
     got = sorted(left_lookup(left, right, "k").collect(), key=lambda r: r.v)
     assert [(r.k, r.v, r.w) for r in got] == [(None, 1, None), (None, 2, None), ("a", 3, 10), ("b", 4, None)]
+
+
+def test_lines_are_not_shuffled_for_what_their_order_has(spark):
+    import re
+    off = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in off}
+    for k in off:
+        spark.conf.set(k, "-1")
+    try:
+        lines = plan(C.q_orders_with_segment(spark, SF)).splitlines()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    depth = [len(re.match(r"[\s:|+*-]*", x)[0]) for x in lines]
+    scans = [i for i, x in enumerate(lines) if "lineitem.parquet" in x and "Scan" in x]
+    assert scans
+    for i in scans:
+        above, at = [], depth[i]
+        for k in range(i, -1, -1):
+            if depth[k] < at:
+                at = depth[k]
+                above.append(lines[k])
+        # by order and by product: country and segment join the orders
+        assert sum("Exchange hashpartitioning" in x for x in above) == 2
