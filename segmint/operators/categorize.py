@@ -73,6 +73,14 @@ def term_frequency(tok: DataFrame, id_col: str) -> DataFrame:
     return tok.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def dealt_by_id(docs: DataFrame, id_col: str, most: int = 1_000) -> DataFrame:
+    """``docs`` dealt by id, so that the terms of a document are counted where
+    it lies and no (id, token) row is shuffled. Where an id (null, say) has more
+    than ``most`` rows they stay spread, and its counts are shuffled by token."""
+    rows = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    return docs.repartition(id_col) if rows <= most else docs
+
+
 def hashed_tf(docs: DataFrame, id_col: str, text_col: str, num_features: int = 4096) -> DataFrame:
     """(id, bucket, tf): hashed term counts as the ML pipeline makes them
     (MurmurHash3 of the UTF-8 bytes, seed 42, modulo ``num_features``; tokens
@@ -116,13 +124,13 @@ def tfidf_terms(docs: DataFrame, tok: DataFrame, id_col: str, min_doc_freq: int
     # once (shared checkpoint folder) and both branches below read it.
     tf = materialize(term_frequency(tok, id_col), "term_frequency")
     # one row per (doc, term) already: df is a count over tf (partial
-    # aggregation absorbs a hot term); the join back is one that AQE can
-    # broadcast (vocabulary) or split when one term is skewed.
+    # aggregation absorbs a hot term); the join back hashes a part of the
+    # vocabulary, so the tf table is not sorted, and AQE can split a hot term.
     dfreq = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     idf = F.when(F.col("df") >= min_doc_freq,
                  F.log(F.lit(float(n_docs + 1)) / (F.col("df") + F.lit(1.0)))).otherwise(F.lit(0.0))
     dfreq = dfreq.withColumnRenamed("token", "_term")
-    return (split_join(tf, dfreq, F.col("token"), F.col("_term"), "inner")
+    return (split_join(tf, dfreq.hint("shuffle_hash"), F.col("token"), F.col("_term"), "inner")
             .withColumn("idf_raw", idf)
             .select(id_col, "token", "tf", "df",
                     F.round(F.col("idf_raw"), digits).alias("idf"),

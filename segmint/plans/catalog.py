@@ -255,7 +255,7 @@ def q_term_frequency(spark, sf):
 
 
 def q_tfidf_terms(spark, sf):
-    docs = _documents(spark, sf)
+    docs = cat.dealt_by_id(_documents(spark, sf), "doc_id")
     return cat.tfidf_terms(docs, cat.token_rows(docs, "doc_id", "text"), "doc_id")
 
 

@@ -52,3 +52,30 @@ def test_pipeline_pieces_join(spark):
     s = {r.InvoiceNo: (r.ProductCategoryID, r.ProductCategoryName)
          for r in cat.attach_category(bronze, categorized, labels).collect()}
     assert s == {"1": (0, "boxes"), "2": (None, None)}
+
+
+def test_tfidf_does_not_sort_terms_or_shuffle_tokens(spark):
+    off = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in off}
+    rows = [(1, "red fish red"), (2, "blue fish"), (2, "blue blue"), (None, "red"), (None, "red"), (3, None)]
+    docs = spark.createDataFrame(rows, "id int, t string")
+
+    def terms(most):
+        dealt = cat.dealt_by_id(docs, "id", most)
+        tok = cat.token_rows(dealt, "id", "t")
+        return cat.term_frequency(tok, "id"), cat.tfidf_terms(dealt, tok, "id")
+
+    for k in off:
+        spark.conf.set(k, "-1")
+    try:
+        (tf, near), (_, spread) = terms(2), terms(1)
+        p, q = (x._jdf.queryExecution().executedPlan().toString() for x in (tf, near))
+        got = [sorted(map(str, x.collect())) for x in (near, spread)]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "ShuffledHashJoin" in q and "SortMergeJoin" not in q
+    assert "hashpartitioning(id" in p and ", token" not in "".join(x for x in p.splitlines() if "Exchange" in x)
+    assert got[0] == got[1] and len(got[0]) == 5
+    assert {(r.id, r.token): r.tf for r in near.collect()} == {
+        (1, "red"): 2, (1, "fish"): 1, (2, "blue"): 3, (2, "fish"): 1, (None, "red"): 2}
