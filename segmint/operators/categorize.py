@@ -78,7 +78,10 @@ def dealt_by_id(docs: DataFrame, id_col: str, most: int = 1_000) -> DataFrame:
     it lies and no (id, token) row is shuffled. Where an id (null, say) has more
     than ``most`` rows they stay spread, and its counts are shuffled by token."""
     rows = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    return docs.repartition(id_col) if rows <= most else docs
+    if rows > most:
+        return docs
+    # A number that AQE keeps: texts grow when they are split into terms.
+    return docs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), id_col)
 
 
 def hashed_tf(docs: DataFrame, id_col: str, text_col: str, num_features: int = 4096) -> DataFrame:
