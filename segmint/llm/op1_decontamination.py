@@ -2,15 +2,16 @@
 
 1. Document frequencies of hashed terms over the passages of all documents.
 2. The TF-IDF rows of all different passages of all texts are added up, with
-   signs, in ``SKETCH`` sums chosen by their hash. The sums' leading directions
-   come to the driver, and one more pass over all passages measures their
-   products along these directions: a factor of RANK + OVERSAMPLE rows that
-   stands for the whole corpus, whatever its size.
+   signs, in ``SKETCH`` sums chosen by their hash. The sums stay in tasks, cut by
+   block of terms; their leading directions come to the driver, and one more
+   pass over all passages measures their products along these directions: a
+   factor of RANK + OVERSAMPLE rows that stands for the whole corpus, whatever
+   its size.
    For each block of benchmark items, a randomised SVD of a TF-IDF matrix, made
    by Spark: its rows are the block's items (weighted up, so that the latent
    space spans what they say) and that factor. Tasks return their part of
    X'(X Q), tasks sum the parts by block of terms, and the driver only
-   orthogonalises a matrix of fixed size.
+   orthogonalises a matrix of fixed size (9 MB, in float32).
 3. Every passage (``WINDOW`` words, every ``STRIDE``) of every whole text is
    projected and compared by cosine with all items of the block. Projection is
    linear, so a text's vectors are summed once per stride and added up.
@@ -244,20 +245,49 @@ def corpus_factor(passages: DataFrame, idf: np.ndarray) -> tuple[np.ndarray, int
                     rows = order[ends[k] : ends[k + 1]]
                     total = sums.setdefault(slot, np.zeros(width))
                     np.add.at(total, (cell[rows] - k * width).ravel(), value[rows].ravel())
-        yield pa.record_batch([pa.array(list(sums), pa.int32()),
-                               pa.array([x[:TERMS].astype(np.float32).tobytes() for x in sums.values()], pa.binary())], names=["part", "data"])
+        for slot, total in sums.items():
+            cuts = np.split(total[:TERMS].astype(np.float32), TERM_PARTS)
+            yield pa.record_batch([pa.array(range(TERM_PARTS), pa.int32()), pa.array([slot] * TERM_PARTS, pa.int32()),
+                                   pa.array([x.tobytes() for x in cuts], pa.binary())], names=["part", "slot", "data"])
+
+    def block(parts: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros((SKETCH, TERMS // TERM_PARTS), np.float32)
+        for slot, data in zip(parts["slot"], parts["data"], strict=True):
+            out[slot] += np.frombuffer(data, np.float32)
+        return pd.DataFrame({"part": [parts["part"].iloc[0]], "data": [out.tobytes()]})
+
+    def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, n = np.zeros((SKETCH, SKETCH)), 0
+        for b in batches:
+            for data in b.column(0):
+                x = np.frombuffer(data.as_py(), np.float32).reshape(SKETCH, -1).astype(np.float64)
+                out += x @ x.T
+                n += 1
+        yield pa.record_batch([pa.array([n]), pa.array([out.tobytes()], pa.binary())], names=["n", "data"])
 
-    schema = "part int, data binary"
-    got = passages.select("slot", "passage").mapInArrow(add, schema).groupBy("part").applyInPandas(_summed, schema).collect()
-    if not got:
-        return np.zeros((0, TERMS)), 0
-    sketch = np.stack([np.frombuffer(r["data"], np.float32) for r in sorted(got, key=lambda r: r["part"])])  # SKETCH rows at most
-    del got
-    value, vector = np.linalg.eigh((sketch @ sketch.T).astype(np.float64))
+    def total(parts: pd.DataFrame) -> pd.DataFrame:
+        out = sum(np.frombuffer(x, np.float64) for x in parts["data"])
+        return pd.DataFrame({"n": [parts["n"].sum()], "data": [out.tobytes()]})
+
+    schema, summed = "part int, data binary", "n bigint, data binary"
+    cuts = passages.select("slot", "passage").mapInArrow(add, "part int, slot int, data binary")
+    sketch = materialize(cuts.groupBy("part").applyInPandas(block, schema), "latent-sketch")
+    row = sketch.select("data").mapInArrow(gram, summed).groupBy().applyInPandas(total, summed).first()
+    if not row or not row["n"]:
+        return np.zeros((0, TERMS), np.float32), 0
+    value, vector = np.linalg.eigh(np.frombuffer(row["data"]).reshape(SKETCH, SKETCH))
     top = np.argsort(-value)[: RANK + OVERSAMPLE]
     top = top[value[top] > 1e-6 * value[top[0]]]
-    q = np.linalg.qr((sketch.T @ vector[:, top].astype(np.float32)).astype(np.float64))[0]
-    weighted = np.append(idf[:TERMS, None] * q, np.zeros((1, q.shape[1])), axis=0).astype(np.float32)
+    leading = vector[:, top].astype(np.float32)
+
+    def along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [np.frombuffer(x.as_py(), np.float32).reshape(SKETCH, -1).T @ leading for x in b.column(1)]
+            yield pa.record_batch([b.column(0), pa.array([x.tobytes() for x in got], pa.binary())], names=["part", "data"])
+
+    q = _orthonormal(_collected(sketch.mapInArrow(along, schema), len(top)))
+    weighted = np.zeros((width, len(top)), np.float32)
+    np.multiply(q, idf[:TERMS, None], out=weighted[:TERMS], casting="same_kind")
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, n = np.zeros((weighted.shape[1],) * 2), 0
@@ -269,14 +299,9 @@ def corpus_factor(passages: DataFrame, idf: np.ndarray) -> tuple[np.ndarray, int
                 n += len(table)
         yield pa.record_batch([pa.array([n]), pa.array([out.tobytes()], pa.binary())], names=["n", "data"])
 
-    def total(parts: pd.DataFrame) -> pd.DataFrame:
-        out = sum(np.frombuffer(x, np.float64) for x in parts["data"])
-        return pd.DataFrame({"n": [parts["n"].sum()], "data": [out.tobytes()]})
-
-    schema = "n bigint, data binary"
-    row = passages.select("passage").mapInArrow(products, schema).groupBy().applyInPandas(total, schema).first()
+    row = passages.select("passage").mapInArrow(products, summed).groupBy().applyInPandas(total, summed).first()
     value, vector = np.linalg.eigh(np.frombuffer(row["data"]).reshape(len(top), -1))
-    return np.sqrt(np.maximum(value, 0))[:, None] * (q @ vector).T, row["n"]
+    return (vector * np.sqrt(np.maximum(value, 0))).T.astype(np.float32) @ q.T, row["n"]
 
 
 def _summed(parts: pd.DataFrame) -> pd.DataFrame:
@@ -284,10 +309,38 @@ def _summed(parts: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": [parts["part"].iloc[0]], "data": [total.tobytes()]})
 
 
+def _collected(parts: DataFrame, width: int) -> np.ndarray:
+    """The matrix (float32, ``width`` columns) whose blocks of rows are the
+    ``data`` of ``parts``, in the order of ``part``."""
+    got = sorted(parts.collect(), key=lambda r: r["part"], reverse=True)
+    out = np.empty((sum(len(r["data"]) for r in got) // (4 * width), width), np.float32)
+    at = 0
+    while got:  # blocks go as they are copied
+        x = np.frombuffer(got.pop()["data"], np.float32).reshape(-1, width)
+        out[at : at + len(x)] = x
+        at += len(x)
+    return out
+
+
+def _orthonormal(y: np.ndarray) -> np.ndarray:
+    """Orthonormal columns (float32) that span those of ``y``: QR of blocks of
+    rows, then of their triangles, so the whole is never held in float64."""
+    n = max(1, len(y) // max(2048, y.shape[1]))
+    cuts = [len(y) * k // n for k in range(n + 1)]
+    out, triangles = np.empty((len(y), min(y.shape)), np.float32), []
+    for lo, hi in itertools.pairwise(cuts):
+        out[lo:hi], r = np.linalg.qr(y[lo:hi].astype(np.float64))
+        triangles.append(r)
+    small = np.split(np.linalg.qr(np.concatenate(triangles))[0].astype(np.float32), n)
+    for (lo, hi), x in zip(itertools.pairwise(cuts), small, strict=True):
+        out[lo:hi] = out[lo:hi] @ x
+    return out
+
+
 def _product(rows: DataFrame, q: np.ndarray, gram: bool) -> np.ndarray:
-    """X'(X q) for a matrix X of few rows spread over tasks, or (X q)'(X q)."""
+    """X'(X q) for a matrix X of few rows spread over tasks, or (X q)'(X q); q
+    (float32) is what each task is sent."""
     width = q.shape[1]
-    q = q.astype(np.float32)  # what each task is sent
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros((width, width) if gram else (TERMS, width), np.float32)
@@ -304,25 +357,29 @@ def _product(rows: DataFrame, q: np.ndarray, gram: bool) -> np.ndarray:
                               names=["part", "data"])
 
     schema = "part int, data binary"
-    got = rows.mapInArrow(part, schema).groupBy("part").applyInPandas(_summed, schema).collect()
-    return np.concatenate([np.frombuffer(r["data"], np.float32).reshape(-1, width) for r in sorted(got, key=lambda r: r["part"])]).astype(np.float64)
+    return _collected(rows.mapInArrow(part, schema).groupBy("part").applyInPandas(_summed, schema), width)
 
 
 def factor_rows(spark: SparkSession, factor: np.ndarray) -> DataFrame:
-    """Rows (at, value) of a dense matrix of few rows."""
-    at = pa.array([np.arange(TERMS, dtype=np.int32)] * len(factor), pa.list_(pa.int32()))
-    value = pa.array(list(factor.astype(np.float32)), pa.list_(pa.float32()))
-    return spark.createDataFrame(pa.table({"at": at, "value": value}), "at array<int>, value array<float>")
+    """Rows (at, value) of a dense matrix (float32) of few rows, made by tasks."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = factor[b.column(0).to_numpy()]
+            yield pa.record_batch([pa.array([np.arange(TERMS, dtype=np.int32)] * len(own), pa.list_(pa.int32())),
+                                   pa.array(list(own), pa.list_(pa.float32()))], names=["at", "value"])
+
+    return spark.range(len(factor), numPartitions=4).mapInArrow(rows, "at array<int>, value array<float>")
 
 
 def randomised_svd(rows: DataFrame, rank: int = RANK, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
-    """(TERMS x rank right singular vectors, singular values)."""
-    q = np.random.default_rng(seed).normal(size=(TERMS, rank + OVERSAMPLE))
+    """(TERMS x rank right singular vectors in float32, singular values)."""
+    q = np.random.default_rng(seed).normal(size=(TERMS, rank + OVERSAMPLE)).astype(np.float32)
     for _ in range(1 + POWER_STEPS):
-        q = np.linalg.qr(_product(rows, q, False))[0]
-    value, vector = np.linalg.eigh(_product(rows, q, True))
+        q = _orthonormal(_product(rows, q, False))
+    value, vector = np.linalg.eigh(_product(rows, q, True).astype(np.float64))
     order = np.argsort(-value)[:rank]
-    return q @ vector[:, order], np.sqrt(np.maximum(value[order], 0))
+    return q @ vector[:, order].astype(np.float32), np.sqrt(np.maximum(value[order], 0))
 
 
 _SENTENCE = re.compile(r"[.!?]+\s+|\n+")
@@ -526,14 +583,18 @@ def fit_blocks(docs: DataFrame, benchmark: DataFrame, terms: str) -> Iterator:
             if short:
                 yield None, None, [], term_sets(short), short
             continue
-        mark = written(spark)
         if corpus is None:  # the passages are the same for every block
+            mark = written(spark)
             factor, different = corpus_factor(materialize(different_passages(docs, terms=terms), "latent-passages"), idf)
             release_since(spark, mark)
-            corpus = factor_rows(spark, factor * math.sqrt(min(1.0, CORPUS_WEIGHT / max(1, different))))
+            factor *= math.sqrt(min(1.0, CORPUS_WEIGHT / max(1, different)))
+            corpus = materialize(factor_rows(spark, factor), "latent-factor")
+            del factor
+        mark = written(spark)
         rows = materialize(matrix_rows(docs.limit(0), items, idf, 0.0, terms=terms).union(corpus).coalesce(4), "latent-rows")
         v, _ = randomised_svd(rows)
-        proj = (v * idf[:, None]).astype(np.float32)
+        proj = v * idf[:, None].astype(np.float32)
+        del v
         vectors = np.stack([proj[term_ids(w)].sum(0) for _, w, _ in items])
         vectors /= np.maximum(1e-9, np.linalg.norm(vectors, axis=1, keepdims=True))
         release_since(spark, mark)

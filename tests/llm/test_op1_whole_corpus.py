@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -46,3 +47,35 @@ def test_passages_that_a_hash_would_leave_out_shape_the_model(spark, monkeypatch
     own = set(M.text_terms(item).tolist())
     energy = sum(v * v for r in fitted for k, v in zip(r["at"], r["value"], strict=True) if k not in own)
     assert energy > 0.1 * M.CORPUS_WEIGHT
+
+
+def test_the_driver_holds_little_of_the_fit(spark, monkeypatch):
+    texts = [prose(k, 90 + k) for k in range(120)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").select("text", M.terms_column(M.F.col("text")).alias("terms")).repartition(4)
+    benchmark = spark.createDataFrame([(k, prose(500 + k, 30)) for k in range(20)], "item_id bigint, text string")
+    sent, collect = [], type(docs).collect
+
+    def counted(self):
+        got = collect(self)
+        sent.append(sum(len(r["data"]) for r in got if "data" in r))
+        return got
+
+    monkeypatch.setattr(type(docs), "collect", counted)
+    tracemalloc.start()
+    try:
+        list(M.fit_blocks(docs, benchmark, "terms"))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    thin = 4 * M.TERMS * (M.RANK + M.OVERSAMPLE)  # 9 MB
+    assert max(sent) <= thin  # not the sums of the corpus (34 MB)
+    assert most < 8 * thin
+
+
+def test_orthonormal_columns_span_the_same():
+    rng = np.random.default_rng(3)
+    for shape in ((5000, 40), (64, 14), (4, 9)):
+        y = rng.normal(size=shape).astype(np.float32) * np.logspace(0, -4, shape[1], dtype=np.float32)
+        q = M._orthonormal(y)
+        assert q.shape == (shape[0], min(shape)) and np.allclose(q.T @ q, np.eye(min(shape)), atol=1e-5)
+        assert np.allclose(q @ (q.T @ y), y, atol=1e-5)
