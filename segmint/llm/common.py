@@ -4,8 +4,10 @@ splitting and per-worker word tables."""
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,3 +136,11 @@ def blocks(batch, n: int = 256):
     """Lists of at most ``n`` values of a pandas series."""
     for lo in range(0, len(batch), n):
         yield batch.iloc[lo : lo + n].tolist()
+
+
+def arrow_blocks(batches: Iterator[pa.Array], n: int = 256) -> Iterator[list]:
+    """Lists of at most ``n`` values of Arrow arrays: a batch of whole texts is
+    never held a second time as Python strings."""
+    for batch in batches:
+        for lo in range(0, len(batch), n):
+            yield batch.slice(lo, n).to_pylist()

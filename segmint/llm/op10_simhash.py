@@ -36,12 +36,12 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, release_since, written
+from .common import arrow_blocks
 from .components import connected_components
 
 WORDS = 4
@@ -79,11 +79,11 @@ def fingerprint(text: str | None) -> int:
 def fingerprint_column(text: Column) -> Column:
     """Fingerprints as signed 64-bit numbers of the same bits."""
 
-    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series(np.array([fingerprint(t) for t in batch], np.uint64).view(np.int64))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for block in arrow_blocks(batches):
+            yield pa.array(np.array([fingerprint(t) for t in block], np.uint64).view(np.int64))
 
-    return F.pandas_udf(run, "bigint")(text)
+    return F.arrow_udf(run, "bigint")(text)
 
 
 def golay_tables() -> tuple[np.ndarray, np.ndarray]:

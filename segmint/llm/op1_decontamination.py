@@ -51,7 +51,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, release_since, written
-from .common import LETTERS, blocks, letter_words
+from .common import LETTERS, arrow_blocks, letter_words
 from .wordscan import blank_mask, text_blocks, word_hashes, word_places
 
 TERMS = 1 << 14
@@ -76,6 +76,8 @@ FEW_WORDS = 8
 #: Items of fewer words are searched by their terms, without the latent space.
 SHORT_WORDS = 16
 TERM_PARTS = 32
+#: Bytes of texts hashed at once, so that the temporary arrays stay small.
+HASHED = 1 << 17
 
 
 _SPACE = blank_mask(b" ")
@@ -84,7 +86,7 @@ _SPACE = blank_mask(b" ")
 def terms_of(texts: list[bytes]) -> Iterator[np.ndarray]:
     """Hashed terms (two bytes each) of the words of each text, in order; words
     are split by spaces. Many texts are hashed at once."""
-    for _, _, data, offsets in text_blocks(pa.array(texts, pa.large_binary())):
+    for _, _, data, offsets in text_blocks(pa.array(texts, pa.large_binary()), HASHED):
         start, end, first = word_places(data, offsets, _SPACE)
         x = (word_hashes(data, start, end) & np.uint64(TERMS - 1)).astype(np.uint16)
         for lo, hi in itertools.pairwise(first.tolist()):
@@ -108,11 +110,11 @@ def text_terms(text: str | None) -> np.ndarray:
 def terms_column(text: Column) -> Column:
     """Hashed terms of whole texts as binary, two bytes a word."""
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([x.tobytes() for some in blocks(batch) for x in terms_of([letters(t) for t in some])], dtype=object)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for some in arrow_blocks(batches):
+            yield pa.array([x.tobytes() for x in terms_of([letters(t) for t in some])], pa.binary())
 
-    return F.pandas_udf(run, "binary")(text)
+    return F.arrow_udf(run, "binary")(text)
 
 
 def read_terms(column: pa.Array) -> Iterator[np.ndarray]:
@@ -288,8 +290,11 @@ def corpus_factor(passages: DataFrame, idf: np.ndarray) -> tuple[np.ndarray, int
     q = _orthonormal(_collected(sketch.mapInArrow(along, schema), len(top)))
     weighted = np.zeros((width, len(top)), np.float32)
     np.multiply(q, idf[:TERMS, None], out=weighted[:TERMS], casting="same_kind")
+    sent = passages.sparkSession.sparkContext.broadcast(weighted)
+    del weighted
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weighted = sent.value
         out, n = np.zeros((weighted.shape[1],) * 2), 0
         for b in batches:
             for _, table, size in passage_values(b.column(0), idf):
@@ -300,6 +305,7 @@ def corpus_factor(passages: DataFrame, idf: np.ndarray) -> tuple[np.ndarray, int
         yield pa.record_batch([pa.array([n]), pa.array([out.tobytes()], pa.binary())], names=["n", "data"])
 
     row = passages.select("passage").mapInArrow(products, summed).groupBy().applyInPandas(total, summed).first()
+    sent.destroy()
     value, vector = np.linalg.eigh(np.frombuffer(row["data"]).reshape(len(top), -1))
     return (vector * np.sqrt(np.maximum(value, 0))).T.astype(np.float32) @ q.T, row["n"]
 
@@ -339,10 +345,12 @@ def _orthonormal(y: np.ndarray) -> np.ndarray:
 
 def _product(rows: DataFrame, q: np.ndarray, gram: bool) -> np.ndarray:
     """X'(X q) for a matrix X of few rows spread over tasks, or (X q)'(X q); q
-    (float32) is what each task is sent."""
+    (float32) is what each task is sent. Executors drop it afterwards."""
     width = q.shape[1]
+    sent = rows.sparkSession.sparkContext.broadcast(q)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q = sent.value
         out = np.zeros((width, width) if gram else (TERMS, width), np.float32)
         for b in batches:
             for lo in range(0, b.num_rows, 64):
@@ -357,19 +365,25 @@ def _product(rows: DataFrame, q: np.ndarray, gram: bool) -> np.ndarray:
                               names=["part", "data"])
 
     schema = "part int, data binary"
-    return _collected(rows.mapInArrow(part, schema).groupBy("part").applyInPandas(_summed, schema), width)
+    out = _collected(rows.mapInArrow(part, schema).groupBy("part").applyInPandas(_summed, schema), width)
+    sent.destroy()
+    return out
 
 
 def factor_rows(spark: SparkSession, factor: np.ndarray) -> DataFrame:
-    """Rows (at, value) of a dense matrix (float32) of few rows, made by tasks."""
+    """Rows (at, value) of a dense matrix (float32) of few rows, made by tasks
+    and written; executors drop the matrix afterwards."""
+    sent = spark.sparkContext.broadcast(factor)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own = factor[b.column(0).to_numpy()]
+            own = sent.value[b.column(0).to_numpy()]
             yield pa.record_batch([pa.array([np.arange(TERMS, dtype=np.int32)] * len(own), pa.list_(pa.int32())),
                                    pa.array(list(own), pa.list_(pa.float32()))], names=["at", "value"])
 
-    return spark.range(len(factor), numPartitions=4).mapInArrow(rows, "at array<int>, value array<float>")
+    out = materialize(spark.range(len(factor), numPartitions=4).mapInArrow(rows, "at array<int>, value array<float>"), "latent-factor")
+    sent.destroy()
+    return out
 
 
 def randomised_svd(rows: DataFrame, rank: int = RANK, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
@@ -496,6 +510,7 @@ def stride_sums(rows: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 HITS = "array<struct<item_id:bigint, lcs:double, answer:double, word:int>>"
+_HITS = pa.list_(pa.struct({"item_id": pa.int64(), "lcs": pa.float64(), "answer": pa.float64(), "word": pa.int32()}))
 
 
 def hits_column(text: Column, terms: Column, models: list) -> Column:
@@ -545,19 +560,22 @@ def hits_column(text: Column, terms: Column, models: list) -> Column:
                 out.append({"item_id": items[i][0], "lcs": best[0], "answer": best[1], "word": best[2]})
         return out
 
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for batch in batches:
             out = []
-            for t, data in zip(*batch, strict=True):
+            for t, data in zip(*map(values, batch), strict=True):
                 hits = []
                 if data:
                     x = np.frombuffer(data, np.uint16)
                     for model in models:
                         hits += find(t, x, model)
                 out.append(sorted(hits, key=lambda h: (h["item_id"] is None, h["item_id"] or 0)))
-            yield pd.Series(out)
+            yield pa.array(out, _HITS)
+
+    def values(column: pa.Array) -> Iterator:
+        return itertools.chain.from_iterable(arrow_blocks(iter([column])))
 
-    return F.pandas_udf(run, HITS)(text, terms)
+    return F.arrow_udf(run, HITS)(text, terms)
 
 
 def fit_blocks(docs: DataFrame, benchmark: DataFrame, terms: str) -> Iterator:
@@ -588,7 +606,7 @@ def fit_blocks(docs: DataFrame, benchmark: DataFrame, terms: str) -> Iterator:
             factor, different = corpus_factor(materialize(different_passages(docs, terms=terms), "latent-passages"), idf)
             release_since(spark, mark)
             factor *= math.sqrt(min(1.0, CORPUS_WEIGHT / max(1, different)))
-            corpus = materialize(factor_rows(spark, factor), "latent-factor")
+            corpus = factor_rows(spark, factor)
             del factor
         mark = written(spark)
         rows = materialize(matrix_rows(docs.limit(0), items, idf, 0.0, terms=terms).union(corpus).coalesce(4), "latent-rows")

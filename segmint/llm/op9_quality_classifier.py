@@ -31,10 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordTable, blocks, gram_buckets, held_out, sampled_labels, word_hash
+from .common import WordTable, arrow_blocks, gram_buckets, held_out, sampled_labels, word_hash
 
 BUCKETS = 1 << 13
 #: Rated rows read per grade: the bound of the fit.
@@ -175,8 +176,8 @@ def fit(docs: DataFrame, ratings: DataFrame, per_grade: int = PER_GRADE) -> Ordi
 def tails_column(text: Column, model: OrdinalModel | None, grades: int = 3) -> Column:
     """``array<double>``: P(grade >= 1), P(grade >= 2), .. of a whole text."""
 
-    @F.pandas_udf("array<double>")
-    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         def rows(words):
             s, flat, owner = word_parts(words)
             n = len(words)
@@ -185,13 +186,12 @@ def tails_column(text: Column, model: OrdinalModel | None, grades: int = 3) -> C
 
         table = WordTable(rows, 3)
         k = len(model.thresholds) if model else grades - 1
-        for batch in texts:
+        for block in arrow_blocks(batches):
+            words = [(t or "").split() for t in block]
             out = []
-            for block in blocks(batch):
-                words = [(t or "").split() for t in block]
-                if model is None:
-                    out += [[1.0 if w else 0.0] * k for w in words]
-                    continue
+            if model is None:
+                out = [[1.0 if w else 0.0] * k for w in words]
+            else:
                 table.room()
                 s = table.sums(words)
                 for t, w, (a, b, c) in zip(block, words, s, strict=True):
@@ -200,7 +200,7 @@ def tails_column(text: Column, model: OrdinalModel | None, grades: int = 3) -> C
                         continue
                     own = float(model.weights[list(set(text_buckets(t, w)))].sum())
                     out.append(model.tails(a / len(w) + b / max(1.0, c) + 0.25 * own).tolist())
-            yield pd.Series(out)
+            yield pa.array(out, pa.list_(pa.float64()))
 
     return run(text)
 

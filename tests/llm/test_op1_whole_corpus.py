@@ -1,3 +1,4 @@
+import os
 import random
 import tracemalloc
 import zlib
@@ -79,3 +80,32 @@ def test_orthonormal_columns_span_the_same():
         q = M._orthonormal(y)
         assert q.shape == (shape[0], min(shape)) and np.allclose(q.T @ q, np.eye(min(shape)), atol=1e-5)
         assert np.allclose(q @ (q.T @ y), y, atol=1e-5)
+
+
+def test_hashing_texts_holds_little_beside_them():
+    texts = [prose(k, 40).encode() * 12 for k in range(256)]
+    tracemalloc.start()
+    try:
+        n = sum(len(x) for x in M.terms_of(texts))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == sum(len(t.split()) for t in texts)
+    assert most < 16 << 20
+
+
+def test_executors_keep_no_matrix_of_the_fit(spark, monkeypatch):
+    docs = spark.createDataFrame([(prose(k, 90 + k),) for k in range(120)], "text string").select("text", M.terms_column(M.F.col("text")).alias("terms")).repartition(4)
+    benchmark = spark.createDataFrame([(k, prose(500 + k, 30)) for k in range(20)], "item_id bigint, text string")
+    large, broadcast = [], type(spark.sparkContext).broadcast
+
+    def seen(self, value):
+        got = broadcast(self, value)
+        if os.path.getsize(got._path) > 1 << 20:
+            large.append(got._path)
+        return got
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", seen)
+    assert len(list(M.fit_blocks(docs, benchmark, "terms"))) == 1
+    assert len(large) >= 5
+    assert not any(map(os.path.exists, large))  # destroyed, not left to the collector
